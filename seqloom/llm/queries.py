@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from seqloom.functions.text import mate_key, strain_key
+from seqloom.llm.splits import assign_splits, split_report
 from seqloom.llm.topn import top_n
 from seqloom.sources.tables import table
 
@@ -15,7 +18,27 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query", "hit_id")
 
 
-QUERIES = {"p1_found": p1_found}
+def metadata_keys() -> list[Column]:
+    """What ties two records of metadata."""
+    sample = mate_key(F.col("sample_name"))
+    return [F.when(~sample.isin("unknown", "mixed"), sample), strain_key(F.col("accession_name")), strain_key(F.col("strain"))]
+
+
+def p5_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The split of every record of metadata."""
+    return assign_splits(table(spark, folder, "metadata"), "record_id", metadata_keys(), table(spark, folder, "split_targets"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record tied to another, with its group."""
+    return p5_splits(spark, folder).filter("group_size > 1").select("record_id", "group_id")
+
+
+def p5_report(spark: SparkSession, folder: str) -> DataFrame:
+    return split_report(p5_splits(spark, folder), table(spark, folder, "split_targets"))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
 _HIT = (
     "query, subject, sacc, identity, alignment_length, mismatches, gap_opens, q_start, q_end, s_start, s_end, sstrand, evalue, qcovs, qframe, "
     "sgi, slen, staxids, sscinames, stitle, features, blast_mode, run_at"
