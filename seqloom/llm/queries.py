@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.text import mate_key, strain_key
+from seqloom.functions.text import gap_key, mate_key, strain_key
+from seqloom.llm.sampling import draw, sample_report, unmet
 from seqloom.llm.splits import assign_splits, split_report
 from seqloom.llm.topn import top_n
 from seqloom.sources.tables import table
@@ -18,6 +19,26 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query", "hit_id")
 
 
+def _sampled(spark: SparkSession, folder: str) -> dict:
+    return {
+        ("h5n1_example_metadata", "cleaned_host"): (table(spark, folder, "h5n1_example_metadata"), "row_id"),
+        ("metadata_prediction", "has_A"): (table(spark, folder, "metadata_prediction"), None),
+    }
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Request rows that cannot be met."""
+    return unmet(table(spark, folder, "sample_requests"), _sampled(spark, folder), gap_key)
+
+
+def p2_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return draw(table(spark, folder, "sample_requests"), _sampled(spark, folder), gap_key)
+
+
+def p2_report(spark: SparkSession, folder: str) -> DataFrame:
+    return sample_report(table(spark, folder, "sample_requests"), _sampled(spark, folder), gap_key)
+
+
 def metadata_keys() -> list[Column]:
     """What ties two records of metadata."""
     sample = mate_key(F.col("sample_name"))
@@ -38,11 +59,12 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return split_report(p5_splits(spark, folder), table(spark, folder, "split_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
 _HIT = (
     "query, subject, sacc, identity, alignment_length, mismatches, gap_opens, q_start, q_end, s_start, s_end, sstrand, evalue, qcovs, qframe, "
     "sgi, slen, staxids, sscinames, stitle, features, blast_mode, run_at"
 )
+_GAP = r"""regexp_replace(lower(regexp_replace({c}, '^[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+|[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+$', '', 'g')), '[\s\p{{Z}}\p{{Cf}}\p{{Cc}}_-]+', ' ', 'g')"""
 SQL = {
     "p1_found": f"""
 with hits as (
@@ -53,4 +75,14 @@ ranked as (
     partition by query order by evalue, case when identity is null or isnan(identity) then 1 else 0 end,
     case when isnan(identity) then null else identity end desc, hit_id) as r from hits)
 select query, hit_id from ranked where r <= 5""",
+    "p2_found": f"""
+with rows as (
+  select 'h5n1_example_metadata' as table_name, 'cleaned_host' as field_name, {_GAP.format(c="cleaned_host")} as k
+  from (select distinct sample_name, cleaned_host, loaded_at from h5n1_example_metadata)
+  union all
+  select 'metadata_prediction', 'has_A', {_GAP.format(c="has_A")} from (select distinct * from metadata_prediction)),
+counted as (select table_name, field_name, k, count(*) as n from rows where k is not null group by all)
+select request_id, category from sample_requests q
+left join counted c on c.table_name = q.table_name and c.field_name = q.field_name and c.k = {_GAP.format(c="q.category")}
+where coalesce(n, 0) < greatest(cast(floor(round(target_share * sample_size, 9) + 0.5) as bigint), min_rows)""",
 }
