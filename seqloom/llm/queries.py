@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions.text import gap_key, mate_key, strain_key
+from seqloom.llm.contamination import leaks, without_leaks
+from seqloom.llm.mojibake import garbled
 from seqloom.llm.sampling import draw, sample_report, unmet
 from seqloom.llm.splits import assign_splits, split_report
 from seqloom.llm.topn import top_n
@@ -59,7 +61,37 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return split_report(p5_splits(spark, folder), table(spark, folder, "split_targets"))
 
 
+def p6_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that leak test items, with the share of the item and the spans."""
+    return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_leaks(spark, folder).select("doc_id", "item_id")
+
+
+def p6_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and longest share of every item that leaked."""
+    return p6_leaks(spark, folder).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("share").alias("largest_share"))
+
+
+def p6_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without leaked spans."""
+    documents = table(spark, folder, "documents")
+    return without_leaks(documents, "doc_id", "text", p6_leaks(spark, folder)).select("doc_id", "text")
+
+
+def p8_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Wrongly decoded documents with the text as it first was, as far as it can be known."""
+    return garbled(table(spark, folder, "documents"), "doc_id", gap_key(F.col("source")), "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_repaired(spark, folder).select("doc_id")
+
+
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
+QUERIES |= {"p6_found": p6_found, "p6_leaks": p6_leaks, "p6_report": p6_report, "p6_cleaned": p6_cleaned, "p8_found": p8_found, "p8_repaired": p8_repaired}
 _HIT = (
     "query, subject, sacc, identity, alignment_length, mismatches, gap_opens, q_start, q_end, s_start, s_end, sstrand, evalue, qcovs, qframe, "
     "sgi, slen, staxids, sscinames, stitle, features, blast_mode, run_at"
