@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.text import gap_key, mate_key, strain_key
 from seqloom.llm.contamination import leaks, without_leaks
+from seqloom.llm.mixing import blocks, mixture
 from seqloom.llm.mojibake import garbled
 from seqloom.llm.sampling import draw, sample_report, unmet
 from seqloom.llm.splits import assign_splits, split_report
@@ -81,6 +82,21 @@ def p6_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return without_leaks(documents, "doc_id", "text", p6_leaks(spark, folder)).select("doc_id", "text")
 
 
+def _mixed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    packed = blocks(table(spark, folder, "documents"), "doc_id", gap_key(F.col("source")), "text", block=512)
+    return mixture(packed, table(spark, folder, "mix_targets"), gap_key)
+
+
+def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks of tokens in which every source has its share, as far as it can."""
+    return _mixed(spark, folder)[0]
+
+
+def p7_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Targets and what the mixture holds of every source."""
+    return _mixed(spark, folder)[1]
+
+
 def p8_repaired(spark: SparkSession, folder: str) -> DataFrame:
     """Wrongly decoded documents with the text as it first was, as far as it can be known."""
     return garbled(table(spark, folder, "documents"), "doc_id", gap_key(F.col("source")), "text")
@@ -91,6 +107,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
+QUERIES |= {"p7_mixture": p7_mixture, "p7_report": p7_report}
 QUERIES |= {"p6_found": p6_found, "p6_leaks": p6_leaks, "p6_report": p6_report, "p6_cleaned": p6_cleaned, "p8_found": p8_found, "p8_repaired": p8_repaired}
 _HIT = (
     "query, subject, sacc, identity, alignment_length, mismatches, gap_opens, q_start, q_end, s_start, s_end, sstrand, evalue, qcovs, qframe, "
