@@ -101,7 +101,7 @@ def draw(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
 
 
 def sample_report(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str | None]], agree, seed: int = 17) -> DataFrame:
-    """Per request and category: rows required, available and drawn, shares, and what is missing."""
+    """Per request and category: rows required, available and drawn, shares, and what is missing after the repair."""
     wanted = _wanted(requests, agree)
     there = available(requests, tables, agree)
     drawn = draw(requests, tables, agree, seed).groupBy("request_id", "category").agg(F.count("*").alias("drawn"), F.sum(F.col("repair").cast("long")).alias("repaired"))
@@ -110,10 +110,13 @@ def sample_report(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataF
     n, got = F.coalesce("n", F.lit(0)), F.coalesce("drawn", F.lit(0))
     return report.select(
         "request_id", "category", "target_share", "required", n.alias("available"), got.alias("drawn"), F.coalesce("repaired", F.lit(0)).alias("repaired"),
-        F.when(total > 0, got / total).alias("actual_share"), F.greatest(F.col("required") - n, F.lit(0)).alias("missing"),
+        F.when(total > 0, got / total).alias("actual_share"), F.greatest(F.col("required") - got, F.lit(0)).alias("missing"),
     )
 
 
 def unmet(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str | None]], agree, seed: int = 17) -> DataFrame:
-    """``(request_id, category)`` of the request rows of which fewer rows exist than are required."""
+    """``(request_id, category)`` of the request rows that the draw leaves short although it takes every row there is.
+
+    A category below ``required`` is repaired with all its rows, so it stays short only where fewer exist.
+    """
     return sample_report(requests, tables, agree, seed).filter("missing > 0").select("request_id", "category")

@@ -8,54 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick, prefix_sum
+from seqloom.operators.graph import components
 from seqloom.session import cut, shared_dir
 
 #: A component of at least this share of the new records is placed by its size; there are at most as many as its inverse.
 LARGE_SHARE = 0.001
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``(v, root)`` for every vertex of the undirected edges ``(a, b)`` (longs): the smallest vertex it is tied to.
-
-    Each round hooks every vertex to its smallest neighbour, follows pointers by doubling until they end in a
-    root, and contracts the edges. Of the vertices with edges at most half are left after a round. Neighbours
-    are reduced to a minimum before they are shuffled; self-loops and repeated edges are fine, and an empty
-    edge table gives no rows.
-    """
-    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    found = edges.select(F.explode(F.array("a", "b")).alias("v")).distinct().select("v", F.col("v").alias("root"))
-    left = edges.filter("a <> b")
-    contracted = False
-    while not left.isEmpty():
-        both = left.select(F.col("b").alias("v"), F.col("a").alias("p")).unionByName(left.select(F.col("a").alias("v"), F.col("b").alias("p")))
-        hooks = both.groupBy("v").agg(F.min("p").alias("p")).filter("p < v")
-        hooks = follow(cut(hooks))
-        found = found.join(hooks.select(F.col("v").alias("root"), "p"), "root", "left").select("v", F.coalesce("p", "root").alias("root"))
-        found = cut(found) if contracted else found
-        left = renamed(renamed(left, "a", hooks), "b", hooks).filter("a <> b")
-        left = cut(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        contracted = True
-    return cut(found)
-
-
-def follow(hooks: DataFrame) -> DataFrame:
-    """Pointer jumping: ``(v, p)`` with ``p < v`` until every ``p`` has no pointer of its own."""
-    while True:
-        onward = hooks.select(F.col("v").alias("p"), F.col("p").alias("next"))
-        jumped = hooks.join(onward, "p", "left").select("v", F.coalesce("next", "p").alias("p"), F.col("next").isNotNull().alias("moved"))
-        jumped = cut(jumped)
-        if jumped.filter("moved").isEmpty():
-            return jumped.drop("moved")
-        hooks = jumped.drop("moved")
-
-
-def renamed(edges: DataFrame, column: str, hooks: DataFrame) -> DataFrame:
-    """Edges with ``column`` replaced by where it points."""
-    to = hooks.select(F.col("v").alias(column), F.col("p").alias("to"))
-    other = "b" if column == "a" else "a"
-    return edges.join(to, column, "left").select(F.coalesce("to", column).alias(column), other)
-
-
 def tie_groups(records: DataFrame, id_column: str, keys: Sequence[Column], known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(id, root)`` of every record and ``(key, root)`` of every key.
 
