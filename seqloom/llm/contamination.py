@@ -8,7 +8,7 @@ import re
 import unicodedata
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,7 +59,7 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.casefold())
 
 
-def placed_words(text: str, places: list[int]) -> tuple[list[str], list[tuple[int, int]]]:
+def placed_words(text: str, places: Sequence[int]) -> tuple[list[str], list[tuple[int, int]]]:
     """Normalised words and the stretch of the original text each comes from; ``places``: of each character."""
     chars: list[str] = []
     at: list[int] = []
@@ -210,8 +210,12 @@ def leaks(documents: DataFrame, document_id: str, text: str, items: DataFrame, i
                     plain, places = untangled(t)
                     found = words(plain)
                     likely = known.candidates(found)
+                    held = set(found) if likely else ()
                     exact = None
                     for i in likely:
+                        # No more of an item can be held than those of its words that the document has anywhere.
+                        if sum(w in held for w in known.words[i]) < least * len(known.words[i]):
+                            continue
                         share, told, spots = known.match(found, i)
                         if share < least or told < telling:
                             continue
