@@ -140,18 +140,21 @@ def first_guess(window: str) -> str:
     return " ".join(steps)
 
 
-def untangled(text: str) -> tuple[str, list[int]]:
+def untangled(text: str) -> tuple[str, Sequence[int]]:
     """The text with every window put right by its first guess, and where each character comes from."""
+    if text.isascii():
+        return text, range(len(text))
+    hit = [(m, c) for m in _WINDOW.finditer(text) if (c := first_guess(m.group()))]
+    if not hit:
+        return text, range(len(text))
     pieces, origin, last = [], [], 0
-    for m in _WINDOW.finditer(text) if not text.isascii() else ():
-        chain = first_guess(m.group())
-        if chain:
-            before = undo(m.group(), chain)
-            pieces += [text[last : m.start()], before]
-            origin.extend(range(last, m.start()))
-            wide = m.end() - m.start()
-            origin.extend(m.start() + k * wide // len(before) for k in range(len(before)))
-            last = m.end()
+    for m, chain in hit:
+        before = undo(m.group(), chain)
+        pieces += [text[last : m.start()], before]
+        origin.extend(range(last, m.start()))
+        wide = m.end() - m.start()
+        origin.extend(m.start() + k * wide // len(before) for k in range(len(before)))
+        last = m.end()
     pieces.append(text[last:])
     origin.extend(range(last, len(text)))
     return "".join(pieces), origin
@@ -171,7 +174,7 @@ class Model:
     def __init__(self, pairs: np.ndarray, firsts: np.ndarray, singles: np.ndarray, chains: dict[str, dict[str, float]]) -> None:
         self.pairs, self.firsts, self.singles, self.chains = pairs, firsts, singles, chains
         self.total = float(singles.sum()) + 1.0
-        self.kept: dict[str, tuple[float, list[tuple[str, float]]]] = {}
+        self.kept: dict[str, dict[str, float]] = {}
 
     def score(self, text: str) -> float:
         """Log probability of a window."""
@@ -185,17 +188,18 @@ class Model:
                 total -= CONTROL * ("\x80" <= b <= "\x9f")
         return total
 
-    def ratios(self, window: str) -> list[tuple[str, float]]:
-        """Chains whose text before is more likely than the window, with the log ratio."""
-        window = _digits(window)
-        if window not in self.kept:
+    def ratios(self, window: str) -> dict[str, float]:
+        """Chains whose text before is about as likely as the window or more, with the log ratio."""
+        found = self.kept.get(window)
+        if found is None:
             if len(self.kept) > 200_000:
                 self.kept.clear()
-            own = self.score(window)
-            found = candidates(window)
-            scores = {before: self.score(before) - own for before in set(found.values())}
-            self.kept[window] = [(c, scores[before]) for c, before in found.items() if scores[before] > -3]
-        return self.kept[window]
+            plain = _digits(window)
+            own = self.score(plain)
+            options = candidates(plain)
+            scores = {before: self.score(before) - own for before in set(options.values())}
+            found = self.kept[window] = {c: scores[before] for c, before in options.items() if scores[before] > -3}
+        return found
 
     def prior(self, source: str, chain: str) -> float:
         own = self.chains.get(source) or self.chains["*"]
@@ -242,7 +246,7 @@ def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
                         if likely:
                             shares = [(window, CLEAN, 0.05 * n), (undo(window, likely), likely, 0.95 * n)]
                     else:
-                        odds = [(c, math.exp(min(r, 50.0)) * known.prior(source, c) / known.prior(source, CLEAN)) for c, r in known.ratios(window)]
+                        odds = [(c, math.exp(min(r, 50.0)) * known.prior(source, c) / known.prior(source, CLEAN)) for c, r in known.ratios(window).items()]
                         every = 1.0 + sum(o for _, o in odds)
                         shares = [(window, CLEAN, n / every)] + [(undo(window, c), c, n * o / every) for c, o in odds if o / every > 1e-4]
                     for text, chain, weight in shares:
@@ -298,21 +302,36 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
     counts: dict[str, int] = defaultdict(int)
     for w in _windows(text):
         counts[w] += 1
-    parts = np.array(PARTS)
-    base = np.zeros(len(PARTS))
-    evidence: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(PARTS)))
+    # What a chain can gain at most: chains that cannot reach the limit need no closer look.
+    most_of: dict[str, float] = defaultdict(float)
     full: dict[str, float] = defaultdict(float)
+    telling = []
     for w, n in counts.items():
-        none = n * np.log1p(-parts)
-        base += none
         # A no-break space or soft hyphen alone is common in clean text and speaks for nothing.
-        if w.translate(_SILENT).isascii():
+        if w.isascii() or w.translate(_SILENT).isascii():
             continue
-        for c, r in model.ratios(w):
+        ratios = model.ratios(w)
+        if not ratios:
+            continue
+        telling.append((n, ratios))
+        for c, r in ratios.items():
+            if r > 0:
+                most_of[c] += n * min(r, LIMIT)
+                full[c] += n * r
+    clean = model.prior(source, CLEAN)
+    possible = [c for c, most in most_of.items() if most + math.log(model.prior(source, c) / clean) > LEAST_ODDS]
+    parts = np.array(PARTS)
+    none = np.log1p(-parts)
+    silent = sum(counts.values()) - sum(n for n, _ in telling)
+    evidence: dict[str, np.ndarray] = {}
+    for c in possible:
+        total = silent * none
+        for n, ratios in telling:
             # Beyond a limit a single window says no more; one character seen once says less than many.
-            evidence[c] += n * np.log1p(parts * math.expm1(min(r, LIMIT))) - none
-            full[c] += n * max(r, 0.0)
-    odds = {c: float((base + e).max()) - math.log(len(PARTS)) + math.log(model.prior(source, c) / model.prior(source, CLEAN)) for c, e in evidence.items()}
+            r = ratios.get(c)
+            total = total + n * (none if r is None else np.log1p(parts * math.expm1(min(r, LIMIT))))
+        evidence[c] = total
+    odds = {c: float(e.max()) - math.log(len(PARTS)) + math.log(model.prior(source, c) / clean) for c, e in evidence.items()}
     most = max(odds.values(), default=None)
     if most is not None and most > LEAST_ODDS:
         # Of the chains that are likely enough, the one that explains most names the record.
@@ -325,7 +344,7 @@ def _restore(model: Model, chain: str, text: str) -> str:
     """Windows that the record's chain makes more likely are put right; others, if another chain does clearly."""
 
     def put_right(m: re.Match) -> str:
-        ratios = dict(model.ratios(m.group()))
+        ratios = model.ratios(m.group())
         other = max(ratios, key=ratios.get, default=CLEAN)
         own = ratios.get(chain, 0.0)
         if own > 0 and own > ratios[other] - CLEARLY:
