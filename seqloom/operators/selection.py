@@ -80,11 +80,12 @@ def reorder_clusters(members: DataFrame, scores: DataFrame, cluster: str, anchor
     """Members with a new cluster number from 1 by score and their rank by effect.
 
     Score: mean effect times mean prevalence; null where a member has none (it then comes last). Ties go to the
-    smaller old number, ranks of equal effect to the smaller anchor.
+    smaller old number, ranks of equal effect to the smaller anchor. Scores are rounded to nine digits, so that the
+    order in which members are added up does not decide a tie.
     """
     joined = members.join(scores.select(anchor, effect, prevalence), anchor, "left")
     whole = lambda c: F.when(F.count(c) == F.count(F.lit(1)), F.avg(c))
-    per_cluster = joined.groupBy(cluster).agg((whole(effect) * whole(prevalence)).alias("score"))
+    per_cluster = joined.groupBy(cluster).agg(F.round(whole(effect) * whole(prevalence), 9).alias("score"))
     ranked = per_cluster.withColumn("new_cluster", F.row_number().over(Window.orderBy(F.desc_nulls_last("score"), cluster)).cast("long"))
     inside = Window.partitionBy(cluster).orderBy(F.desc_nulls_last(effect), anchor)
     placed = joined.withColumn("rank", F.row_number().over(inside).cast("long"))
