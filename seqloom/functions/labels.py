@@ -68,8 +68,9 @@ def species(title: Column, names: Column) -> Column:
 
 def taxon_set(text: Column) -> Column:
     """Sorted taxon numbers of a set written with ``;``, ``,`` or ``+`` and braces; empty for none."""
-    parts = F.transform(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[{}\s]", ""), "[;,+]"), F.trim)
-    return F.array_sort(F.transform(F.array_distinct(F.filter(parts, lambda x: x.rlike("^[0-9]+$"))), lambda x: x.cast("int")))
+    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[{}]", ""), r"[;,+\s]+")
+    numbers = F.transform(F.filter(parts, lambda x: x.rlike("^[0-9]+$")), lambda x: x.try_cast("int"))
+    return F.array_sort(F.array_distinct(F.array_compact(numbers)))
 
 
 def feature_label(product: Column, gene: Column, note: Column) -> Column:

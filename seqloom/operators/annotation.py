@@ -209,7 +209,11 @@ def collected(frame: DataFrame, keys: Sequence[str], order: str, columns: Sequen
     """Columns as parallel lists per key, in one order."""
     items = F.array_sort(F.collect_list(F.struct(order, *[c for c in columns if c != order])))
     out = frame.groupBy(*keys).agg(items.alias("__i"))
-    return out.select(*keys, *[F.transform("__i", lambda x, c=c: x[c]).alias(c) for c in columns])
+
+    def taken(column: str) -> Column:
+        return F.transform("__i", lambda x: x[column]).alias(column)
+
+    return out.select(*keys, *[taken(c) for c in columns])
 
 
 def kept_first(frame: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

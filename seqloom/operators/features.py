@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.maths import distance
@@ -121,7 +121,11 @@ def hashed_embedding(frame: DataFrame, sequence: str, dimensions: int = 32, k: i
     words = F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col(sequence), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
     places = F.transform(words, lambda w: F.struct(F.pmod(F.hash(w), F.lit(dimensions)).alias("d"), F.when(F.pmod(F.xxhash64(w), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s")))
     count = F.greatest(n - k + 1, F.lit(1))
-    vector = F.array(*[F.aggregate(F.filter(places, lambda p, d=d: p["d"] == d), F.lit(0.0), lambda acc, p: acc + p["s"]) / count for d in range(dimensions)])
+
+    def summed(d: int) -> Column:
+        return F.aggregate(places, F.lit(0.0), lambda acc, p: acc + F.when(p["d"] == d, p["s"]).otherwise(0.0)) / count
+
+    vector = F.array(*[summed(d) for d in range(dimensions)])
     return frame.withColumn("embedding", vector)
 
 
