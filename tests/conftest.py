@@ -1,6 +1,14 @@
+import os
+import sys
+from pathlib import Path
+
 import pytest
 
-from seqloom.session import local_session
+ROOT = Path(__file__).parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
+
+from seqloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
