@@ -22,7 +22,9 @@ NGRAM, RUN = 5, 3
 #: Items per broadcast block: at most so many items and characters; more items are searched in several passes.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 #: Share of an item's words a document must hold, and share of the telling words where it quotes it.
-LEAST, TELLING = 0.5, 0.5
+LEAST, TELLING = 0.5, 0.4
+#: Names and numbers in the quoted part from which these alone are the telling words; below, rare words are.
+LEAST_TOLD = 2
 #: Gaps of at most so many words, in both texts, are bridged by their common words.
 GAP = 6
 
@@ -35,6 +37,12 @@ _WORD = re.compile(r"[^\W_]+")
 _NEEDS = re.compile(r"[<&\\\-*_`~" + _INVISIBLE + "]")
 
 
+def _normal(text: str) -> str:
+    if _NEEDS.search(text):
+        text = _NOISE.sub(_plain, text)
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
 def _plain(match: re.Match) -> str:
     """What a piece of markup, an escape or an invisible character stands for."""
     m = match.group()
@@ -52,11 +60,17 @@ def words(text: str) -> list[str]:
 
     Wrong decoding is put right before, where characters decode as UTF-8.
     """
-    if _NEEDS.search(text):
-        text = _NOISE.sub(_plain, text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-    return _WORD.findall(text.casefold())
+    return _WORD.findall(_normal(text).casefold())
+
+
+def names_and_numbers(text: str) -> list[bool]:
+    """For every word, whether it has a digit, or a capital where no sentence starts."""
+    plain = _normal(text)
+    out = []
+    for m in _WORD.finditer(plain):
+        start = not plain[: m.start()].rstrip(" \t\n\"'“‘(") or plain[: m.start()].rstrip(" \t\n\"'“‘(")[-1] in ".?!:"
+        out.append(any(c.isdigit() for c in m.group()) or (m.group()[0].isupper() and not start))
+    return out
 
 
 def placed_words(text: str, places: Sequence[int]) -> tuple[list[str], list[tuple[int, int]]]:
@@ -102,8 +116,13 @@ class Items:
             count.update(set(w))
         self.lengths = sorted({min(NGRAM, len(w)) for w in self.words.values()})
         rare = max(3, math.ceil(len(self.words) * document_share))
-        # Telling words: numbers, and those that few items use. What resembles an item lacks them.
-        self.telling = {i: [any(c.isdigit() for c in x) or count[x] <= rare for x in w] for i, w in self.words.items()}
+        # Telling words: names and numbers, or those that few items use. What resembles an item has others.
+        self.named, self.rare = {}, {}
+        for i, t in items:
+            if i in self.words:
+                own, flags = self.words[i], names_and_numbers(t)
+                self.named[i] = flags if len(flags) == len(own) else [False] * len(own)
+                self.rare[i] = [count[x] <= rare for x in own]
         self.runs: dict[int, dict[tuple, list[int]]] = {}
 
     def run_index(self, item: int) -> dict[tuple, list[int]]:
@@ -140,12 +159,16 @@ class Items:
         spots = [k for k, _ in chain]
         near = set(held)
         for (k0, p0), (k1, p1) in zip(chain, chain[1:], strict=False):
-            if 1 < p1 - p0 <= GAP + 1 and k1 - k0 <= GAP + 1:
-                near.update(range(p0, p1))
+            if not 1 < p1 - p0 <= GAP + 1 or k1 - k0 > 2 * GAP:
+                continue
+            near.update(range(p0, p1))
+            if k1 - k0 <= GAP + 1:
                 for k, p in _common(found, own, k0 + 1, k1, p0 + 1, p1):
                     held.add(p)
                     spots.append(k)
-        told = [p for p in near if self.telling[item][p]]
+        told = [p for p in near if self.named[item][p]]
+        if len(told) < LEAST_TOLD:
+            told = [p for p in near if self.rare[item][p]]
         telling = sum(p in held for p in told) / len(told) if told else 1.0
         return len(held) / len(own), telling, sorted(set(spots))
 
@@ -187,7 +210,8 @@ def leaks(documents: DataFrame, document_id: str, text: str, items: DataFrame, i
     """``(document id, item id, share, telling, spans)`` of every document that leaks an item.
 
     A document leaks an item if it holds ``least`` of the item's words in their order, in runs of at least
-    three words and the gaps between them, and ``telling`` of the rare words and numbers there. ``spans`` are
+    three words and the gaps between them, and ``telling`` of the names and numbers there (of the rare words, where
+    it has hardly any). ``spans`` are
     the stretches ``(start, stop)`` of the original text, in characters.
 
     The n-grams of the items are a broadcast hash set; documents stream past it, once per block of items, and
