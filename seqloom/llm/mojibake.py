@@ -38,10 +38,10 @@ SINGLE = (
 TWICE = ("cp1252", "latin_1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "mac_roman")
 CLEAN, LOST = "", "lost"
 
-#: Sizes of the hashed character model and rounds of EM.
-PAIRS, SINGLES, ROUNDS = 1 << 18, 1 << 14, 3
-#: Weight of a character's own frequency in the model, and the log penalty of a control character.
-SMOOTH, CONTROL = 30.0, 6.0
+#: Pairs of characters the model holds at most (the most frequent), and rounds of EM.
+MAX_PAIRS, ROUNDS = 200_000, 3
+#: Weight of a character's own frequency in the model, and log penalties of a control character and of an unseen pair.
+SMOOTH, CONTROL, UNSEEN = 30.0, 6.0, 4.0
 #: Sources with a frequency of chains of their own: those with most windows; others share the one of all.
 MAX_SOURCES = 2_000
 
@@ -49,6 +49,7 @@ MAX_SOURCES = 2_000
 WINDOW = r"[\x21-\x7E]{0,2}[^\x00-\x7F](?:[\x21-\x7E]{0,3}[^\x00-\x7F])*[\x21-\x7E]{0,2}"
 #: A quoted word of up to twenty characters without a blank: text that speaks of a sequence.
 MENTION = r"(?<![^\s(\[])(?:\"[^\s\"]{1,20}\"|'[^\s']{1,20}'|“[^\s“”]{1,20}”|‘[^\s‘’]{1,20}’|«[^\s«»]{1,20}»|„[^\s„“]{1,20}“|`[^\s`]{1,20}`)(?![^\s.,;:!?)\]])"
+_ZEROS = str.maketrans("123456789", "000000000")
 _SILENT = str.maketrans("", "", "\xa0\xad\u200b\ufeff")
 _WINDOW, _MENTION = re.compile(WINDOW), re.compile(MENTION)
 
@@ -161,19 +162,20 @@ def untangled(text: str) -> tuple[str, Sequence[int]]:
 
 
 def _digits(text: str) -> str:
-    return re.sub("[0-9]", "0", text)
-
-
-def _bucket(a: str, b: str) -> int:
-    return (ord(a) * 1_000_003 + ord(b) * 7_919) % PAIRS
+    return text.translate(_ZEROS)
 
 
 class Model:
-    """A hashed character model: how often a character follows another, with at least one beyond ASCII."""
-
-    def __init__(self, pairs: np.ndarray, firsts: np.ndarray, singles: np.ndarray, chains: dict[str, dict[str, float]]) -> None:
-        self.pairs, self.firsts, self.singles, self.chains = pairs, firsts, singles, chains
-        self.total = float(singles.sum()) + 1.0
+    """How often a character follows another, with at least one beyond ASCII, and how often chains occur per source."""
+
+    def __init__(self, pairs: dict[str, float], chains: dict[str, dict[str, float]]) -> None:
+        self.pairs, self.chains = pairs, chains
+        self.firsts: dict[str, float] = defaultdict(float)
+        self.singles: dict[str, float] = defaultdict(float)
+        for (a, b), n in pairs.items():
+            self.firsts[a] += n
+            self.singles[b] += n
+        self.total = sum(pairs.values()) + 1.0
         self.kept: dict[str, dict[str, float]] = {}
 
     def score(self, text: str) -> float:
@@ -181,9 +183,9 @@ class Model:
         marked, total = f"\x02{text}\x03", 0.0
         for a, b in zip(marked, marked[1:], strict=False):
             if a > "\x7f" or b > "\x7f":
-                first = self.firsts[ord(a) % SINGLES]
-                alone = (self.singles[ord(b) % SINGLES] + 0.01) / self.total
-                total += math.log((self.pairs[_bucket(a, b)] + SMOOTH * alone) / (first + SMOOTH))
+                alone = (self.singles.get(b, 0.0) + 0.01) / self.total
+                seen = self.pairs.get(a + b, 0.0)
+                total += math.log((seen + SMOOTH * alone) / (self.firsts.get(a, 0.0) + SMOOTH)) - UNSEEN * (seen < 0.5)
                 # Control characters are no text, however often garbled text repeats them.
                 total -= CONTROL * ("\x80" <= b <= "\x9f")
         return total
@@ -221,7 +223,7 @@ def counted_windows(frame: DataFrame, source: Column, texts: Sequence[str]) -> D
 
 
 def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
-    """EM over counted windows; what comes to the driver is bounded by the sizes of the model.
+    """EM over counted windows; what comes to the driver is bounded by ``MAX_PAIRS``, ``MAX_SOURCES`` and the chains.
 
     E step: the posterior of the chains of every window, from the character model and the chains of its
     source. M step: characters of the restored windows and chains per source, by these posteriors. It starts
@@ -236,7 +238,7 @@ def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
 
         def expect(batches: Iterator[pd.DataFrame], held=held, own=own) -> Iterator[pd.DataFrame]:
             known: Model | None = held.value
-            pairs, firsts, singles = np.zeros(PAIRS), np.zeros(SINGLES), np.zeros(SINGLES)
+            pairs: dict[str, float] = defaultdict(float)
             chains: dict[tuple[str, str], float] = defaultdict(float)
             for batch in batches:
                 for source, window, n in zip(batch["source"], batch["window"], batch["n"], strict=True):
@@ -254,47 +256,39 @@ def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
                         marked = f"\x02{text}\x03"
                         for a, b in zip(marked, marked[1:], strict=False):
                             if a > "\x7f" or b > "\x7f":
-                                pairs[_bucket(a, b)] += weight
-                                firsts[ord(a) % SINGLES] += weight
-                                singles[ord(b) % SINGLES] += weight
-            for kind, values in (("pair", pairs), ("first", firsts), ("single", singles)):
-                at = np.flatnonzero(values)
-                yield pd.DataFrame({"kind": kind, "at": at, "source": "", "chain": "", "value": values[at]})
-            yield pd.DataFrame([("chain", 0, s, c, v) for (s, c), v in chains.items()], columns=["kind", "at", "source", "chain", "value"])
-
-        found = windows.mapInPandas(expect, "kind string, at long, source string, chain string, value double")
-        rows = found.groupBy("kind", "at", "source", "chain").agg(F.sum("value").alias("value")).toPandas()
+                                pairs[a + b] += weight
+            yield pd.DataFrame([("pair", "", k, v) for k, v in pairs.items()] + [("chain", s, c, v) for (s, c), v in chains.items()], columns=["kind", "source", "key", "value"])
+
+        found = windows.mapInPandas(expect, "kind string, source string, key string, value double")
+        found = cut(found.groupBy("kind", "source", "key").agg(F.sum("value").alias("value")))
+        pairs = found.filter("kind = 'pair'").orderBy(F.desc("value"), "key").limit(MAX_PAIRS).select("key", "value").toPandas()
+        chains = found.filter("kind = 'chain'").toPandas()  # at most sources with a frequency of their own x chains
         held.unpersist()
-        arrays = []
-        for kind, size in (("pair", PAIRS), ("first", SINGLES), ("single", SINGLES)):
-            part, values = rows[rows["kind"] == kind], np.zeros(size, dtype=np.float32)
-            values[part["at"].to_numpy()] = part["value"].to_numpy()
-            arrays.append(values)
-        model = Model(*arrays, _chains(rows[rows["kind"] == "chain"]))
+        model = Model(dict(zip(pairs["key"], pairs["value"], strict=True)), _chains(chains))
     return model
 
 
 def _chains(rows: pd.DataFrame) -> dict[str, dict[str, float]]:
     """Frequency of chains for all and per source, drawn towards the one of all by a weight of 200 windows."""
-    total = rows.groupby("chain")["value"].sum()
+    total = rows.groupby("key")["value"].sum()
     every = float(total.sum()) or 1.0
     size = 2 + len(READ_AS) + len(TWICE) ** 2 + len(SINGLE)
     share = {c: (v + 0.5) / (every + 0.5 * size) for c, v in total.items()}
     share.setdefault(CLEAN, 1.0)
     out = {"*": share}
     for source, part in rows.groupby("source"):
-        own = dict(zip(part["chain"], part["value"], strict=True))
+        own = dict(zip(part["key"], part["value"], strict=True))
         n = sum(own.values())
         out[source] = {c: (own.get(c, 0.0) + 200 * p) / (n + 200) for c, p in share.items()}
     return out
 
 
-#: Shares of a record's windows that a chain may have hit; records are often garbled in part.
-PARTS = (0.05, 0.2, 0.6, 0.98)
+#: Shares of a record's windows that a chain may have hit, besides a single one; records are often garbled in part.
+PARTS = (0.05, 0.3, 0.95)
 #: Log odds from which a record counts as garbled. Clean records stay far below: see the README.
 LEAST_ODDS = -4.0
 #: Most log evidence of one window, and by how much another chain must be ahead of the record's to put a window right.
-LIMIT, CLEARLY = 18.0, 8.0
+LIMIT, CLEARLY = 25.0, 8.0
 
 
 def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]:
@@ -320,9 +314,10 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
                 full[c] += n * r
     clean = model.prior(source, CLEAN)
     possible = [c for c, most in most_of.items() if most + math.log(model.prior(source, c) / clean) > LEAST_ODDS]
-    parts = np.array(PARTS)
+    every = sum(counts.values())
+    parts = np.array([1 / max(2, every), *PARTS])
     none = np.log1p(-parts)
-    silent = sum(counts.values()) - sum(n for n, _ in telling)
+    silent = every - sum(n for n, _ in telling)
     evidence: dict[str, np.ndarray] = {}
     for c in possible:
         total = silent * none
@@ -331,7 +326,7 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
             r = ratios.get(c)
             total = total + n * (none if r is None else np.log1p(parts * math.expm1(min(r, LIMIT))))
         evidence[c] = total
-    odds = {c: float(e.max()) - math.log(len(PARTS)) + math.log(model.prior(source, c) / clean) for c, e in evidence.items()}
+    odds = {c: float(e.max()) - math.log(1 + len(PARTS)) + math.log(model.prior(source, c) / clean) for c, e in evidence.items()}
     most = max(odds.values(), default=None)
     if most is not None and most > LEAST_ODDS:
         # Of the chains that are likely enough, the one that explains most names the record.
