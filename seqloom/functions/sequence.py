@@ -27,12 +27,25 @@ def clean_key(sequence: Column) -> Column:
     return F.regexp_replace(F.upper(F.regexp_replace(sequence, "^cluster_[0-9]+_", "")), "[^ACGTN]", "")
 
 
+#: Sequences are cut to windows in pieces of about so many letters, so that a genome is no single array.
+PIECE = 50_000
+
+
 def kmers(frame: DataFrame, sequence: str, k: int, step: int | None = None) -> DataFrame:
-    """One row per full window of width ``k``: ``kmer``, ``start`` from 0 and ``stop``; shorter sequences give none."""
+    """One row per full window of width ``k``: ``kmer``, ``start`` from 0 and ``stop``; shorter sequences give none.
+
+    A regular expression walks over each piece once and looks ahead ``k`` letters; substrings by position would
+    count letters from the start for every window.
+    """
     step = step or k
-    starts = F.when(F.length(sequence) >= k, F.sequence(F.lit(0), F.length(sequence) - k, F.lit(step)))
-    rows = frame.withColumn("start", F.explode(starts))
-    return rows.withColumns({"kmer": F.substring(F.col(sequence), F.col("start") + 1, F.lit(k)), "stop": F.col("start") + k})
+    size = step * max(1, PIECE // step)
+    last = F.floor((F.length(sequence) - k) / size).cast("int")
+    rows = frame.withColumn("__piece", F.explode(F.when(F.length(sequence) >= k, F.sequence(F.lit(0), last))))
+    text = F.when((F.col("__piece") == 0) & (F.length(sequence) <= size), F.col(sequence)).otherwise(F.substring(F.col(sequence), F.col("__piece") * size + 1, F.lit(size - step + k)))
+    found = F.regexp_extract_all(text, F.lit(f"(?=([\\s\\S]{{{k}}}))[\\s\\S]{{1,{step}}}"))
+    rows = rows.select(*frame.columns, "__piece", F.posexplode(found).alias("__at", "kmer"))
+    rows = rows.withColumn("start", F.col("__piece") * size + F.col("__at") * step)
+    return rows.withColumn("stop", F.col("start") + k).select(*frame.columns, "start", "kmer", "stop")
 
 
 def block(sequence: Column, width: int, index: Column) -> Column:
@@ -52,11 +65,13 @@ def codon_index(codon: Column) -> Column:
 
 
 def translate(sequence: Column, code: int = 11, to_stop: bool = False) -> Column:
-    """Protein of the complete codons; codons with an unknown letter are ``X``. ``to_stop``: up to the first stop."""
+    """Protein of the complete codons; codons with an unknown letter are ``X``. ``to_stop``: up to the first stop.
+
+    The sequence is cut to codons once; each codon is then looked up on its own.
+    """
     table = GENETIC_CODES[code]
-    upper = F.upper(sequence)
-    codons = F.when(F.length(upper) >= 3, F.sequence(F.lit(0), F.floor(F.length(upper) / 3).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    acids = F.transform(codons, lambda i: F.coalesce(F.substring(F.lit(table), codon_index(F.substring(upper, i * 3 + 1, F.lit(3))), F.lit(1)), F.lit("X")))
+    codons = F.regexp_extract_all(F.upper(sequence), F.lit("([A-Z]{3})"))
+    acids = F.transform(codons, lambda c: F.coalesce(F.substring(F.lit(table), codon_index(c), F.lit(1)), F.lit("X")))
     protein = F.array_join(acids, "")
     return F.regexp_extract(protein, "^[^*]*", 0) if to_stop else protein
 
@@ -81,8 +96,9 @@ def six_frames(frame: DataFrame, sequence: str, code: int = 11) -> DataFrame:
 
     Long enough is 0.8 of a third of the sequence, rounded down.
     """
-    options = F.array(*[F.struct(F.lit(f).alias("frame"), translate(frame_of(F.col(sequence), f), code, True).alias("protein")) for f in (1, 2, 3, -1, -2, -3)])
-    rows = frame.withColumn("__f", F.explode(options)).withColumns({"frame": F.col("__f.frame"), "protein": F.col("__f.protein")}).drop("__f")
+    rows = frame.withColumn("frame", F.explode(F.array(*[F.lit(f) for f in (1, 2, 3, -1, -2, -3)])))
+    strand = F.when(F.col("frame") > 0, F.col(sequence)).otherwise(reverse_complement(F.col(sequence)))
+    rows = rows.withColumn("protein", translate(F.substring(strand, F.abs("frame"), F.length(sequence)), code, True))
     return rows.withColumn("usable", F.length("protein") >= F.floor(F.floor(F.length(sequence) / 3) * 0.8))
 
 

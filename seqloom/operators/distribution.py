@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.labels import natural_key
+from seqloom.operators.graph import ordered_index
 
 
 def partition_distribution(satc: DataFrame, extendors: DataFrame, partitions: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def replicate_series(grid: DataFrame, groups: Sequence[str], value: str, mean: b
 
 def natural_index(frame: DataFrame, column: str) -> DataFrame:
     """Distinct values with their index from 1 in natural order."""
-    return frame.select(column).distinct().withColumn("index", F.row_number().over(Window.orderBy(natural_key(F.col(column)), column)).cast("long"))
+    keyed = frame.select(column).distinct().withColumn("__key", natural_key(F.col(column)))
+    return ordered_index(keyed, ["__key", column], "index").select(column, (F.col("index") + 1).alias("index"))
 
 
 def requested_first(column: str, requested: Sequence[str]) -> list[Column]:

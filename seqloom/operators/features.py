@@ -122,11 +122,11 @@ def hashed_embedding(frame: DataFrame, sequence: str, dimensions: int = 32, k: i
     places = F.transform(words, lambda w: F.struct(F.pmod(F.hash(w), F.lit(dimensions)).alias("d"), F.when(F.pmod(F.xxhash64(w), F.lit(2)) == 0, 1.0).otherwise(-1.0).alias("s")))
     count = F.greatest(n - k + 1, F.lit(1))
 
-    def summed(d: int) -> Column:
-        return F.aggregate(places, F.lit(0.0), lambda acc, p: acc + F.when(p["d"] == d, p["s"]).otherwise(0.0)) / count
+    def add(vector: Column, place: Column) -> Column:
+        return F.transform(vector, lambda x, i: x + F.when(i == place["d"], place["s"]).otherwise(0.0))
 
-    vector = F.array(*[summed(d) for d in range(dimensions)])
-    return frame.withColumn("embedding", vector)
+    sums = F.aggregate(places, F.array_repeat(F.lit(0.0), dimensions), add)
+    return frame.withColumn("embedding", F.transform(sums, lambda x: x / count))
 
 
 def aligned_features(train: DataFrame, other: DataFrame, feature: str) -> DataFrame:

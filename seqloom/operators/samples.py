@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.functions.sequence import is_missing_block, placeholder
+from seqloom.functions.sequence import is_missing_block, kmers, placeholder
+from seqloom.operators.graph import ordered_index
 
 SATC = "sample string, anchor string, target string, count long"
 
@@ -15,10 +16,9 @@ def count_targets(reads: DataFrame, anchors: DataFrame, sample: str, read: str,
 
     anchors: column ``anchor``. The list of anchors decides by its size whether it is broadcast.
     """
-    width = anchor_length + target_length
-    starts = F.when(F.length(read) >= width, F.sequence(F.lit(1), F.length(read) - width + 1))
-    places = reads.select(F.col(sample).alias("sample"), F.col(read).alias("__read"), F.explode(starts).alias("__at"))
-    cut = places.select("sample", F.substring(F.col("__read"), F.col("__at"), F.lit(anchor_length)).alias("anchor"), F.substring(F.col("__read"), F.col("__at") + anchor_length, F.lit(target_length)).alias("target"))
+    named = reads.select(F.col(sample).alias("sample"), F.col(read).alias("read"))
+    places = kmers(named, "read", anchor_length + target_length, 1)
+    cut = places.select("sample", F.substring("kmer", 1, anchor_length).alias("anchor"), F.substring("kmer", anchor_length + 1, target_length).alias("target"))
     return cut.join(anchors.select("anchor").distinct(), "anchor", "left_semi").groupBy("sample", "anchor", "target").agg(F.count("*").alias("count"))
 
 
@@ -98,14 +98,12 @@ def varied(blocks: DataFrame, more_than: int = 2) -> DataFrame:
 
 def dense_blocks(blocks: DataFrame) -> DataFrame:
     """Blocks with ``position``: the dense index of their cluster from 0; the cluster itself stays."""
-    order = blocks.select("cluster").distinct().withColumn("position", F.row_number().over(Window.orderBy("cluster")).cast("long") - 1)
+    order = ordered_index(blocks.select("cluster").distinct(), ["cluster"], "position")
     return blocks.join(order, "cluster")
 
 
 def kmer_dictionary(kmers: DataFrame, record_order: str, start: str, kmer: str, k: int) -> DataFrame:
     """``(kmer, kmer_id)`` in the order of first appearance, ids ``{k}mer_{i}`` from 0."""
-    from seqloom.operators.graph import ordered_index
-
     first = kmers.groupBy(kmer).agg(F.min(F.struct(record_order, start)).alias("__first"))
     flat = first.select(kmer, F.col(f"__first.{record_order}").alias("__a"), F.col(f"__first.{start}").alias("__b"))
     numbered = ordered_index(flat, ["__a", "__b", kmer], "__i")

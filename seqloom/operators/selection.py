@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.labels import is_artifact
+from seqloom.operators.graph import ordered_index
 
 
 def cutoff(frame: DataFrame, column: str, share: float, interpolated: bool = True) -> DataFrame:
@@ -86,7 +87,9 @@ def reorder_clusters(members: DataFrame, scores: DataFrame, cluster: str, anchor
     joined = members.join(scores.select(anchor, effect, prevalence), anchor, "left")
     whole = lambda c: F.when(F.count(c) == F.count(F.lit(1)), F.avg(c))
     per_cluster = joined.groupBy(cluster).agg(F.round(whole(effect) * whole(prevalence), 9).alias("score"))
-    ranked = per_cluster.withColumn("new_cluster", F.row_number().over(Window.orderBy(F.desc_nulls_last("score"), cluster)).cast("long"))
+    # Clusters are numbered across partitions: there may be very many, and each is a row here.
+    order = per_cluster.withColumns({"__null": F.col("score").isNull(), "__down": -F.col("score")})
+    ranked = ordered_index(order, ["__null", "__down", cluster], "__i").select(cluster, "score", (F.col("__i") + 1).alias("new_cluster"))
     inside = Window.partitionBy(cluster).orderBy(F.desc_nulls_last(effect), anchor)
     placed = joined.withColumn("rank", F.row_number().over(inside).cast("long"))
     return placed.join(ranked, cluster).select("new_cluster", "rank", anchor, effect, "score", cluster)

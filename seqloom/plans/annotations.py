@@ -117,8 +117,8 @@ def backfill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def label_resolution(spark: SparkSession, folder: str) -> DataFrame:
-    h = _hits(spark, folder).filter("query is not null")
-    clean = labels.clean_label(F.col("stitle"))
+    h = _hits(spark, folder).filter("query is not null").withColumn("clean", labels.clean_label(F.col("stitle")))
+    clean = F.col("clean")
     out = annotation.resolved_label(F.when(F.col("qcovs") > 90, clean), F.when(F.col("qcovs") > 70, clean), F.when(F.col("identity") > 98, clean), F.when(F.col("blast_mode") == "blastp", clean), F.lit(None).cast("string"), F.col("evalue") < 1, F.col("query"))
     return h.select("hit_id", out.alias("label"))
 

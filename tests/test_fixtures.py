@@ -219,3 +219,10 @@ def test_trees_and_density():
     labels_, chance = learning.density_clusters(np.abs(points[:, None] - points[None, :]), 5)
     assert len(set(labels_[:20])) == 1 and len(set(labels_[20:40])) == 1 and labels_[0] != labels_[20] and labels_[40] == -1
     assert chance.max() <= 1 and (learning.density_clusters(d[:3, :3], 5)[0] == -1).all()
+
+
+@pytest.mark.parametrize("k, step", [(7, 1), (30, 30), (5, 9), (40, 11)])
+def test_windows_of_long_sequences(spark, k, step):
+    text = "ACGTTGCA" * 20_000 + "ACG"
+    rows = seq.kmers(column(spark, [text]), "v", k, step).select("start", "kmer").collect()
+    assert sorted(tuple(r) for r in rows) == [(i, text[i : i + k]) for i in range(0, len(text) - k + 1, step)]
