@@ -70,3 +70,23 @@ def prefix_sum(frame: DataFrame, value: str, order: str, within: Sequence[str],
     joined = left.join(right, same)
     kept = [F.col(f"l.{c}") for c in frame.columns]
     return joined.select(*kept, (F.col(f"l.{out}") + F.col(f"r.{base}")).alias(out), F.col(f"l.{key}").alias(key))
+
+
+def digest_rank(frame: DataFrame, within: Sequence[str], key: str, seed: int, out: str) -> DataFrame:
+    """Rank from 1 in the order of ``md5(key|seed)`` inside each group, which any engine can repeat.
+
+    The first two digits of the digest are a bucket that keeps the order: a group of any size spreads over 256
+    tasks, and the counts of buckets (256 rows per group) give the ranks their base.
+    """
+    digest, bucket, base = f"{out}_digest", f"{out}_bucket", f"{out}_base"
+    placed = frame.withColumn(digest, F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))))
+    placed = placed.withColumn(bucket, F.substring(digest, 1, 2))
+    inner = placed.withColumn(out, F.row_number().over(Window.partitionBy(*within, bucket).orderBy(digest, key)))
+    counts = placed.groupBy(*within, bucket).agg(F.count("*").alias(base))
+    before = (Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0)))
+    same = F.lit(True)
+    for k in [*within, bucket]:
+        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    joined = inner.alias("l").join(counts.alias("r"), same)
+    return joined.select(*[F.col(f"l.{c}") for c in frame.columns], (F.col(f"l.{out}") + F.col(f"r.{base}")).cast("long").alias(out))

@@ -222,5 +222,7 @@ def kept_first(frame: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def ratio_to_largest(frame: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
-    window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    return frame.withColumn("ratio", F.abs(F.col(value)) / F.nullif(F.max(F.abs(F.col(value))).over(window), F.lit(0.0)))
+    """``ratio`` of the absolute value to the largest of its group, or of all rows."""
+    most = frame.groupBy(*group).agg(F.max(F.abs(F.col(value))).alias("__most"))
+    joined = frame.join(most, list(group)) if group else frame.crossJoin(F.broadcast(most))  # one row without groups
+    return joined.withColumn("ratio", F.abs(F.col(value)) / F.nullif(F.col("__most"), F.lit(0.0))).drop("__most")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.labels import natural_key
 from seqloom.operators.graph import ordered_index
+from seqloom.session import cut
 
 
 def partition_distribution(satc: DataFrame, extendors: DataFrame, partitions: DataFrame) -> DataFrame:
@@ -24,9 +25,10 @@ def partition_distribution(satc: DataFrame, extendors: DataFrame, partitions: Da
     sets = per_sample.groupingSets([["extendor", "major"], ["extendor", "major", "minor"]], "extendor", "major", "minor")
     found = sets.agg(F.sum("count").alias("count"), F.count_distinct(F.when(F.col("count") > 0, F.col("sample"))).alias("samples"), F.grouping("minor").alias("g"))
     found = found.select("extendor", F.when(F.col("g") == 1, "major").otherwise("minor").alias("level"), "major", F.when(F.col("g") == 1, "").otherwise(F.col("minor")).alias("minor"), "count", "samples")
+    found = cut(found)  # read twice below; one row per extendor and partition
     labels = partitions.select(F.coalesce("major", F.lit("NA")).alias("major"), F.coalesce("minor", F.lit("NA")).alias("minor")).union(found.filter("level = 'minor'").select("major", "minor")).distinct()
     grid = labels.select(F.lit("minor").alias("level"), "major", "minor").union(labels.select(F.lit("major"), "major", F.lit("")).distinct())
-    full = extendors.select("extendor").distinct().crossJoin(F.broadcast(grid))  # partitions are labels, and few
+    full = extendors.select("extendor").distinct().crossJoin(grid)  # the result asked for: every extendor and label
     return full.join(found, ["extendor", "level", "major", "minor"], "left").na.fill(0, ["count", "samples"])
 
 
@@ -124,7 +126,6 @@ def with_lineage(frame: DataFrame, lineage: DataFrame, key: str, cluster: str, l
 
 
 def shares_with_counts(frame: DataFrame, group: Sequence[str], condition: Column) -> DataFrame:
-    """Rows with the number and share of their group that meet a condition."""
-    window = Window.partitionBy(*group)
-    met = F.sum(condition.cast("long")).over(window)
-    return frame.withColumns({"met": met, "met_share": met / F.count("*").over(window)})
+    """Rows with the number and share of their group that meet a condition. Groups are counted before rows are joined."""
+    counts = frame.groupBy(*group).agg(F.sum(F.coalesce(condition, F.lit(False)).cast("long")).alias("met"), F.count("*").alias("__n"))
+    return frame.join(counts, list(group)).withColumn("met_share", F.col("met") / F.col("__n")).drop("__n")

@@ -57,7 +57,7 @@ def dummies(frame: DataFrame, key: str, column: str) -> DataFrame:
     """``(key, level, value)``: indicators of all levels but the first; a missing value gives nulls."""
     levels = frame.filter(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct()
     levels = levels.withColumn("__i", F.row_number().over(Window.orderBy("level"))).filter("__i > 1").drop("__i")
-    return frame.select(key, column).crossJoin(F.broadcast(levels)).select(key, "level", (F.col(column) == F.col("level")).cast("long").alias("value"))
+    return frame.select(key, column).crossJoin(levels).select(key, "level", (F.col(column) == F.col("level")).cast("long").alias("value"))
 
 
 def encoded_target(frame: DataFrame, key: str, column: str) -> DataFrame:
@@ -66,7 +66,7 @@ def encoded_target(frame: DataFrame, key: str, column: str) -> DataFrame:
     classes = classes.withColumns({"__i": F.row_number().over(Window.orderBy("class")), "__n": F.count("*").over(Window.partitionBy(F.lit(0)))})
     classes = classes.filter("__n <> 2 or __i = 2").drop("__i", "__n")
     held = frame.filter(F.col(column).isNotNull()).select(key, column)
-    return held.crossJoin(F.broadcast(classes)).select(key, "class", (F.col(column) == F.col("class")).cast("long").alias("value"))
+    return held.crossJoin(classes).select(key, "class", (F.col(column) == F.col("class")).cast("long").alias("value"))
 
 
 def varying_groups(long: DataFrame, group: str, feature: str, value: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.functions.frames import digest_rank
 from seqloom.functions.text import is_missing
 
 
@@ -50,11 +51,6 @@ def seen_classes(test: DataFrame, train: DataFrame, label: str) -> DataFrame:
     return test.join(train.select(label).distinct(), label, "left_semi")
 
 
-def _order(key: str, seed: int) -> Column:
-    """Pseudorandom order of a key that any engine can repeat."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-
-
 def balanced_split(frame: DataFrame, key: str, label: str, share: float, seed: int = 42, balanced_test: bool = False) -> DataFrame:
     """``split``: of every class, ``floor(smallest class x share)`` rows to train and the rest to test.
 
@@ -64,8 +60,7 @@ def balanced_split(frame: DataFrame, key: str, label: str, share: float, seed: i
     sizes = frame.groupBy(label).agg(F.count("*").alias("__n"))
     least = sizes.agg(F.min("__n").alias("__least"))
     wanted = F.floor(F.col("__least") * F.lit(share))
-    place = F.row_number().over(Window.partitionBy(label).orderBy(_order(key, seed), key))
-    placed = frame.crossJoin(F.broadcast(least)).withColumn("__place", place)
+    placed = digest_rank(frame, [label], key, seed, "__place").crossJoin(F.broadcast(least))  # one row
     split = F.when(F.col("__place") <= wanted, "train")
     split = split.when(F.col("__place") <= F.col("__least"), "test").otherwise("unused") if balanced_test else split.otherwise("test")
     return placed.withColumn("split", split).drop("__least", "__place")
@@ -73,10 +68,14 @@ def balanced_split(frame: DataFrame, key: str, label: str, share: float, seed: i
 
 def continuous_split(frame: DataFrame, key: str, share: float, strata: str | None = None, seed: int = 42) -> DataFrame:
     """``split``: ``floor(n x share)`` rows to train, in every stratum if there is one."""
-    groups = [F.col(strata)] if strata else [F.lit(0)]
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(_order(key, seed), key))
-    size = F.count("*").over(Window.partitionBy(*groups))
-    return frame.withColumns({"__place": place, "__size": size}).withColumn("split", F.when(F.col("__place") <= F.floor(F.col("__size") * share), "train").otherwise("test")).drop("__place", "__size")
+    groups = [strata] if strata else []
+    placed = digest_rank(frame, groups, key, seed, "__place")
+    sizes = frame.groupBy(*groups).agg(F.count("*").alias("__size"))
+    if strata:
+        placed = placed.alias("l").join(sizes.alias("r"), F.col(f"l.{strata}").eqNullSafe(F.col(f"r.{strata}"))).select("l.*", "__size")
+    else:
+        placed = placed.crossJoin(F.broadcast(sizes))  # one row
+    return placed.withColumn("split", F.when(F.col("__place") <= F.floor(F.col("__size") * share), "train").otherwise("test")).drop("__place", "__size")
 
 
 def is_stratum(long: DataFrame, most: int = 10) -> DataFrame:

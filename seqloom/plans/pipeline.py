@@ -10,9 +10,10 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.functions.frames import digest_rank
 from seqloom.functions.sequence import kmers
 from seqloom.operators import annotation, features, graph, samples, selection, targets
 from seqloom.plans.registry import register, stage
@@ -145,8 +146,7 @@ def model_tables(feature_rows: DataFrame, metadata: DataFrame, key: str, least:
     held = long.join(eligible, "category", "left_semi")
     sizes = held.groupBy("category", "value").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     floor = sizes.groupBy("category").agg(F.min("n").alias("least"))
-    order = Window.partitionBy("category", "value").orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), key)
-    placed = held.join(sizes.drop("n"), ["category", "value"], "left_semi").join(floor, "category").withColumn("place", F.row_number().over(order))
+    placed = digest_rank(held.join(sizes.drop("n"), ["category", "value"], "left_semi").join(floor, "category"), ["category", "value"], key, seed, "place")
     split = placed.withColumn("split", F.when(F.col("place") <= F.floor(F.col("least") * share), "train").otherwise("test"))
     labelled = split.select(F.col(key).alias("sample"), "category", F.col("value").alias("value_label"), "split")
     return feature_rows.join(labelled, "sample")
