@@ -19,6 +19,8 @@ from seqloom.session import cut, tokenizer_path
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
+#: Characters that are tokenized before their tokens are handed on.
+CHARS = 4_000_000
 #: Tokens of a block, blocks of an output shard, and how many sources and shards the driver may plan.
 BLOCK, SHARD_BLOCKS, MAX_SOURCES, MAX_SHARDS = 2_048, 512, 1_000, 65_536
 
@@ -41,9 +43,16 @@ def tokenized(documents: DataFrame, text: str, path: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            tokens = pa.array([own.encode_ordinary(t) for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in rest], tokens], names=[*rest, "tokens"])
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            first = size = 0
+            for k, t in enumerate(texts):
+                size += len(t or "")
+                if size < CHARS and k + 1 < len(texts):
+                    continue
+                tokens = pa.array([np.array(own.encode_ordinary(t or ""), dtype=np.int32) for t in texts[first : k + 1]], pa.list_(pa.int32()))
+                part = batch.slice(first, k + 1 - first)
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in rest], tokens], names=[*rest, "tokens"])
+                first, size = k + 1, 0
 
     return documents.mapInArrow(encode, schema)
 
