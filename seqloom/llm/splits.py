@@ -29,7 +29,7 @@ def tie_groups(records: DataFrame, id_column: str, keys: Sequence[Column], known
     if known is not None:
         vertices = vertices.unionByName(known.select("key", "root"))
     vertices = cut(vertices.groupBy("key").agg(F.min("root").alias("vertex"), F.count("*").alias("n")))
-    total = held.count()
+    total = vertices.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Keys with very many rows: at most 2,000 of them, so they are broadcast and their rows stay where they are.
     hot = vertices.filter(F.col("n") > F.lit(max(10_000, total // 2_000))).select("key", F.col("vertex").alias("hot"))
     met = held.join(F.broadcast(hot), "key", "left").withColumn("key", F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.concat(F.lit("h"), F.col("id").cast("string"))))
