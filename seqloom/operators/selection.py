@@ -59,8 +59,9 @@ def select_anchors(
     distinct = wide.groupBy(anchor).agg(F.max(prevalence).alias(prevalence))
     if lookup is not None:
         distinct = distinct.join(lookup.filter(is_artifact(F.col("stats"))).select(anchor), anchor, "left_anti")
-    top = distinct.orderBy(F.desc(prevalence), anchor).limit(wanted)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(prevalence), anchor)).cast("long"))
+    # Numbered across partitions: a limit of millions would gather them in one task.
+    numbered = ordered_index(distinct.withColumn("__down", -F.col(prevalence)), ["__down", anchor], "__i")
+    return numbered.filter(F.col("__i") < wanted).select(anchor, prevalence, (F.col("__i") + 1).alias("rank"))
 
 
 def ranked_column(headers: Sequence[str], pattern: str, rank: int) -> str:
