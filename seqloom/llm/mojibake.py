@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import cache, lru_cache
 
@@ -177,6 +177,7 @@ class Model:
             self.singles[b] += n
         self.total = sum(pairs.values()) + 1.0
         self.kept: dict[str, dict[str, float]] = {}
+        self.quick: dict[str, list[tuple[str, float]]] = {}
 
     def score(self, text: str) -> float:
         """Log probability of a window."""
@@ -203,11 +204,25 @@ class Model:
             found = self.kept[window] = {c: scores[before] for c, before in options.items() if scores[before] > -3}
         return found
 
+    def likely(self, window: str) -> list[tuple[str, float]]:
+        """Chains that speak for a garbled window, with the log ratio, the best first; a silent window has none."""
+        found = self.quick.get(window)
+        if found is None:
+            if len(self.quick) > 200_000:
+                self.quick.clear()
+            found = self.quick[window] = [] if is_silent(window) else sorted(((c, r) for c, r in self.ratios(window).items() if r > 0), key=lambda x: -x[1])
+        return found
+
     def prior(self, source: str, chain: str) -> float:
         own = self.chains.get(source) or self.chains["*"]
         return own.get(chain, self.chains["*"].get(chain, 1e-6))
 
 
+def is_silent(window: str) -> bool:
+    """A no-break space or soft hyphen alone is common in clean text and speaks for nothing."""
+    return window.translate(_SILENT).isascii()
+
+
 def _windows(text: str) -> list[str]:
     return _WINDOW.findall(_MENTION.sub(" ", text)) if not text.isascii() else []
 
@@ -287,52 +302,47 @@ def _chains(rows: pd.DataFrame) -> dict[str, dict[str, float]]:
 PARTS = (0.05, 0.3, 0.95)
 #: Log odds from which a record counts as garbled. Clean records stay far below: see the README.
 LEAST_ODDS = -4.0
+#: Log ratio that some window of a garbled record must reach.
+LEAST_RATIO = 5.0
 #: Most log evidence of one window, and by how much another chain must be ahead of the record's to put a window right.
 LIMIT, CLEARLY = 25.0, 8.0
 
 
 def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]:
     """Chain, log odds against clean text (None without evidence), and the restored text of one record."""
-    counts: dict[str, int] = defaultdict(int)
-    for w in _windows(text):
-        counts[w] += 1
+    # Most records are clean: they have no window that speaks clearly for any chain.
+    if text.isascii() or not any(model.likely(w) and model.likely(w)[0][1] >= LEAST_RATIO for w in _WINDOW.findall(text)):
+        return (LOST if "�" in _MENTION.sub(" ", text) else CLEAN), None, text
+    windows = _windows(text)
     # What a chain can gain at most: chains that cannot reach the limit need no closer look.
     most_of: dict[str, float] = defaultdict(float)
     full: dict[str, float] = defaultdict(float)
-    telling = []
-    for w, n in counts.items():
-        # A no-break space or soft hyphen alone is common in clean text and speaks for nothing.
-        if w.isascii() or w.translate(_SILENT).isascii():
-            continue
-        ratios = model.ratios(w)
-        if not ratios:
-            continue
-        telling.append((n, ratios))
-        for c, r in ratios.items():
-            if r > 0:
-                most_of[c] += n * min(r, LIMIT)
-                full[c] += n * r
+    for w in windows:
+        for c, r in model.likely(w):
+            most_of[c] += min(r, LIMIT)
+            full[c] += r
     clean = model.prior(source, CLEAN)
-    possible = [c for c, most in most_of.items() if most + math.log(model.prior(source, c) / clean) > LEAST_ODDS]
-    every = sum(counts.values())
-    parts = np.array([1 / max(2, every), *PARTS])
+    bounds = sorted(((most + math.log(model.prior(source, c) / clean), c) for c, most in most_of.items()), reverse=True)
+    parts = np.array([1 / max(2, len(windows)), *PARTS])
     none = np.log1p(-parts)
-    silent = every - sum(n for n, _ in telling)
-    evidence: dict[str, np.ndarray] = {}
-    for c in possible:
-        total = silent * none
-        for n, ratios in telling:
+    counts = Counter(windows)
+    odds: dict[str, float] = {}
+    most = None
+    for bound, c in bounds:
+        if bound <= max(LEAST_ODDS, most if most is not None else LEAST_ODDS):
+            break
+        total = np.zeros(len(parts))
+        for w, n in counts.items():
+            r = None if is_silent(w) else model.ratios(w).get(c)
             # Beyond a limit a single window says no more; one character seen once says less than many.
-            r = ratios.get(c)
-            total = total + n * (none if r is None else np.log1p(parts * math.expm1(min(r, LIMIT))))
-        evidence[c] = total
-    odds = {c: float(e.max()) - math.log(1 + len(PARTS)) + math.log(model.prior(source, c) / clean) for c, e in evidence.items()}
-    most = max(odds.values(), default=None)
+            total += n * (none if r is None else np.log1p(parts * math.expm1(min(r, LIMIT))))
+        odds[c] = float(total.max()) - math.log(len(parts)) + math.log(model.prior(source, c) / clean)
+        most = odds[c] if most is None else max(most, odds[c])
     if most is not None and most > LEAST_ODDS:
-        # Of the chains that are likely enough, the one that explains most names the record.
+        # Of the chains looked at that are likely enough, the one that explains most names the record.
         chain = max((c for c, o in odds.items() if o > LEAST_ODDS), key=lambda c: (full[c] + math.log(model.prior(source, c)), c))
         return chain, most, _restore(model, chain, text)
-    return (LOST if any("�" in w for w in counts) else CLEAN), most, text
+    return (LOST if any("�" in w for w in windows) else CLEAN), most, text
 
 
 def _restore(model: Model, chain: str, text: str) -> str:
@@ -366,7 +376,7 @@ def garbled(documents: DataFrame, document_id: str, source: Column, text: str, m
     named = pick(named, {"d": document_id, "t": text, "s": "s"})
     if model is None:
         model = fit(counted_windows(named, F.coalesce("s", F.lit("")), ["t"]))
-    model.kept = {}
+    model.kept, model.quick = {}, {}
     held = documents.sparkSession.sparkContext.broadcast(model)
     kind = dict(named.dtypes)["d"]
 
