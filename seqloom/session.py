@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,18 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """Write the frame to the shared folder as a compressed table and go on from there.
+
+    For large frames: a checkpoint holds rows as they are in memory. The files lie under the application's id, and
+    may be removed when it has ended; on a local master they go with the temporary folder.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a public vocabulary file; ``SEQLOOM_TOKENIZERS`` names another folder."""
     return os.path.join(os.environ.get("SEQLOOM_TOKENIZERS", "/opt/tokenizers"), name)
