@@ -9,18 +9,21 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick, prefix_sum
-from seqloom.session import cut, tokenizer_path
+from seqloom.session import cut, tokenizer_path, written
 
 # Fixed value: the pattern by which the public byte-level vocabulary splits text.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Characters that are tokenized before their tokens are handed on.
-CHARS = 4_000_000
+#: Tokens that a task gathers before they are handed on.
+HANDED_ON = 1_000_000
+#: Rows per partition and source whose block numbers are broadcast; more are joined by a shuffle.
+MAX_BASES = 200_000
 #: Tokens of a block, blocks of an output shard, and how many sources and shards the driver may plan.
 BLOCK, SHARD_BLOCKS, MAX_SOURCES, MAX_SHARDS = 2_048, 512, 1_000, 65_536
 
@@ -35,52 +38,78 @@ def encoder(path: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def tokenized(documents: DataFrame, text: str, path: str) -> DataFrame:
-    """``documents`` (its columns renamed as they are) with ``tokens``; null texts have none, long texts are read whole."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields if f.name != text) + ", tokens array<int>"
-    rest = [f.name for f in documents.schema.fields if f.name != text]
+def packed_locally(documents: DataFrame, block: int, path: str) -> DataFrame:
+    """``(s, part, at, tokens)`` of ``(s, t)``: per partition and source, full blocks counted from 0 and a rest (``at`` -1).
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A source's tokens are held until they fill a block, so a task keeps less than a block per source.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
+        part = TaskContext.get().partitionId()
+        held: dict[str, list[np.ndarray]] = {}
+        size: dict[str, int] = {}
+        done: dict[str, int] = {}
+        out: list[tuple[str, int, np.ndarray]] = []
+        waiting = 0
+
+        def batch_of(rows: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
+            tokens = pa.array([r[2] for r in rows], pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([part] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.int64()), tokens], names=["s", "part", "at", "tokens"])
+
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            first = size = 0
-            for k, t in enumerate(texts):
-                size += len(t or "")
-                if size < CHARS and k + 1 < len(texts):
+            for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(s, []).append(np.array(own.encode_ordinary(t), dtype=np.int32))
+                size[s] = size.get(s, 0) + len(held[s][-1])
+                if size[s] < block:
                     continue
-                tokens = pa.array([np.array(own.encode_ordinary(t or ""), dtype=np.int32) for t in texts[first : k + 1]], pa.list_(pa.int32()))
-                part = batch.slice(first, k + 1 - first)
-                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in rest], tokens], names=[*rest, "tokens"])
-                first, size = k + 1, 0
-
-    return documents.mapInArrow(encode, schema)
+                whole = np.concatenate(held[s])
+                full = len(whole) // block
+                for k in range(full):
+                    out.append((s, done.get(s, 0) + k, whole[k * block : (k + 1) * block]))
+                done[s] = done.get(s, 0) + full
+                held[s], size[s] = [whole[full * block :]], len(whole) - full * block
+                waiting += full * block
+                if waiting >= HANDED_ON:
+                    yield batch_of(out)
+                    out, waiting = [], 0
+        out += [(s, -1, np.concatenate(held[s])) for s in held if size[s]]
+        if out:
+            yield batch_of(out)
+
+    return documents.mapInArrow(pack, "s string, part int, at long, tokens array<int>")
 
 
 def blocks(documents: DataFrame, document_id: str, source: Column, text: str, block: int = BLOCK, path: str | None = None, seed: int = 17) -> DataFrame:
     """``(source, block, n_tokens, tokens)``: the tokens of every source, one document after another, in blocks.
 
-    Documents of a source follow each other in a pseudorandom order; where each begins is a prefix sum that is
-    formed across partitions, so a source may hold any share of the rows. Blocks of a source count from 0; all
-    have ``block`` tokens but the last. Documents without tokens and with a null source are left out; a
-    document that occurs twice counts twice. A long document is cut into pieces where it is tokenized.
+    Partitions pack their documents to full blocks in one pass and write them; blocks are numbered by the counts
+    of partitions. The rests, less than a block per partition and source, are ordered by a hash, placed by a prefix sum and
+    packed the same way, so a source may hold any share of the rows and its tokens are never shuffled to be packed.
+    Blocks of a source count from 0; all have ``block`` tokens but the last. Documents without tokens and with a
+    null source are left out; a document that occurs twice counts twice. Texts are read whole.
     """
     named = documents.select(source.cast("string").alias("s"), "*")
-    named = pick(named, {"d": document_id, "s": "s", "t": text}).filter("s is not null and t is not null and t <> ''")
-    named = named.select("s", "t", F.concat_ws(":", F.col("d").cast("string"), F.md5("t")).alias("key"), F.monotonically_increasing_id().alias("row"))
-    tokens = cut(tokenized(named, "t", path or tokenizer_path(VOCABULARY)))
-    sizes = tokens.select("s", "row", "key", F.size("tokens").cast("long").alias("n")).filter("n > 0")
-    starts = prefix_sum(sizes, "n", "key", ["s"], seed, "start").select("row", "start")
-    placed = tokens.select("s", "row", "tokens").join(starts, "row")
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.size("tokens") - 1) / block)
-    pieces = placed.select("s", "start", "tokens", F.explode(F.sequence(first, last)).alias("block"))
-    begin = F.greatest(F.col("block") * block - F.col("start"), F.lit(0)).cast("int")
-    stop = F.least((F.col("block") + 1) * block - F.col("start"), F.size("tokens").cast("long")).cast("int")
-    pieces = pieces.select("s", "block", (F.col("start") + begin).alias("at"), F.slice("tokens", begin + 1, stop - begin).alias("piece"))
+    named = pick(named, {"s": "s", "t": text, "d": document_id}).filter("s is not null and t is not null and t <> ''").select("s", "t")
+    local = written(packed_locally(named, block, path or tokenizer_path(VOCABULARY)))
+    counts = cut(local.filter("at >= 0").groupBy("s", "part").agg((F.max("at") + 1).alias("n")))
+    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    if counts.count() <= MAX_BASES:
+        bases = F.broadcast(bases)
+    full = local.filter("at >= 0").join(bases, ["s", "part"]).select(F.col("s").alias("source"), (F.col("base") + F.col("at")).alias("block"), "tokens")
+    totals = counts.groupBy("s").agg(F.sum("n").alias("full"))
+    rests = local.filter("at < 0").withColumn("n", F.size("tokens").cast("long")).withColumn("key", F.col("part").cast("long"))
+    placed = prefix_sum(rests.select("s", "key", "n", "tokens"), "n", "key", ["s"], seed, "start")
+    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("n") - 1) / block)
+    pieces = placed.select("s", "start", "tokens", F.explode(F.sequence(first, last)).alias("b"))
+    begin = F.greatest(F.col("b") * block - F.col("start"), F.lit(0)).cast("int")
+    stop = F.least((F.col("b") + 1) * block - F.col("start"), F.size("tokens").cast("long")).cast("int")
+    pieces = pieces.select("s", "b", (F.col("start") + begin).alias("at"), F.slice("tokens", begin + 1, stop - begin).alias("piece"))
     # A block has at most as many pieces as tokens.
-    whole = pieces.groupBy("s", "block").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
-    whole = whole.select(F.col("s").alias("source"), "block", F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("tokens"))
-    return whole.select("source", "block", F.size("tokens").alias("n_tokens"), "tokens")
+    merged = pieces.groupBy("s", "b").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces")).join(totals, "s", "left")
+    tail = merged.select(F.col("s").alias("source"), (F.coalesce("full", F.lit(0)) + F.col("b")).alias("block"), F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("tokens"))
+    return full.unionByName(tail).select("source", "block", F.size("tokens").alias("n_tokens"), "tokens")
 
 
 def plan(sizes: dict[str, int], targets: list[tuple[str, float, int]], total: int) -> dict[str, int]:
