@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.frames import content_hash, pick, prefix_sum
+from seqloom.session import written
 
 #: Requests are few by definition; more rows than this are refused, so that they may be broadcast.
 MAX_REQUESTS = 50_000
@@ -30,19 +31,6 @@ def distinct_rows(frame: DataFrame, free: str | None, field: str) -> DataFrame:
     return hashed.groupBy("h1", "h2", "value").agg(F.min("row").alias("row")).select("row", "value")
 
 
-def available(requests: DataFrame, tables: dict[str, tuple[DataFrame, str | None]], agree) -> DataFrame:
-    """``(table_name, field_name, value_key, n)``: distinct rows per value of each requested field."""
-    parts = []
-    for (name, field), (frame, free) in tables.items():
-        rows = distinct_rows(frame, free, field)
-        counted = rows.filter(F.col("value").isNotNull()).groupBy(agree(F.col("value")).alias("value_key")).agg(F.count("*").alias("n"))
-        parts.append(counted.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "value_key", "n"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 REQUEST = ("request_id", "table_name", "field_name", "sample_size", "category", "target_share", "min_rows")
 
 
@@ -69,27 +57,34 @@ def draw(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
 
     Values that match no category, nulls and empty tables give nothing. Each row is drawn at most once.
     """
-    wanted = _wanted(requests, agree)
-    drawn = None
+    return _drawn(_wanted(requests, agree), tables, agree, seed)[0]
+
+
+def _drawn(wanted: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str | None]], agree, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows drawn, and ``(table_name, field_name, value_key, n)`` of the requested values.
+
+    The random order of a category is made once; a request starts at a place of its own in it, so that requests
+    for the same category draw different rows.
+    """
+    drawn = there = None
     for (name, field), (frame, free) in tables.items():
-        rows = distinct_rows(frame, free, field).withColumn("value_key", agree(F.col("value")))
         asked = wanted.filter((F.col("table_name") == name) & (F.col("field_name") == field)).select("request_id", "category", "value_key", "required", (F.col("target_share") * F.col("sample_size")).alias("expected"))
-        rows = rows.join(F.broadcast(asked), "value_key").select("request_id", "category", "value_key", "required", "expected", "row")
-        numbered = prefix_sum(rows.withColumn("one", F.lit(1)), "one", "row", ["request_id", "category"], seed, "at")
-        # Expected numbers of the categories before, per request: requests are few, so this is a small window.
-        counted = numbered.groupBy("request_id", "category", "expected").agg(F.count("*").alias("n"))
-        counted = counted.withColumn("mass", F.least("expected", F.col("n").cast("double")))
+        rows = distinct_rows(frame, free, field).select(agree(F.col("value")).alias("value_key"), "row")
+        rows = written(rows.join(F.broadcast(asked.select("value_key").distinct()), "value_key", "left_semi"))
+        numbered = prefix_sum(rows.withColumn("one", F.lit(1)), "one", "row", ["value_key"], seed, "at").select("value_key", "row", "at")
+        counts = rows.groupBy("value_key").agg(F.count("*").alias("n"))
+        # Expected numbers of the categories before, per request: as many rows as requests, so a small window.
+        counted = asked.join(counts, "value_key").withColumn("mass", F.least("expected", F.col("n").cast("double")))
         before = Window.partitionBy("request_id").orderBy("category").rowsBetween(Window.unboundedPreceding, -1)
         counted = counted.withColumn("base", F.coalesce(F.sum("mass").over(before), F.lit(0.0)))
-        counted = counted.select("request_id", "category", "n", "mass", "base")
-        placed = numbered.join(F.broadcast(counted), ["request_id", "category"])  # at most as many rows as requests
+        placed = numbered.join(F.broadcast(counted), "value_key")
+        placed = placed.withColumn("at", F.pmod(F.col("at") + F.pmod(F.xxhash64(F.lit(seed), "request_id", "category"), F.col("n")), F.col("n")))
         start = F.pmod(F.xxhash64(F.lit(seed), F.col("request_id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
 
         def crossed(k: Column, start: Column = start) -> Column:
             return F.floor(F.round(F.col("base") + F.col("mass") * k / F.col("n"), 9) + start)
 
-        chosen = crossed(F.col("at") + 1) > crossed(F.col("at"))
-        placed = placed.withColumn("chosen", chosen)
+        placed = placed.withColumn("chosen", crossed(F.col("at") + 1) > crossed(F.col("at")))
         # The number drawn in a category, and how many undrawn rows stand before a row, follow from the sums alone.
         total = crossed(F.col("n")) - crossed(F.lit(0))
         short = F.greatest(F.least("required", "n") - total, F.lit(0))
@@ -97,14 +92,16 @@ def draw(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
         repair = ~F.col("chosen") & (undrawn < short)
         part = placed.filter(F.col("chosen") | repair).select("request_id", "category", "row", repair.alias("repair"), F.lit(name).alias("table_name"))
         drawn = part if drawn is None else drawn.unionByName(part)
-    return drawn
+        found = counts.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "value_key", "n")
+        there = found if there is None else there.unionByName(found)
+    return drawn, there
 
 
 def sample_report(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str | None]], agree, seed: int = 17) -> DataFrame:
     """Per request and category: rows required, available and drawn, shares, and what is missing after the repair."""
     wanted = _wanted(requests, agree)
-    there = available(requests, tables, agree)
-    drawn = draw(requests, tables, agree, seed).groupBy("request_id", "category").agg(F.count("*").alias("drawn"), F.sum(F.col("repair").cast("long")).alias("repaired"))
+    drawn, there = _drawn(wanted, tables, agree, seed)
+    drawn = drawn.groupBy("request_id", "category").agg(F.count("*").alias("drawn"), F.sum(F.col("repair").cast("long")).alias("repaired"))
     report = wanted.join(there, ["table_name", "field_name", "value_key"], "left").join(drawn, ["request_id", "category"], "left")
     total = F.sum(F.coalesce("drawn", F.lit(0))).over(Window.partitionBy("request_id"))
     n, got = F.coalesce("n", F.lit(0)), F.coalesce("drawn", F.lit(0))
