@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick, prefix_sum
 from seqloom.operators.graph import components
-from seqloom.session import cut, shared_dir
+from seqloom.session import cut, shared_dir, written
 
 #: A component of at least this share of the new records is placed by its size; there are at most as many as its inverse.
 LARGE_SHARE = 0.001
@@ -23,21 +23,25 @@ def tie_groups(records: DataFrame, id_column: str, keys: Sequence[Column], known
     known: ``(key, root)`` of earlier records, whose vertices are their roots.
     """
     options = F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}:"), k.cast("string"))) for i, k in enumerate(keys)])
-    held = records.select(F.col(id_column).cast("long").alias("id"), F.explode(F.array_compact(options)).alias("key"))
-    held = cut(held.distinct())
+    held = written(records.select(F.col(id_column).cast("long").alias("id"), F.explode(F.array_compact(options)).alias("key")))
     vertices = held.select("key", F.col("id").alias("root"))
     if known is not None:
         vertices = vertices.unionByName(known.select("key", "root"))
-    vertices = cut(vertices.groupBy("key").agg(F.min("root").alias("vertex"), F.count("*").alias("n")))
-    total = vertices.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    vertices = vertices.groupBy("key").agg(F.min("root").alias("vertex"), F.count("*").alias("n"))
+    # A key that only one record has ties nothing: most keys end here.
+    shared = written(vertices.filter("n > 1"))
+    total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Keys with very many rows: at most 2,000 of them, so they are broadcast and their rows stay where they are.
-    hot = vertices.filter(F.col("n") > F.lit(max(10_000, total // 2_000))).select("key", F.col("vertex").alias("hot"))
-    met = held.join(F.broadcast(hot), "key", "left").withColumn("key", F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.concat(F.lit("h"), F.col("id").cast("string"))))
-    met = cut(met.join(vertices.select("key", "vertex"), "key", "left").select("id", F.coalesce("hot", "vertex").alias("vertex")))
-    own = met.groupBy("id").agg(F.min("vertex").alias("first"))
-    edges = met.join(own, "id").select(F.col("first").alias("a"), F.col("vertex").alias("b"))
+    hot = shared.filter(F.col("n") > F.lit(max(10_000, total // 2_000))).select("key", F.col("vertex").alias("hot"))
+    met = held.join(F.broadcast(hot), "key", "left")
+    own_hot = met.filter("hot is not null").select("id", F.col("hot").alias("vertex"))
+    others = met.filter("hot is null").select("id", "key").join(shared.select("key", "vertex"), "key").select("id", "vertex")
+    met = written(own_hot.unionByName(others))
+    own = met.groupBy("id").agg(F.min("vertex").alias("first"), F.collect_set("vertex").alias("all"))  # at most one vertex per key
+    own = written(own)
+    edges = own.select(F.col("first").alias("a"), F.explode("all").alias("b"))
     if known is not None:  # an earlier component that shares a key with new records may have a smaller root
-        edges = edges.unionByName(known.join(vertices, "key").filter("root <> vertex").select(F.col("vertex").alias("a"), F.col("root").alias("b")))
+        edges = edges.unionByName(known.join(shared, "key").filter("root <> vertex").select(F.col("vertex").alias("a"), F.col("root").alias("b")))
     roots = components(edges)
     tied = own.join(roots.select(F.col("v").alias("first"), "root"), "first").select("id", "root")
     by_key = vertices.join(roots.select(F.col("v").alias("vertex"), "root"), "vertex", "left").select("key", F.coalesce("root", "vertex").alias("root"))
@@ -78,7 +82,7 @@ def assign_splits(
         old_keys, old_groups, old_records = (spark.read.parquet(f"{state}/{version}/{t}") for t in ("keys", "groups", "records"))
         records = records.join(old_records.select(F.col("id").alias(id_column)), id_column, "left_anti")
     tied, by_key = tie_groups(records, id_column, keys, old_keys)
-    tied = cut(tied)
+    tied = written(tied)
     sizes = tied.groupBy("root").agg(F.count("*").alias("size"))
     if old_keys is not None:
         # Which earlier components meet in a new one, and whether they agree on the split.
@@ -116,7 +120,7 @@ def assign_splits(
     sizes = sizes.join(placed.unionByName(small), "root", "left")
     status = F.when(F.coalesce("conflict", F.lit(False)), "quarantined").when(F.col("split").isNotNull(), "kept").otherwise("new")
     sizes = cut(sizes.select("root", "size", F.when(~F.coalesce("conflict", F.lit(False)), F.coalesce("split", "placed")).alias("split"), status.alias("status")))
-    result = cut(tied.join(sizes, "root").select("id", F.col("root").alias("group_id"), F.col("size").alias("group_size"), "split", "status"))
+    result = written(tied.join(sizes, "root").select("id", F.col("root").alias("group_id"), F.col("size").alias("group_size"), "split", "status"))
     if state:
         _save(f"{state}/{version + 1}", result, by_key, sizes, (old_keys, old_groups, old_records), met if old_keys is not None else None)
     return result.withColumnRenamed("id", id_column)
