@@ -19,9 +19,14 @@ ROMAN = {
 }
 
 
+def _plain(text: Column) -> Column:
+    """Printable ASCII without blanks: most names, for which the wide character classes are not needed."""
+    return text.rlike("^[!-~]+$")
+
+
 def strip_blanks(text: Column) -> Column:
     """Without outer blanks and outer characters that have no glyph."""
-    return F.regexp_replace(text, f"^[{BLANKS}{INVISIBLE}]+|[{BLANKS}{INVISIBLE}]+$", "")
+    return F.when(_plain(text), text).otherwise(F.regexp_replace(text, f"^[{BLANKS}{INVISIBLE}]+|[{BLANKS}{INVISIBLE}]+$", ""))
 
 
 def is_missing(text: Column) -> Column:
@@ -31,7 +36,8 @@ def is_missing(text: Column) -> Column:
 
 def gap_key(text: Column) -> Column:
     """Comparison key that ignores case, outer blanks and how inner gaps are written (blanks, ``-``, ``_``)."""
-    return F.regexp_replace(F.lower(strip_blanks(text)), f"[{BLANKS}{INVISIBLE}_-]+", " ")
+    full = F.regexp_replace(F.lower(strip_blanks(text)), f"[{BLANKS}{INVISIBLE}_-]+", " ")
+    return F.when(text.rlike("^[A-Za-z0-9]+$"), F.lower(text)).otherwise(full)
 
 
 def mate_key(text: Column) -> Column:
@@ -39,10 +45,11 @@ def mate_key(text: Column) -> Column:
 
     Null where the name is missing. Anything else that differs makes another name.
     """
-    bare = F.lower(F.regexp_replace(text, f"[{BLANKS}{INVISIBLE}]+", ""))
+    bare = F.lower(F.when(_plain(text), text).otherwise(F.regexp_replace(text, f"[{BLANKS}{INVISIBLE}]+", "")))
     bare = F.regexp_replace(bare, r"\.(?:fastq|fq)(?:\.(?:gz|bz2|xz|zst))?$", "")
     bare = F.regexp_replace(bare, r"_r?[12]$", "")
-    return F.when(~is_missing(text), bare)
+    full = F.when(~is_missing(text), bare)
+    return F.when(text.rlike("^[A-Za-z]*[0-9][A-Za-z0-9]*$"), F.lower(text)).otherwise(full)
 
 
 def strain_key(text: Column, nothing: tuple[str, ...] = ("unknown", "mixed")) -> Column:
@@ -50,9 +57,13 @@ def strain_key(text: Column, nothing: tuple[str, ...] = ("unknown", "mixed")) ->
 
     Null for missing values and the non-committal names ``nothing``.
     """
+    simple = F.lower(text)
+    for mark in "-_.":
+        simple = F.replace(simple, F.lit(mark), F.lit(""))
     bare = F.lower(F.regexp_replace(text, f"[{BLANKS}{INVISIBLE}._-]+", ""))
     letters = bare
     for sign, roman in ROMAN.items():
         letters = F.replace(letters, F.lit(sign), F.lit(roman))
     bare = F.when(bare.rlike("[ⅰ-ⅿ]"), letters).otherwise(bare)
-    return F.when(~is_missing(text) & ~bare.isin(*nothing, ""), bare)
+    full = F.when(~is_missing(text) & ~bare.isin(*nothing, ""), bare)
+    return F.when(text.rlike("^[A-Za-z0-9._-]*[0-9][A-Za-z0-9._-]*$"), simple).otherwise(full)
