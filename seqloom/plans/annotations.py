@@ -271,7 +271,7 @@ def met_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def running_prices(spark: SparkSession, folder: str) -> DataFrame:
     out = selection.running_total(table(spark, folder, "lineitem").withColumn("q", F.col("l_quantity").cast("long")), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "q")
-    return out.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "running")
+    return out.select("l_orderkey", "l_linenumber", "running")
 
 
 def group_starts(spark: SparkSession, folder: str) -> DataFrame:

@@ -75,7 +75,7 @@ def even_sample(spark: SparkSession, folder: str) -> DataFrame:
 def residual_numeric(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("x"), F.col("l_extendedprice").alias("y"))
     out = targets.residual_numeric(rows, "x", "y")
-    return out.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.round("residual", 4).alias("residual"))
+    return out.select("l_orderkey", "l_linenumber", F.round("residual", 4).alias("residual"))
 
 
 def residual_categorical(spark: SparkSession, folder: str) -> DataFrame:

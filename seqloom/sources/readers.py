@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 
 _COMPRESSED = (".gz", ".bz2", ".xz", ".zip")
 
-REGISTRY = (
-    "dataset_short_name string, SPLASH_results string, metadata_file string, translation_table int, genomes_folder string, "
-    "genome_list string, genome_metadata_file string, taxid string"
-)
 SATC_FILE = "sample string, anchor string, target string, count string"
 HIT_COLUMNS = {
     18: "query subject identity alignment_length mismatches gap_opens q_start q_end s_start s_end sstrand evalue qcovs sgi sacc slen staxids stitle".split(),

@@ -37,9 +37,9 @@ def test_tables(spark, tmp_path):
     assert readers.read_table(spark, path, names=["x", "y"]).columns == ["x", "y"]
     assert readers.matching_paths(spark, f"{tmp_path}/*.tsv")[0].endswith("t.tsv")
     assert readers.first_existing(spark, [f"{tmp_path}/no", f"{tmp_path}/u.csv"]).endswith("u.csv")
-    path = put(tmp_path / "reg.csv", "dataset_short_name,SPLASH_results,metadata_file,translation_table,taxid\nd,r,m,11,{3;5}\ne,NA,m,NA,\n")
+    path = put(tmp_path / "reg.csv", "dataset_short_name,results,metadata_file,translation_table,taxid\nd,r,m,11,{3;5}\ne,NA,m,NA,\n")
     found = {r["dataset_short_name"]: r for r in readers.read_registry(spark, path).collect()}
-    assert found["d"]["taxid"] == [3, 5] and found["d"]["translation_table"] == 11 and found["e"]["SPLASH_results"] is None and found["e"]["taxid"] == []
+    assert found["d"]["taxid"] == [3, 5] and found["d"]["translation_table"] == 11 and found["e"]["results"] is None and found["e"]["taxid"] == []
 
 
 def test_scores_and_counts(spark, tmp_path):
