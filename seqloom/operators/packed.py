@@ -21,7 +21,7 @@ from seqloom.session import cut
 # The signs of a skeleton. Private-use characters cannot be confused with text.
 WORD, BLANK, MISSING, LITERAL, PRODUCT, QUOTED = "w", " ", "0", "q", "\ue001", "\ue002"
 
-#: Rules are broadcast up to this many skeletons of at most this many signs; beyond, they are joined by a shuffle.
+#: Rules are broadcast up to this many skeletons of at most this many signs, the most frequent ones.
 MAX_RULES, MAX_SIGNS = 100_000, 256
 
 _STRUCTURE = ";,|\"'\\[\\]{}()<>\t\n\r"
@@ -67,14 +67,15 @@ def split_packed(frame: DataFrame, id_column: str, packings: Sequence[Packing],
     for part in parts[1:]:
         pieces = pieces.unionByName(part)
     rules = cut(_rules(pieces))
-    size = rules.agg(F.count("*"), F.max(F.length("skeleton"))).first()
-    if size[0] <= max_rules and (size[1] or 0) <= MAX_SIGNS:
-        joined = pieces.join(F.broadcast(rules), ["kind", "skeleton"])
-    else:  # short rules are broadcast while they are few; every other skeleton finds its rule through a shuffle
-        short = rules.filter(F.length("skeleton") <= 64).orderBy(F.length("skeleton"), "skeleton", "kind").limit(max_rules)
-        first = pieces.join(F.broadcast(short), ["kind", "skeleton"], "left")
-        rest = first.filter(F.col("spans").isNull()).drop("spans").join(rules, ["kind", "skeleton"])
-        joined = first.filter(F.col("spans").isNotNull()).unionByName(rest)
+    fitting = F.length("skeleton") <= MAX_SIGNS
+    size = rules.agg(F.count("*").alias("n"), F.count(F.when(fitting, 1)).alias("fit")).first()
+    if size["n"] == size["fit"] and size["n"] <= max_rules:
+        joined = pieces.join(F.broadcast(rules.drop("n")), ["kind", "skeleton"])
+    else:  # the most frequent rules are broadcast; rows with a rare skeleton have it resolved where they stand
+        frequent = rules.filter(fitting).orderBy(F.desc("n"), "kind", "skeleton").limit(max_rules).drop("n")
+        joined = pieces.join(F.broadcast(frequent), ["kind", "skeleton"], "left")
+        rare = F.when(F.col("spans").isNull(), F.col("skeleton"))
+        joined = joined.withColumn("spans", F.coalesce("spans", _resolved(F.col("kind"), rare)))
     taken = joined.withColumn("values", F.transform("spans", lambda s: F.concat_ws("", F.slice(F.col("tokens"), s["at"], s["n"]))))
     taken = taken.withColumn("values", F.transform("values", lambda v: _unquote(v)))
     # What is left blank or missing once unquoted is no value.
@@ -127,16 +128,29 @@ def _products(named: DataFrame, records: Sequence[tuple[str, Packing]]) -> DataF
     return rows.filter(F.size("tokens") >= 2)
 
 
+def _spans_of(kind: str, skeleton: str) -> list[dict[str, int]]:
+    return [{"at": a, "n": n} for a, n in (entry_spans(skeleton) if kind == "entries" else list_spans(skeleton, kind))]
+
+
 def _rules(pieces: DataFrame) -> DataFrame:
-    """One rule per distinct skeleton."""
+    """One rule per distinct skeleton, with the number of rows it is for."""
 
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            spans = [entry_spans(s) if k == "entries" else list_spans(s, k) for k, s in zip(batch["kind"], batch["skeleton"], strict=True)]
-            yield pd.DataFrame({"kind": batch["kind"], "skeleton": batch["skeleton"], "spans": [[{"at": a, "n": n} for a, n in x] for x in spans]})
+            yield batch.assign(spans=[_spans_of(k, s) for k, s in zip(batch["kind"], batch["skeleton"], strict=True)])
+
+    distinct = pieces.groupBy("kind", "skeleton").agg(F.count("*").alias("n"))
+    return distinct.mapInPandas(resolve, "kind string, skeleton string, n long, spans array<struct<at:int,n:int>>")
+
+
+def _resolved(kind: Column, skeleton: Column) -> Column:
+    """Rules of the skeletons that are not null."""
+
+    @F.pandas_udf("array<struct<at:int,n:int>>")
+    def resolve(kinds: pd.Series, skeletons: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else _spans_of(k, s) for k, s in zip(kinds, skeletons, strict=True)], dtype=object)
 
-    distinct = pieces.select("kind", "skeleton").distinct()
-    return distinct.mapInPandas(resolve, "kind string, skeleton string, spans array<struct<at:int,n:int>>")
+    return resolve(kind, skeleton)
 
 
 def entry_spans(skeleton: str) -> list[tuple[int, int]]:

@@ -67,7 +67,7 @@ def test_long_repeated_and_empty(spark):
     assert found(spark, []) == {}
 
 
-def test_many_rules_are_joined_by_a_shuffle(spark):
+def test_rare_rules_are_resolved_in_place(spark):
     rows = [(i, ";".join(["1"] * (2 + i % 9)), None, None) for i in range(40)]
     assert found(spark, rows, max_rules=3) == found(spark, rows)
 
