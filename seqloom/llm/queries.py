@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from seqloom.llm.contamination import leaks, without_leaks
 from seqloom.llm.mixing import blocks, mixture
 from seqloom.llm.mojibake import garbled
 from seqloom.llm.sampling import draw, sample_report, unmet
-from seqloom.llm.splits import assign_splits, split_report
+from seqloom.llm.splits import assign_splits, split_report, state_folder
 from seqloom.llm.topn import top_n
 from seqloom.sources.tables import table
 
@@ -53,6 +55,16 @@ def p5_splits(spark: SparkSession, folder: str) -> DataFrame:
     return assign_splits(table(spark, folder, "metadata"), "record_id", metadata_keys(), table(spark, folder, "split_targets"))
 
 
+def p5_increments(spark: SparkSession, folder: str) -> DataFrame:
+    """Splits of metadata that arrives in two parts: the second part meets the persisted components of the first."""
+    rows, targets = table(spark, folder, "metadata"), table(spark, folder, "split_targets")
+    state = state_folder(spark, f"splits-{uuid.uuid4().hex}")
+    early = F.col("loaded_at") < F.lit("2025-12-01").cast("timestamp_ntz")
+    first = assign_splits(rows.filter(early), "record_id", metadata_keys(), targets, state)
+    second = assign_splits(rows.filter(~early | early.isNull()), "record_id", metadata_keys(), targets, state)
+    return first.withColumn("part", F.lit(1)).unionByName(second.withColumn("part", F.lit(2)))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every record tied to another, with its group."""
     return p5_splits(spark, folder).filter("group_size > 1").select("record_id", "group_id")
@@ -106,7 +118,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_repaired(spark, folder).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_sample": p2_sample, "p2_report": p2_report, "p5_found": p5_found, "p5_splits": p5_splits, "p5_report": p5_report, "p5_increments": p5_increments}
 QUERIES |= {"p7_mixture": p7_mixture, "p7_report": p7_report}
 QUERIES |= {"p6_found": p6_found, "p6_leaks": p6_leaks, "p6_report": p6_report, "p6_cleaned": p6_cleaned, "p8_found": p8_found, "p8_repaired": p8_repaired}
 _HIT = (
