@@ -245,7 +245,6 @@ def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
     from the windows as they are, except that what decodes as UTF-8 is taken as garbled nine times in ten.
     """
     # Counted windows are few bytes but much work: they go to all cores, those of several sources to the same one.
-    # Counted windows are few bytes but much work: they go to all cores, those of several sources to the same one.
     windows = cut(windows.repartition(windows.sparkSession.sparkContext.defaultParallelism, "window"))
     large = [r[0] for r in windows.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(MAX_SOURCES).collect()]
     own = frozenset(large)
