@@ -178,6 +178,7 @@ class Model:
         self.total = sum(pairs.values()) + 1.0
         self.kept: dict[str, dict[str, float]] = {}
         self.quick: dict[str, list[tuple[str, float]]] = {}
+        self.ahead: dict[str, float] = {}
 
     def score(self, text: str) -> float:
         """Log probability of a window."""
@@ -217,6 +218,15 @@ class Model:
         own = self.chains.get(source) or self.chains["*"]
         return own.get(chain, self.chains["*"].get(chain, 1e-6))
 
+    def best_prior(self, source: str) -> float:
+        """Log odds of the most frequent chain of a source against clean text, before any window is seen."""
+        found = self.ahead.get(source)
+        if found is None:
+            chains = {*(self.chains.get(source) or {}), *self.chains["*"]} - {CLEAN, LOST}
+            most = max([1e-6, *(self.prior(source, c) for c in chains)])
+            found = self.ahead[source] = math.log(most / self.prior(source, CLEAN))
+        return found
+
 
 def is_silent(window: str) -> bool:
     """A no-break space or soft hyphen alone is common in clean text and speaks for nothing."""
@@ -303,18 +313,17 @@ def _chains(rows: pd.DataFrame) -> dict[str, dict[str, float]]:
 PARTS = (0.05, 0.3, 0.95)
 #: Log odds from which a record counts as garbled. Clean records stay far below: see the README.
 LEAST_ODDS = -4.0
-#: Log ratio that some window of a garbled record must reach.
-LEAST_RATIO = 5.0
 #: Most log evidence of one window, and by how much another chain must be ahead of the record's to put a window right.
 LIMIT, CLEARLY = 25.0, 8.0
 
 
 def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]:
     """Chain, log odds against clean text (None without evidence), and the restored text of one record."""
-    # Most records are clean: they have no window that speaks clearly for any chain.
-    if text.isascii() or not any(model.likely(w) and model.likely(w)[0][1] >= LEAST_RATIO for w in _WINDOW.findall(text)):
-        return (LOST if "�" in _MENTION.sub(" ", text) else CLEAN), None, text
     windows = _windows(text)
+    # Most records are clean: all their windows together, each by its best chain, cannot reach the limit.
+    best = sum(min(found[0][1], LIMIT) for w in windows if (found := model.likely(w)))
+    if best + model.best_prior(source) <= LEAST_ODDS:
+        return (LOST if any("�" in w for w in windows) else CLEAN), None, text
     # What a chain can gain at most: chains that cannot reach the limit need no closer look.
     most_of: dict[str, float] = defaultdict(float)
     full: dict[str, float] = defaultdict(float)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.llm.mojibake import candidates, first_guess, garbled, undo, untangled
+from seqloom.llm.mojibake import CLEAN, Model, candidates, first_guess, garbled, judge, undo, untangled
 
 GERMAN = "Die Größe der Röhrchen ist für die Prüfung nicht geändert worden. Während der Kühlung fällt die Qualität. "
 FRENCH = "Le prélèvement a été répété à l'étape où les données étaient complètes. La séquence a disparu. "
@@ -62,3 +62,13 @@ def test_first_guess_and_places():
     assert first_guess("Ã¼b") == "utf8>cp1252" and first_guess("выборке") == "" and first_guess("über") == ""
     text, places = untangled("xÃ¼y ok")
     assert text == "xüy ok" and len(places) == len(text) and places[0] == 0 and list(places[-2:]) == [5, 6]
+
+
+@pytest.mark.parametrize("ratio, windows, share, found", [(3.0, 20, 0.05, True), (4.9, 1, 0.05, True), (0.5, 60, 0.3, True), (4.9, 1, 1e-5, False), (0.5, 3, 1e-5, False)])
+def test_weak_evidence_adds_up(ratio, windows, share, found):
+    chain = "cp1250>cp1252"
+    model = Model({}, {"*": {CLEAN: 1 - share, chain: share}})
+    model.kept["è"] = {chain: ratio}
+    text = "è " * windows
+    got = judge(model, "a", text)
+    assert (got[0], got[2]) == ((chain, "č " * windows) if found else (CLEAN, text))
