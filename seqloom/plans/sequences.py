@@ -178,8 +178,18 @@ def translate6(spark: SparkSession, folder: str) -> DataFrame:
     return seq.six_frames(rows, "seq").select("doc_id", F.col("frame").cast("long").alias("frame"), "protein", "usable")
 
 
+def whole_translated(spark: SparkSession, folder: str) -> DataFrame:
+    """``translated`` of whole texts; its own SQL holds their first 90 letters."""
+    return dna(spark, folder).select("doc_id", seq.translate(F.col("seq")).alias("protein"))
+
+
+def whole_translate6(spark: SparkSession, folder: str) -> DataFrame:
+    """``translate6`` of whole texts; its own SQL holds their first 90 letters."""
+    return seq.six_frames(dna(spark, folder), "seq").select("doc_id", F.col("frame").cast("long").alias("frame"), "protein", "usable")
+
+
 def longest_protein(spark: SparkSession, folder: str) -> DataFrame:
-    return dna(spark, folder).select("doc_id", seq.longest_protein(F.substring("seq", 1, 90)).alias("protein"))
+    return dna(spark, folder).select("doc_id", seq.longest_protein(F.col("seq")).alias("protein"))
 
 
 _CODE = f"""'{seq.GENETIC_CODES[11]}'"""
@@ -299,7 +309,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         anchor_select_quantile, anchor_select_disc, artifact_filter, hist_cutoff, reorder_clusters, top_clusters, satc_topk_target, satc_filter, sample_blocks, cluster_complete,
-        missing_clusters, sample_concat, fraction_missing, binary_target, dense_blocks, kmer_decompose, kmer_dictionary, block_slice, revcomp, translated, translate6, longest_protein, shift_edges,
+        missing_clusters, sample_concat, fraction_missing, binary_target, dense_blocks, kmer_decompose, kmer_dictionary, block_slice, revcomp, translated, translate6, whole_translated, whole_translate6, longest_protein, shift_edges,
         shift_components, masked_components, numbered, radius_filter, hamming_filter, reads_to_satc, lookup, embed_topvar, embed_zscore, embed_l2_mode, embed_norm, correlation_matrix, onehot_long,
         varying_groups, dummy_columns, encoded_target, cluster_pca, kmer_embedding,
     )
