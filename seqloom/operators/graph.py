@@ -66,6 +66,24 @@ def shift_edges(anchors: DataFrame, anchor: str, shifts: int = 5) -> DataFrame:
     return tails.join(heads, ["shift", "fragment"]).select("src", "dst", "shift")
 
 
+def shift_links(anchors: DataFrame, anchor: str, shifts: int = 5) -> DataFrame:
+    """``(src, dst)`` with the components of ``shift_edges``, of which a fragment can have many times more.
+
+    All tails and heads of a (shift, fragment) are in one component as soon as there is one of each: every one is
+    tied to the smallest. At most two rows per anchor and shift, whatever the number of pairs.
+    """
+    distinct = anchors.select(F.col(anchor).alias("a")).filter("a is not null").distinct()
+    rows = distinct.select("a", F.explode(F.sequence(F.lit(1), F.lit(shifts))).alias("shift")).filter(F.length("a") > F.col("shift"))
+    ends = F.array(
+        F.struct(F.lit(0).alias("head"), F.expr("substring(a, shift + 1, length(a) - shift)").alias("fragment")),
+        F.struct(F.lit(1).alias("head"), F.expr("substring(a, 1, length(a) - shift)").alias("fragment")),
+    )
+    rows = rows.select("a", "shift", F.explode(ends).alias("e")).select("a", "shift", "e.head", "e.fragment")
+    first = rows.groupBy("shift", "fragment").agg(F.min("a").alias("dst"), F.min("head").alias("least"), F.max("head").alias("most"))
+    first = first.filter("least < most").select("shift", "fragment", "dst")
+    return rows.join(first, ["shift", "fragment"]).filter("a <> dst").select(F.col("a").alias("src"), "dst").distinct()
+
+
 def label_components(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst: str) -> DataFrame:
     """``(node, component)`` with string nodes; components are numbered from 0 by size, then smallest node.
 

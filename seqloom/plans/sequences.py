@@ -197,21 +197,26 @@ _TRANSLATE = f"""array_to_string(list_transform(generate_series(0, length({{s}})
  cast(case when regexp_full_match(substring({{s}}, cast(i * 3 + 1 as int), 3), '[ACGT]{{{{3}}}}') then (instr('TCAG', substring({{s}}, cast(i * 3 + 1 as int), 1)) - 1) * 16 + (instr('TCAG', substring({{s}}, cast(i * 3 + 2 as int), 1)) - 1) * 4 + instr('TCAG', substring({{s}}, cast(i * 3 + 3 as int), 1)) end as int), 1), ''), 'X')), '')"""
 
 
+def words_of(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    """Distinct k-mers at every place of the documents."""
+    return seq.kmers(dna(spark, folder), "seq", k, 1).select(F.col("kmer").alias("a")).distinct()
+
+
 def shift_edges(spark: SparkSession, folder: str) -> DataFrame:
     words = dna(spark, folder).select(F.substring("seq", 1, 12).alias("a")).filter("length(a) = 12").distinct()
     return graph.shift_edges(words, "a", 5).select("src", "dst", F.col("shift").cast("long").alias("shift"))
 
 
 def shift_components(spark: SparkSession, folder: str) -> DataFrame:
-    """Components of the first k-mers of documents under shifts."""
-    words = dna(spark, folder).select(F.substring("seq", 1, 12).alias("a")).filter("length(a) = 12").distinct()
-    edges = graph.shift_edges(words, "a", 5)
+    """Components of all k-mers of documents under shifts."""
+    words = words_of(spark, folder, 12)
+    edges = graph.shift_links(words, "a", 5)
     return graph.label_components(words, "a", edges, "src", "dst").select("a", "component")
 
 
 def masked_components(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of anchors that agree under a mask."""
-    words = dna(spark, folder).select(F.substring("seq", 1, 27).alias("a")).filter("length(a) = 27").distinct()
+    words = words_of(spark, folder, 27)
     edges = graph.masked_edges(words, "a", 27, masks=20)
     return graph.label_components(words, "a", edges, "src", "dst")
 

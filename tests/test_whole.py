@@ -52,3 +52,37 @@ def test_longest_protein(spark, texts):
         options = [translate(r + "N" * (-len(r) % 3)).partition("*")[0].strip("X") for r in (read(d, f) for f in (1, 2, 3, -1, -2, -3))]
         best = max(options, key=len)
         assert got[i] == (best if len(best) >= 5 else "X"), i
+
+
+def words(dna: dict[int, str], k: int) -> set[str]:
+    return {d[i : i + k] for d in dna.values() for i in range(len(d) - k + 1)}
+
+
+def test_shift_components(spark, texts):
+    folder, dna = texts
+    nodes = words(dna, 12)
+    root = {w: w for w in nodes}
+
+    def find(w):
+        while root[w] != w:
+            w = root[w]
+        return w
+
+    for shift in range(1, 6):
+        heads = {}
+        for w in nodes:
+            heads.setdefault(w[: 12 - shift], []).append(w)
+        for w in nodes:
+            for other in heads.get(w[shift:], []):
+                root[find(w)] = find(other)
+    expected, got = {}, {}
+    for w in nodes:
+        expected.setdefault(find(w), set()).add(w)
+    for r in sequences.shift_components(spark, folder).collect():
+        got.setdefault(r["component"], set()).add(r["a"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_masked_components_hold_all_words(spark, texts):
+    folder, dna = texts
+    assert {r["a"] for r in sequences.masked_components(spark, folder).collect()} == words(dna, 27)
