@@ -170,9 +170,9 @@ def grouped_lasso(spark: SparkSession, folder: str) -> DataFrame:
 
 def elastic_net(spark: SparkSession, folder: str) -> DataFrame:
     """Non-zero coefficients of a multinomial elastic net of the labels."""
-    rows = table(spark, folder, "embeddings").select(F.col("label").cast("string").alias("label"), F.slice("embedding", 1, 16).alias("embedding"))
+    rows = table(spark, folder, "embeddings").select(F.col("label").cast("string").alias("label"), "embedding")
     model, classes = learning.elastic_net_classes(rows, "embedding", "label", penalties=(0.05,), folds=2)
-    found = learning.coefficient_rows([f"d{i}" for i in range(16)], model.coefficientMatrix.toArray(), classes)
+    found = learning.coefficient_rows([f"d{i}" for i in range(model.numFeatures)], model.coefficientMatrix.toArray(), classes)
     return spark.createDataFrame(found, "feature string, class string, coefficient double")
 
 

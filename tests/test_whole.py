@@ -5,7 +5,7 @@ import random
 import pytest
 
 from seqloom.functions.sequence import BASES, GENETIC_CODES
-from seqloom.plans import sequences
+from seqloom.plans import models, sequences
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _DNA = str.maketrans(LETTERS, "ACGTACGTACGTACGTACGTACGTAC")
@@ -86,3 +86,11 @@ def test_shift_components(spark, texts):
 def test_masked_components_hold_all_words(spark, texts):
     folder, dna = texts
     assert {r["a"] for r in sequences.masked_components(spark, folder).collect()} == words(dna, 27)
+
+
+def test_elastic_net_reads_all_dimensions(spark, tmp_path):
+    """Only the last of 20 dimensions tells the labels apart."""
+    draw = random.Random(7)
+    rows = [(i, i % 2, [draw.uniform(-0.1, 0.1) for _ in range(19)] + [float(i % 2)]) for i in range(120)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert {r["feature"] for r in models.elastic_net(spark, str(tmp_path)).collect()} == {"d19"}
