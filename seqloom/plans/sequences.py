@@ -245,8 +245,8 @@ def reads_to_satc(spark: SparkSession, folder: str) -> DataFrame:
 
 def lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Shares of the k-mers of sequences in reference sets by language."""
-    docs = table(spark, folder, "documents").select(F.substring(seq.dna_of(F.col("text")), 1, 40).alias("seq"), F.coalesce("lang", F.lit("none")).alias("category"))
-    reference = seq.kmers(docs, "seq", 12, 7).select("kmer", "category")
+    docs = table(spark, folder, "documents").select(seq.dna_of(F.col("text")).alias("seq"), F.coalesce("lang", F.lit("none")).alias("category"))
+    reference = seq.kmers(docs, "seq", 12, 1).select("kmer", "category")
     return lookup_stats(docs.select("seq"), "seq", reference, 12)
 
 

@@ -225,11 +225,14 @@ def lookup_stats(queries: DataFrame, query: str, reference: DataFrame, k: int) -
     Queries are made distinct before their k-mers are looked up.
     """
     from seqloom.functions.sequence import kmers
-
-    words = kmers(queries.select(query).distinct(), query, k, 1)
-    total = words.groupBy(query).agg(F.count("*").alias("__n"))
-    hits = words.join(reference.select("kmer", "category").distinct(), "kmer").groupBy(query, "category").agg(F.count("*").alias("__h"))
-    shares = hits.join(total, query).select(query, F.struct("category", F.round(F.col("__h") / F.col("__n"), 4).alias("share")).alias("s"))
+    from seqloom.session import cut
+
+    # Long queries go through the shuffles of their k-mers as numbers.
+    distinct = cut(queries.select(query).distinct().withColumn("__q", F.monotonically_increasing_id()))
+    words = kmers(distinct, query, k, 1).select("__q", "kmer")
+    hits = words.join(reference.select("kmer", "category").distinct(), "kmer").groupBy("__q", "category").agg(F.count("*").alias("__h"))
+    total = F.length(query) - (k - 1)
+    shares = hits.join(distinct, "__q").select(query, F.struct("category", F.round(F.col("__h") / total, 4).alias("share")).alias("s"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: F.concat(s["category"], F.lit(":"), s["share"].cast("string"))), ";")
     return shares.groupBy(query).agg(text.alias("stats"))
 

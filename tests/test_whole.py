@@ -94,3 +94,16 @@ def test_elastic_net_reads_all_dimensions(spark, tmp_path):
     rows = [(i, i % 2, [draw.uniform(-0.1, 0.1) for _ in range(19)] + [float(i % 2)]) for i in range(120)]
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert {r["feature"] for r in models.elastic_net(spark, str(tmp_path)).collect()} == {"d19"}
+
+
+def test_lookup(spark, texts):
+    folder, dna = texts
+    kinds = {kind: words({i: d for i, d in dna.items() if i % 2 == odd}, 12) for kind, odd in (("en", 1), ("none", 0))}
+    expected = {}
+    for d in dna.values():
+        own = [d[i : i + 12] for i in range(len(d) - 11)]
+        shares = [(kind, sum(w in known for w in own)) for kind, known in kinds.items()]
+        if own:
+            expected[d] = {kind: pytest.approx(n / len(own), abs=1e-4) for kind, n in shares if n}
+    got = {r["seq"]: {x.split(":")[0]: float(x.split(":")[1]) for x in r["stats"].split(";")} for r in sequences.lookup(spark, folder).collect()}
+    assert got == expected
