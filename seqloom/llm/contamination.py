@@ -6,6 +6,7 @@ import html
 import math
 import re
 import unicodedata
+import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick
 from seqloom.llm.mojibake import untangled
+from seqloom.session import written
 
 #: Words of an n-gram that makes a document a candidate, and of a run that counts as a quotation.
 NGRAM, RUN = 5, 3
@@ -27,6 +29,8 @@ LEAST, TELLING = 0.5, 0.4
 LEAST_TOLD = 2
 #: Gaps of at most so many words, in both texts, are bridged by their common words.
 GAP = 6
+#: A word is common, and tells nothing, if more than this share of all items has it, and more than three items.
+COMMON = 0.03
 
 _INVISIBLE = "­​‌‍‎‏⁠﻿"
 _NOISE = re.compile(
@@ -68,7 +72,10 @@ def names_and_numbers(text: str) -> list[bool]:
     plain = _normal(text)
     out = []
     for m in _WORD.finditer(plain):
-        start = not plain[: m.start()].rstrip(" \t\n\"'“‘(") or plain[: m.start()].rstrip(" \t\n\"'“‘(")[-1] in ".?!:"
+        k = m.start() - 1
+        while k >= 0 and plain[k] in " \t\n\"'“‘(":
+            k -= 1
+        start = k < 0 or plain[k] in ".?!:"
         out.append(any(c.isdigit() for c in m.group()) or (m.group()[0].isupper() and not start))
     return out
 
@@ -100,10 +107,18 @@ def placed_words(text: str, places: Sequence[int]) -> tuple[list[str], list[tupl
     return found, stretches
 
 
+def common_limit(items: int) -> int:
+    """The number of items that may share a word before it is common."""
+    return max(3, math.ceil(items * COMMON))
+
+
 class Items:
-    """The test items of one block, ready for the search."""
+    """The test items of one block, ready for the search.
+
+    common: words that tell nothing, counted over the items of all blocks; those of these items alone, if not given.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], document_share: float = 0.03) -> None:
+    def __init__(self, items: list[tuple[int, str]], common: frozenset[str] | None = None) -> None:
         self.words = {i: words(t or "") for i, t in items}
         self.words = {i: w for i, w in self.words.items() if w}
         self.grams: dict[tuple, list[int]] = defaultdict(list)
@@ -115,14 +130,16 @@ class Items:
                 self.grams[g].append(i)
             count.update(set(w))
         self.lengths = sorted({min(NGRAM, len(w)) for w in self.words.values()})
-        rare = max(3, math.ceil(len(self.words) * document_share))
+        if common is None:
+            most = common_limit(len(self.words))
+            common = frozenset(x for x, n in count.items() if n > most)
         # Telling words: names and numbers, or those that few items use. What resembles an item has others.
         self.named, self.rare = {}, {}
         for i, t in items:
             if i in self.words:
                 own, flags = self.words[i], names_and_numbers(t)
                 self.named[i] = flags if len(flags) == len(own) else [False] * len(own)
-                self.rare[i] = [count[x] <= rare for x in own]
+                self.rare[i] = [x not in common for x in own]
         self.runs: dict[int, dict[tuple, list[int]]] = {}
 
     def run_index(self, item: int) -> dict[tuple, list[int]]:
@@ -206,61 +223,115 @@ def _common(found: list[str], own: list[str], k0: int, k1: int, p0: int, p1: int
     return out
 
 
-def leaks(documents: DataFrame, document_id: str, text: str, items: DataFrame, item_id: str, item_text: str, least: float = LEAST, telling: float = TELLING) -> DataFrame:
+def leaks(
+    documents: DataFrame, document_id: str, text: str, items: DataFrame, item_id: str, item_text: str,
+    least: float = LEAST, telling: float = TELLING, block_items: int = BLOCK_ITEMS, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
     """``(document id, item id, share, telling, spans)`` of every document that leaks an item.
 
     A document leaks an item if it holds ``least`` of the item's words in their order, in runs of at least
     three words and the gaps between them, and ``telling`` of the names and numbers there (of the rare words, where
-    it has hardly any). ``spans`` are
-    the stretches ``(start, stop)`` of the original text, in characters.
-
-    The n-grams of the items are a broadcast hash set; documents stream past it, once per block of items, and
-    are verified where they stand. Nothing is shuffled, and a document is read whole whatever its length.
-    Null and empty texts and items without a word leak nothing; repeated documents count each.
+    it has hardly any). ``spans`` are the stretches ``(start, stop)`` of the original text, in characters.
+
+    The n-grams of the items are a broadcast hash set; documents stream past it and are verified where they
+    stand. Nothing is shuffled, and a document is read whole whatever its length. Items that need several blocks
+    are searched block by block: documents are normalised once, each block is released before the next one,
+    and what is a rare word is counted over all items, so the blocks don't change the result.
+    Null and empty texts and items without a word leak nothing; repeated documents count each; of an item id
+    with several texts the first in order counts.
     """
+    spark = documents.sparkSession
     docs = pick(documents, {"d": document_id, "t": text}).filter("t is not null and d is not null")
-    kinds = [f.dataType.simpleString() for f in docs.schema.fields]
-    item_kind = dict(pick(items, {"i": item_id}).dtypes)["i"]
-    schema = f"d {kinds[0]}, i {item_kind}, share double, telling double, spans array<struct<start:int,stop:int>>"
-    result = None
-    for block in _blocks(pick(items, {"i": item_id, "t": item_text})):
-        index = documents.sparkSession.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            known = Items(index.value)
-            for batch in batches:
-                rows = []
-                for d, t in zip(batch["d"], batch["t"], strict=True):
-                    plain, places = untangled(t)
-                    found = words(plain)
-                    likely = known.candidates(found)
-                    held = set(found) if likely else ()
-                    exact = None
-                    for i in likely:
-                        # No more of an item can be held than those of its words that the document has anywhere.
-                        if sum(w in held for w in known.words[i]) < least * len(known.words[i]):
-                            continue
-                        share, told, spots = known.match(found, i)
-                        if share < least or told < telling:
-                            continue
-                        exact = exact or placed_words(plain, places)
-                        share, told, spots = known.match(exact[0], i)
-                        rows.append((d, i, share, told, _spans(spots, exact[1])))
-                yield pd.DataFrame(rows, columns=["d", "i", "share", "telling", "spans"])
-
-        part = docs.mapInPandas(search, schema)
-        result = part if result is None else result.unionByName(part)
-    if result is None:
-        result = documents.sparkSession.createDataFrame([], schema)
+    asked = pick(items, {"i": item_id, "t": item_text}).filter("i is not null and t is not null").groupBy("i").agg(F.min("t").alias("t"))
+    schema = f"d {docs.schema['d'].dataType.simpleString()}, i {asked.schema['i'].dataType.simpleString()}, share double, telling double, spans array<struct<start:int,stop:int>>"
+    blocks = _blocks(asked, block_items, block_chars)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        result = spark.createDataFrame([], schema)
+    elif second is None:
+        result = docs.mapInPandas(_search(spark.sparkContext.broadcast((first, None)), least, telling), schema)
+    else:
+        common = common_words(asked)
+        normal = written(docs.mapInPandas(_normalised, f"d {docs.schema['d'].dataType.simpleString()}, t string, w string"))
+        result = None
+        for block in _chained(first, second, blocks):
+            held = spark.sparkContext.broadcast((block, common))
+            part = written(normal.mapInPandas(_search(held, least, telling), schema))
+            held.destroy()
+            result = part if result is None else result.unionByName(part)
     return result.withColumnRenamed("d", document_id).withColumnRenamed("i", item_id)
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
-    """Items in blocks of a bounded size; one block is on the driver at a time."""
+def _search(held, least: float, telling: float):
+    """The search of one block, over ``(d, t)`` or ``(d, t, w)`` with the normalised words in ``w``."""
+    name = uuid.uuid4().hex
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _items_of(name, held)
+        for batch in batches:
+            rows = []
+            ready = batch["w"] if "w" in batch else [None] * len(batch)
+            for d, t, w in zip(batch["d"], batch["t"], ready, strict=True):
+                found = words(untangled(t)[0]) if w is None else w.split()
+                likely = known.candidates(found)
+                present = set(found) if likely else ()
+                exact = None
+                for i in likely:
+                    # No more of an item can be held than those of its words that the document has anywhere.
+                    if sum(x in present for x in known.words[i]) < least * len(known.words[i]):
+                        continue
+                    share, told, spots = known.match(found, i)
+                    if share < least or told < telling:
+                        continue
+                    exact = exact or placed_words(*untangled(t))
+                    share, told, spots = known.match(exact[0], i)
+                    rows.append((d, i, share, told, _spans(spots, exact[1])))
+            yield pd.DataFrame(rows, columns=["d", "i", "share", "telling", "spans"])
+
+    return search
+
+
+_ready: dict[str, Items] = {}
+
+
+def _items_of(name: str, held) -> Items:
+    """The items of a broadcast block, made once per process; the block before is let go."""
+    if name not in _ready:
+        _ready.clear()
+        _ready[name] = Items(*held.value)
+    return _ready[name]
+
+
+def _normalised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(w=[" ".join(words(untangled(t)[0])) for t in batch["t"]])
+
+
+def common_words(items: DataFrame) -> frozenset[str]:
+    """Words that more than ``COMMON`` of all items ``(i, t)`` have: at most the mean number of words of an item / ``COMMON``."""
+
+    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # An empty word counts the items that have any.
+            yield pd.DataFrame({"w": [w for t in batch["t"] if (own := set(words(t))) for w in ("", *own)]}, dtype="object")
+
+    counts = written(items.mapInPandas(distinct, "w string").groupBy("w").agg(F.count("*").alias("n")))
+    total = counts.filter("w = ''").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    return frozenset(r["w"] for r in counts.filter((F.col("n") > common_limit(total)) & (F.col("w") != "")).toLocalIterator())
+
+
+def _chained(first, second, others: Iterator) -> Iterator:
+    yield first
+    yield second
+    yield from others
+
+
+def _blocks(items: DataFrame, block_items: int, block_chars: int) -> Iterator[list[tuple]]:
+    """Items in blocks of a bounded size; two blocks are on the driver at a time."""
     block: list[tuple] = []
     size = 0
-    for row in items.filter("i is not null and t is not null").toLocalIterator():
-        if block and (len(block) >= BLOCK_ITEMS or size + len(row["t"]) > BLOCK_CHARS):
+    for row in items.toLocalIterator():
+        if block and (len(block) >= block_items or size + len(row["t"]) > block_chars):
             yield block
             block, size = [], 0
         block.append((row["i"], row["t"]))

@@ -1,4 +1,8 @@
-from seqloom.llm.contamination import Items, leaks, placed_words, without_leaks, words
+import random
+
+import pytest
+
+from seqloom.llm.contamination import Items, common_words, leaks, names_and_numbers, placed_words, without_leaks, words
 
 ITEM = "Pilgrims once fed roots to sheep, believing June lambs would resist coughing. Only 30 of 5753 barcodes survived decoding because someone soldered two lasers backward near Tanai."
 OTHER = "Pilgrims once fed stones to goats, believing March kids would resist coughing. Only 84 of 6194 barcodes survived decoding because someone soldered two lasers backward near Mevai."
@@ -72,3 +76,26 @@ def test_order_counts():
     index = Items([(1, " ".join(f"w{i}" for i in range(20)))])
     swapped = [f"w{i}" for i in [*range(10, 20), *range(10)]]
     assert index.match(swapped, 1)[0] == 0.5
+
+
+@pytest.mark.parametrize("size", [1, 2, 50])
+def test_blocks_do_not_change_the_result(spark, size):
+    draw = random.Random(5)
+    common = [f"common{i}" for i in range(12)]
+    passages = [" ".join(draw.choice(common) if draw.random() < 0.6 else f"rare{k}x{draw.randrange(400)}" for _ in range(40)) for k in range(60)]
+    texts = [FILL + p for p in passages] + [" ".join(w if w.startswith("common") else f"other{j}" for j, w in enumerate(p.split())) for p in passages]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id int, body string").repartition(3)
+    got = leaks(docs, "doc_id", "text", items, "item_id", "body", block_items=size).select("doc_id", "item_id", "share", "telling").collect()
+    whole = leaks(docs, "doc_id", "text", items, "item_id", "body").select("doc_id", "item_id", "share", "telling").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole)) and {(k, k) for k in range(60)} <= {(r[0], r[1]) for r in whole}
+
+
+def test_common_words_of_many_items_are_those_of_one_block(spark):
+    rows = [(i, f"alpha beta w{i} w{i % 7}") for i in range(200)]
+    assert common_words(spark.createDataFrame(rows, "i int, t string")) == {"alpha", "beta", *[f"w{i}" for i in range(7)]}
+
+
+def test_sentence_starts_are_found_in_linear_time():
+    assert names_and_numbers('Yes, Anna ran. "(Then 5 x') == [False, True, False, False, True, False]
+    assert sum(names_and_numbers("word Name. " * 50_000)) == 50_000
