@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from seqloom.functions.frames import content_hash, pick, prefix_sum
 from seqloom.session import written
 
-#: Requests are few by definition; more rows than this are refused, so that they may be broadcast.
+#: Request rows that are broadcast; more are joined by a shuffle, with the same result.
 MAX_REQUESTS = 50_000
+#: Inclusion probabilities are summed in whole parts of a row, so that positions are exact at any size.
+PARTS = 1_000_000
 
 
 def required_rows(share: Column, size: Column, least: Column) -> Column:
@@ -35,10 +37,8 @@ REQUEST = ("request_id", "table_name", "field_name", "sample_size", "category",
 
 
 def _wanted(requests: DataFrame, agree) -> DataFrame:
-    """Requests with their number of rows; more than ``MAX_REQUESTS`` are refused."""
+    """Requests with the number of rows each category must have."""
     wanted = pick(requests, {c: c for c in REQUEST})
-    if len(wanted.limit(MAX_REQUESTS + 1).select("request_id").collect()) > MAX_REQUESTS:
-        raise ValueError(f"more than {MAX_REQUESTS} request rows")
     wanted = wanted.withColumn("value_key", agree(F.col("category")))
     return wanted.withColumn("required", required_rows(F.col("target_share"), F.col("sample_size"), F.col("min_rows")))
 
@@ -55,6 +55,10 @@ def draw(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
     category gets its expected number rounded up or down. Categories below ``required`` are then repaired with
     their next rows in the random order. Categories with too few rows give all of them.
 
+    Within a category probabilities are equal, so the places where the sum passes an integer are computed, as many
+    as rows are drawn, and joined to the ordered rows by place: work grows with rows plus drawn rows, whatever
+    the number of requests for a category.
+
     Values that match no category, nulls and empty tables give nothing. Each row is drawn at most once.
     """
     return _drawn(_wanted(requests, agree), tables, agree, seed)[0]
@@ -67,36 +71,51 @@ def _drawn(wanted: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
     for the same category draw different rows.
     """
     drawn = there = None
+    small = F.broadcast if len(wanted.limit(MAX_REQUESTS + 1).select("request_id").collect()) <= MAX_REQUESTS else (lambda frame: frame)
     for (name, field), (frame, free) in tables.items():
         asked = wanted.filter((F.col("table_name") == name) & (F.col("field_name") == field)).select("request_id", "category", "value_key", "required", (F.col("target_share") * F.col("sample_size")).alias("expected"))
         rows = distinct_rows(frame, free, field).select(agree(F.col("value")).alias("value_key"), "row")
-        rows = written(rows.join(F.broadcast(asked.select("value_key").distinct()), "value_key", "left_semi"))
+        rows = written(rows.join(small(asked.select("value_key").distinct()), "value_key", "left_semi"))
         numbered = prefix_sum(rows.withColumn("one", F.lit(1)), "one", "row", ["value_key"], seed, "at").select("value_key", "row", "at")
         counts = rows.groupBy("value_key").agg(F.count("*").alias("n"))
-        # Expected numbers of the categories before, per request: as many rows as requests, so a small window.
-        counted = asked.join(counts, "value_key").withColumn("mass", F.least("expected", F.col("n").cast("double")))
-        before = Window.partitionBy("request_id").orderBy("category").rowsBetween(Window.unboundedPreceding, -1)
-        counted = counted.withColumn("base", F.coalesce(F.sum("mass").over(before), F.lit(0.0)))
-        placed = numbered.join(F.broadcast(counted), "value_key")
-        placed = placed.withColumn("at", F.pmod(F.col("at") + F.pmod(F.xxhash64(F.lit(seed), "request_id", "category"), F.col("n")), F.col("n")))
-        start = F.pmod(F.xxhash64(F.lit(seed), F.col("request_id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-
-        def crossed(k: Column, start: Column = start) -> Column:
-            return F.floor(F.round(F.col("base") + F.col("mass") * k / F.col("n"), 9) + start)
-
-        placed = placed.withColumn("chosen", crossed(F.col("at") + 1) > crossed(F.col("at")))
-        # The number drawn in a category, and how many undrawn rows stand before a row, follow from the sums alone.
-        total = crossed(F.col("n")) - crossed(F.lit(0))
-        short = F.greatest(F.least("required", "n") - total, F.lit(0))
-        undrawn = F.col("at") - (crossed(F.col("at")) - crossed(F.lit(0)))
-        repair = ~F.col("chosen") & (undrawn < short)
-        part = placed.filter(F.col("chosen") | repair).select("request_id", "category", "row", repair.alias("repair"), F.lit(name).alias("table_name"))
+        found = places(asked.join(small(counts), "value_key"), seed)
+        part = numbered.join(found, ["value_key", "at"]).select("request_id", "category", "row", "repair", F.lit(name).alias("table_name"))
         drawn = part if drawn is None else drawn.unionByName(part)
         found = counts.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "value_key", "n")
         there = found if there is None else there.unionByName(found)
     return drawn, there
 
 
+def places(asked: DataFrame, seed: int) -> DataFrame:
+    """``(request_id, category, value_key, at, repair)``: places in the random order of a category that a request draws.
+
+    asked: ``request_id, category, value_key, required, expected, n``. With the sum ``c`` of the categories before
+    (less its whole part) and the probability ``q`` of every row, place ``p`` is drawn if a whole number lies in
+    ``(c + q p, c + q (p + 1)]``. The j-th drawn place is thus ``ceil((j - c) / q) - 1`` and the r-th undrawn one, from
+    0, ``floor((r + c) / (1 - q))``; in whole parts both are exact.
+    """
+    parts = F.lit(PARTS).cast("decimal(20,0)")
+    mass = F.least(F.round(F.col("expected") * PARTS, 0).cast("decimal(20,0)"), F.col("n") * parts).cast("decimal(28,0)")
+    # Expected numbers of the categories before, per request: as many rows as requests, so a small window.
+    before = Window.partitionBy("request_id").orderBy("category", "value_key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = asked.withColumn("mass", F.greatest(mass, F.lit(0)).cast("decimal(28,0)"))
+    placed = placed.withColumn("base", F.coalesce(F.sum("mass").over(before), F.lit(0)).cast("decimal(28,0)"))
+    start = F.pmod(F.xxhash64(F.lit(seed), "request_id"), F.lit(PARTS)).cast("decimal(28,0)")
+    placed = placed.withColumn("c", F.pmod(F.col("base") + start, F.lit(PARTS)).cast("decimal(20,0)"))
+    placed = placed.withColumn("total", F.expr(f"(c + mass) div {PARTS}"))
+    short = F.greatest(F.least("required", "n") - F.col("total"), F.lit(0))
+    turn = F.pmod(F.xxhash64(F.lit(seed), "request_id", "category"), F.col("n"))
+    numbers = F.when(F.col("total") + short > 0, F.sequence(F.lit(0).cast("long"), F.col("total") + short - 1))
+    each = placed.select("request_id", "category", "value_key", "n", "mass", "c", "total", turn.alias("turn"), F.explode(numbers).alias("j"))
+    exact = lambda e: F.expr(e.replace("S", f"cast({PARTS} as decimal(20,0))").replace("N", "cast(n as decimal(12,0))"))
+    taken = exact("cast((cast(j + 1 as decimal(12,0)) * S - c) * N + mass - 1 as decimal(38,0)) div mass - 1")
+    spare = exact("cast((cast(j - total as decimal(12,0)) * S + c) * N as decimal(38,0)) div (N * S - mass)")
+    repair = F.col("j") >= F.col("total")
+    place = F.when(repair, spare).otherwise(taken)
+    # A request starts at a place of its own, so that requests for the same category draw different rows.
+    return each.select("request_id", "category", "value_key", F.pmod(place + F.col("n") - F.col("turn"), F.col("n")).alias("at"), repair.alias("repair"))
+
+
 def sample_report(requests: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str | None]], agree, seed: int = 17) -> DataFrame:
     """Per request and category: rows required, available and drawn, shares, and what is missing after the repair."""
     wanted = _wanted(requests, agree)

@@ -1,10 +1,13 @@
+import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from seqloom.functions.text import gap_key
-from seqloom.llm.sampling import draw, sample_report, unmet
+from seqloom.llm import sampling
+from seqloom.llm.sampling import PARTS, draw, places, sample_report, unmet
 
 ROWS = "row_id long, host string, at long, row string, value string"
 ASK = "request_id int, table_name string, field_name string, sample_size long, category string, target_share double, min_rows long"
@@ -68,3 +71,38 @@ def test_empty(spark):
     assert draw(asked(spark, []), tables, gap_key).count() == 0
     assert unmet(asked(spark, [(1, 5, "a", 1.0, 1)]), tables, gap_key).count() == 1
     assert sample_report(asked(spark, [(1, 5, None, 1.0, 1)]), tables, gap_key).select(F.sum("missing")).first()[0] == 5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_places_are_where_the_sum_passes_an_integer(spark, seed):
+    dice = random.Random(seed)
+    rows = [(r, c, c, dice.randrange(0, 40), dice.choice([0.0, dice.random() * 30, 7.0, 12.5, 1000.0]), dice.choice([1, 5, 12, 25, 30])) for r in range(40) for c in ("a", "b", "c")]
+    asked = spark.createDataFrame(rows, "request_id int, category string, value_key string, required long, expected double, n long")
+    got = {}
+    for r in places(asked, seed).collect():
+        got.setdefault((r["request_id"], r["category"]), []).append((r["at"], r["repair"]))
+    starts = asked.select("request_id", "category", F.pmod(F.xxhash64(F.lit(seed), "request_id"), F.lit(PARTS)).alias("s"), F.pmod(F.xxhash64(F.lit(seed), "request_id", "category"), F.col("n")).alias("t")).collect()
+    starts = {(r["request_id"], r["category"]): (r["s"], r["t"]) for r in starts}
+    base = {}
+    for r, c, _, required, expected, n in rows:
+        start, turn = starts[r, c]
+        mass = min(round(expected * PARTS), n * PARTS)
+        total = Fraction(base.get(r, 0) + start, PARTS)
+        base[r] = base.get(r, 0) + mass
+        drawn, rest = [], []
+        for p in range(n):
+            after = total + Fraction(mass, PARTS * n)
+            (drawn if after // 1 > total // 1 else rest).append(p)
+            total = after
+        repaired = rest[: max(0, min(required, n) - len(drawn))]
+        want = sorted([((p - turn) % n, False) for p in drawn] + [((p - turn) % n, True) for p in repaired])
+        assert sorted(got.get((r, c), [])) == want, (r, c)
+
+
+def test_more_requests_than_are_broadcast_draw_the_same(spark, monkeypatch):
+    rows = table(spark, [("a", 40), ("b", 7)])
+    ask = asked(spark, [(r, 10, c, 0.5, 3) for r in range(6) for c in ("a", "b")])
+    tables = {("t", "host"): (rows, "row_id")}
+    one = sorted(map(tuple, draw(ask, tables, gap_key).collect()))
+    monkeypatch.setattr(sampling, "MAX_REQUESTS", 2)
+    assert one == sorted(map(tuple, draw(ask, tables, gap_key).collect())) and len(one) == 60
