@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from seqloom.functions.frames import pick
 
 MATCHES = ("simple", "partial", "full")
+#: Seconds of a stretch of time within which the rows of one key are ordered in one task.
+BUCKET = 86_400
 
 
 def orphans(
@@ -32,9 +34,8 @@ def orphans(
     unless its key is no case.
 
     References are grouped by their mask of nulls; each mask is anti-joined on the columns that are not
-    null. Parents are reduced to distinct keys, or to the disjoint stretches in force per key, before they
-    are shuffled, in two steps so that one key may hold any share of them. Rows are returned as often as they
-    occur; empty tables and extra columns of any name are fine.
+    null. Without validity parents are reduced to distinct keys first. With validity the anti-join is one in time:
+    see ``uncovered``. Rows are returned as often as they occur; empty tables and extra columns of any name are fine.
     """
     if match not in MATCHES:
         raise ValueError(f"match must be one of {MATCHES}")
@@ -53,40 +54,47 @@ def orphans(
             continue
         names = [f"p{i}" for i in held]
         usable = sources.filter(_all(F.col(n).isNotNull() for n in names))
-        on = _all(F.col(f"k{i}") == F.col(f"p{i}") for i in held)
         if valid:
-            usable = stretches(usable, names, "since", "until")
-            on &= (F.col("since") <= F.col("at")) & F.coalesce(F.col("at") < F.col("until"), F.lit(True))
+            known = usable.select(*[F.col(f"p{i}").alias(f"k{i}") for i in held], "since", "until")
+            found.append(uncovered(here, known, [f"k{i}" for i in held], "at", "since", "until").select(*columns))
         else:
-            usable = usable.select(*names).distinct()
-        found.append(here.join(usable, on, "left_anti").select(*columns))
+            on = _all(F.col(f"k{i}") == F.col(f"p{i}") for i in held)
+            found.append(here.join(usable.select(*names).distinct(), on, "left_anti").select(*columns))
     result = found[0]
     for part in found[1:]:
         result = result.unionByName(part)
     return result
 
 
-def stretches(frame: DataFrame, keys: Sequence[str], since: str, until: str) -> DataFrame:
-    """Disjoint stretches of time that the rows of a key cover; null ``until`` is open.
+def uncovered(references: DataFrame, parents: DataFrame, keys: Sequence[str], at: str, since: str, until: str, bucket: int = BUCKET) -> DataFrame:
+    """References at whose time ``at`` no parent of their key is in force; columns of ``references``.
 
-    Stretches are merged per key and year first, then per key, so a key with many rows is shared by many
-    tasks and the second step gets what is left. Rows without ``since`` or that end before they begin cover nothing.
+    A parent is in force at a time if it began by then and the latest end of all that began by then is later:
+    only a running maximum is needed, no pairs. It is taken in two levels: the latest end per key and bucket
+    of time is summed up over the buckets before (a row per bucket that has any), and added to the running one
+    inside the bucket. So one key may hold any share of either side; its rows are spread by their buckets.
+    References without ``at`` are uncovered; parents without ``since`` or that end before they begin cover nothing.
     """
-    covering = frame.filter(F.col(since).isNotNull() & F.coalesce(F.col(since) < F.col(until), F.lit(True)))
-    covering = covering.select(*keys, since, until).distinct()
-    by_year = _merged(covering.withColumn("year", F.year(since)), [*keys, "year"], since, until).drop("year")
-    return _merged(by_year, keys, since, until)
-
-
-def _merged(frame: DataFrame, keys: Sequence[str], since: str, until: str) -> DataFrame:
-    """Gaps and islands: a row opens a stretch if all before it ended earlier."""
-    order = Window.partitionBy(*keys).orderBy(since)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    open_before = F.max(F.col(until).isNull().cast("int")).over(before)
-    opens = F.when(F.coalesce(open_before, F.lit(0)) == 1, 0).when(F.max(until).over(before) >= F.col(since), 0).otherwise(1)
-    marked = frame.withColumn("opens", opens).withColumn("part", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    merged = marked.groupBy(*keys, "part").agg(F.min(since).alias(since), F.when(F.max(F.col(until).isNull().cast("int")) == 0, F.max(until)).alias(until))
-    return merged.drop("part")
+    held = [F.col(c).alias(f"__r{i}") for i, c in enumerate(references.columns)]
+    forever = F.lit("9999-12-31 23:59:59.999999").cast(parents.schema[since].dataType)
+    time = parents.schema[since].dataType
+    kept = parents.filter(F.col(since).isNotNull() & F.coalesce(F.col(since) < F.col(until), F.lit(True)))
+    mine = references.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(at).cast(time).alias("__t"), F.lit(None).cast(time).alias("__end"), F.struct(*held).alias("__row"))
+    theirs = kept.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(since).alias("__t"), F.coalesce(F.col(until), forever).alias("__end"), F.lit(None).cast(mine.schema["__row"].dataType).alias("__row"))
+    theirs = theirs.groupBy(*[c for c in theirs.columns if c not in ("__end", "__row")]).agg(F.max("__end").alias("__end")).select(*theirs.columns[:-2], "__end", F.lit(None).cast(mine.schema["__row"].dataType).alias("__row"))
+    day = F.floor(F.unix_seconds(F.col("__t").cast("timestamp")) / bucket).alias("__day")
+    names = [f"__k{i}" for i in range(len(keys))]
+    events = mine.filter("__t is not null").unionByName(theirs).select("*", day)
+    latest = events.groupBy(*names, "__day").agg(F.max("__end").alias("__latest"))
+    earlier = Window.partitionBy(*names).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.select(*names, "__day", F.max("__latest").over(earlier).alias("__carried")).filter("__carried is not null")
+    # Rows of one time share a range, so a parent that begins when a reference is made covers it.
+    inside = Window.partitionBy(*names, "__day").orderBy("__t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = events.withColumn("__running", F.max("__end").over(inside)).filter("__row is not null")
+    met = running.join(carried, [*names, "__day"], "left")
+    open_ = ~F.coalesce(F.greatest("__running", "__carried") > F.col("__t"), F.lit(False))
+    back = [F.col(f"__row.__r{i}").alias(c) for i, c in enumerate(references.columns)]
+    return met.filter(open_).select(*back).unionByName(references.filter(F.col(at).isNull()))
 
 
 def orphan_report(found: DataFrame, groups: Sequence[str]) -> DataFrame:

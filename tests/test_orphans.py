@@ -1,9 +1,10 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 
 from seqloom.functions.text import gap_key, mate_key, strain_key
-from seqloom.operators.orphans import orphan_report, orphans, stretches
+from seqloom.operators.orphans import orphan_report, orphans, uncovered
 from pyspark.sql import functions as F
 
 T = lambda d: datetime(2025, 1, d)
@@ -35,8 +36,20 @@ def test_validity(spark):
     )
     found = orphans(rows, parents, [("a", "p")], ["id"], at="at", valid=("since", "until"))
     assert ids(found) == [1, 5, 6, 20, 21]
-    merged = sorted((r["since"], r["until"]) for r in stretches(parents, ["p"], "since", "until").collect())
-    assert merged == [(T(2), T(5)), (T(7), None)]
+
+
+@pytest.mark.parametrize("bucket", [1, 3_600, 86_400, 10**9])
+def test_validity_of_a_hot_key_against_brute_force(spark, bucket):
+    draw = random.Random(bucket)
+    time = lambda: datetime(2025, 1, 1) + timedelta(minutes=draw.randrange(20_000))
+    parents = [(draw.choice(["hot", "hot", "a", "b", None]), s := draw.choice([time(), None]), draw.choice([s and s + timedelta(minutes=draw.randrange(-20, 300)), time(), time(), None] if draw.random() < 0.02 else [s and s + timedelta(minutes=draw.randrange(-20, 300))])) for _ in range(400)]
+    # A null end is open; too many open ones would cover everything, so they are rare here.
+    rows = [(i, draw.choice(["hot", "a", "b", "c"]), None, draw.choice([time(), time(), time(), None]) if i % 50 == 0 else time(), "", "") for i in range(600)]
+    known = spark.createDataFrame(parents, "p string, since timestamp, until timestamp")
+    found = orphans(refs(spark, rows), known, [("a", "p")], ["id"], at="at", valid=("since", "until"))
+    kept = uncovered(refs(spark, rows).select("id", F.col("a").alias("p"), "at"), known, ["p"], "at", "since", "until", bucket)
+    want = sorted(i for i, k, _, t, _, _ in rows if not any(p == k and s and t and s <= t and (u is None or t < u) for p, s, u in parents))
+    assert ids(found) == want and ids(kept) == want
 
 
 def test_empty_tables(spark):
