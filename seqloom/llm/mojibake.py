@@ -8,6 +8,7 @@ gets the posterior of its windows together and is repaired by the chain it point
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import unicodedata
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick
-from seqloom.session import cut
+from seqloom.session import cut, written
 
 # Encodings that text is read in by mistake, and those it is written in.
 READ_AS = ("cp1252", "latin_1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "mac_roman", "koi8_r", "iso8859_2", "iso8859_9", "cp852", "cp1253", "cp1254", "cp1257", "mac_cyrillic")
@@ -38,17 +39,25 @@ SINGLE = (
 TWICE = ("cp1252", "latin_1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "mac_roman")
 CLEAN, LOST = "", "lost"
 
-#: Pairs of characters the model holds at most (the most frequent), and rounds of EM.
-MAX_PAIRS, ROUNDS = 200_000, 3
+#: Rounds of EM.
+ROUNDS = 3
 #: Weight of a character's own frequency in the model, and log penalties of a control character and of an unseen pair.
 SMOOTH, CONTROL, UNSEEN = 30.0, 6.0, 4.0
-#: Sources with a frequency of chains of their own: those with most windows; others share the one of all.
+#: Sources whose frequencies of chains are broadcast; those of more are joined by a shuffle, with the same result.
 MAX_SOURCES = 2_000
+#: Weight in windows by which the chains of a source are drawn towards those of all sources.
+DRAWN = 200
+#: Windows that a task of the EM weighs, and sources whose frequencies a process keeps at once.
+TASK_WINDOWS, KEPT_SOURCES = 2_000, 10_000
 
 #: A word piece around non-ASCII characters: at most two other characters on either side, gaps of at most three.
-WINDOW = r"[\x21-\x7E]{0,2}[^\x00-\x7F](?:[\x21-\x7E]{0,3}[^\x00-\x7F])*[\x21-\x7E]{0,2}"
+#: The pattern starts at the first of them, which is searched fast; the two before are added to it.
+WINDOW = r"[^\x00-\x7F](?:[\x21-\x7E]{0,3}[^\x00-\x7F])*[\x21-\x7E]{0,2}"
 #: A quoted word of up to twenty characters without a blank: text that speaks of a sequence.
-MENTION = r"(?<![^\s(\[])(?:\"[^\s\"]{1,20}\"|'[^\s']{1,20}'|“[^\s“”]{1,20}”|‘[^\s‘’]{1,20}’|«[^\s«»]{1,20}»|„[^\s„“]{1,20}“|`[^\s`]{1,20}`)(?![^\s.,;:!?)\]])"
+MENTION = (
+    "[\"'“‘«„`](?<![^\\s(\\[].)(?:(?<=\")[^\\s\"]{1,20}\"|(?<=')[^\\s']{1,20}'|(?<=“)[^\\s“”]{1,20}”|(?<=‘)[^\\s‘’]{1,20}’"
+    "|(?<=«)[^\\s«»]{1,20}»|(?<=„)[^\\s„“]{1,20}“|(?<=`)[^\\s`]{1,20}`)(?![^\\s.,;:!?)\\]])"
+)
 _ZEROS = str.maketrans("123456789", "000000000")
 _SILENT = str.maketrans("", "", "\xa0\xad\u200b\ufeff")
 _WINDOW, _MENTION = re.compile(WINDOW), re.compile(MENTION)
@@ -145,17 +154,16 @@ def untangled(text: str) -> tuple[str, Sequence[int]]:
     """The text with every window put right by its first guess, and where each character comes from."""
     if text.isascii():
         return text, range(len(text))
-    hit = [(m, c) for m in _WINDOW.finditer(text) if (c := first_guess(m.group()))]
+    hit = [(a, b, c) for a, b in _places(text) if (c := first_guess(text[a:b]))]
     if not hit:
         return text, range(len(text))
     pieces, origin, last = [], [], 0
-    for m, chain in hit:
-        before = undo(m.group(), chain)
-        pieces += [text[last : m.start()], before]
-        origin.extend(range(last, m.start()))
-        wide = m.end() - m.start()
-        origin.extend(m.start() + k * wide // len(before) for k in range(len(before)))
-        last = m.end()
+    for start, stop, chain in hit:
+        before = undo(text[start:stop], chain)
+        pieces += [text[last:start], before]
+        origin.extend(range(last, start))
+        origin.extend(start + k * (stop - start) // len(before) for k in range(len(before)))
+        last = stop
     pieces.append(text[last:])
     origin.extend(range(last, len(text)))
     return "".join(pieces), origin
@@ -165,6 +173,32 @@ def _digits(text: str) -> str:
     return text.translate(_ZEROS)
 
 
+class _Symbols(dict):
+    """Symbols of the character model: those of ASCII and of the encodings are their own, others share one per 256 code points.
+
+    Beyond the first plane there is one per plane. So there are about 1,100 symbols, and at most their square of pairs,
+    whatever the scripts of the texts: the model is bounded without leaving anything out.
+    """
+
+    def __missing__(self, code: int) -> int:
+        row = code >> 8 if code < 0x10000 else 0x100 + (code >> 16)
+        found = self[code] = 0x100000 + row
+        return found
+
+
+@cache
+def _symbols() -> _Symbols:
+    names = {*READ_AS, *(k for pair in SINGLE for k in pair), *TWICE}
+    own = {ord(c) for name in names for c in _table(name).values()} | set(range(128)) | {0xFFFD}
+    return _Symbols({c: c for c in own})
+
+
+def _pairs(text: str) -> list[str]:
+    """Pairs of symbols of a window with its ends, at least one beyond ASCII."""
+    marked = f"\x02{text.translate(_symbols())}\x03"
+    return [a + b for a, b in zip(marked, marked[1:], strict=False) if a > "\x7f" or b > "\x7f"]
+
+
 class Model:
     """How often a character follows another, with at least one beyond ASCII, and how often chains occur per source."""
 
@@ -182,16 +216,26 @@ class Model:
 
     def score(self, text: str) -> float:
         """Log probability of a window."""
-        marked, total = f"\x02{text}\x03", 0.0
-        for a, b in zip(marked, marked[1:], strict=False):
-            if a > "\x7f" or b > "\x7f":
-                alone = (self.singles.get(b, 0.0) + 0.01) / self.total
-                seen = self.pairs.get(a + b, 0.0)
-                total += math.log((seen + SMOOTH * alone) / (self.firsts.get(a, 0.0) + SMOOTH)) - UNSEEN * (seen < 0.5)
-                # Control characters are no text, however often garbled text repeats them.
-                total -= CONTROL * ("\x80" <= b <= "\x9f")
+        total = 0.0
+        for pair in _pairs(text):
+            a, b = pair
+            alone = (self.singles.get(b, 0.0) + 0.01) / self.total
+            seen = self.pairs.get(pair, 0.0)
+            total += math.log((seen + SMOOTH * alone) / (self.firsts.get(a, 0.0) + SMOOTH)) - UNSEEN * (seen < 0.5)
+            # Control characters are no text, however often garbled text repeats them.
+            total -= CONTROL * ("\x80" <= b <= "\x9f")
         return total
 
+    def learn(self, source: str, own: str | None) -> None:
+        """Take in how often chains occur in a source, as JSON of windows by chain; without it those of all sources hold."""
+        if source in self.chains or own is None:
+            return
+        if len(self.chains) > KEPT_SOURCES:
+            self.chains, self.ahead = {"*": self.chains["*"]}, {}
+        counts = json.loads(own)
+        n = sum(counts.values())
+        self.chains[source] = {c: (counts.get(c, 0.0) + DRAWN * p) / (n + DRAWN) for c, p in self.chains["*"].items()}
+
     def ratios(self, window: str) -> dict[str, float]:
         """Chains whose text before is about as likely as the window or more, with the log ratio."""
         found = self.kept.get(window)
@@ -234,79 +278,129 @@ def is_silent(window: str) -> bool:
 
 
 def _windows(text: str) -> list[str]:
-    return _WINDOW.findall(_MENTION.sub(" ", text)) if not text.isascii() else []
+    if text.isascii():
+        return []
+    plain = _MENTION.sub(" ", text)
+    return [plain[a:b] for a, b in _places(plain)]
+
+
+def _places(text: str) -> list[tuple[int, int]]:
+    """Where the windows of a text begin and end."""
+    out = []
+    for m in _WINDOW.finditer(text):
+        start = m.start()
+        for _ in range(2):
+            start -= start > 0 and "!" <= text[start - 1] <= "~"
+        out.append((start, m.end()))
+    return out
+
 
+def _put_right(text: str, change) -> str:
+    pieces, last = [], 0
+    for a, b in _places(text):
+        pieces += [text[last:a], change(text[a:b])]
+        last = b
+    return "".join([*pieces, text[last:]])
+
+
+def fields(documents: DataFrame, document_id: str, source: Column, texts: Sequence[str]) -> DataFrame:
+    """``(d, field, source, t)``: a row for every text of a record that has a character beyond ASCII; sources and fields keep apart."""
+    named = documents.select(source.cast("string").alias("s"), "*")
+    named = pick(named, {"d": document_id, "s": "s"} | {f"t{i}": t for i, t in enumerate(texts)})
+    options = F.array(*[F.struct(F.lit(t).alias("field"), F.col(f"t{i}").cast("string").alias("t")) for i, t in enumerate(texts)])
+    rows = named.select("d", F.coalesce("s", F.lit("")).alias("s"), F.explode(options).alias("r")).select("d", "r.field", F.concat_ws("\x01", "s", "r.field").alias("source"), F.col("r.t").alias("t"))
+    return rows.filter(F.col("t").rlike(r"[^\x00-\x7F]"))
+
+
+def counted_windows(rows: DataFrame) -> DataFrame:
+    """``(source, window, n)`` over all texts; each task counts before anything is shuffled."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Counter = Counter()
+
+        def handed_on() -> pd.DataFrame:
+            return pd.DataFrame([(s, w, n) for (s, w), n in held.items()], columns=["source", "window", "n"])
 
-def counted_windows(frame: DataFrame, source: Column, texts: Sequence[str]) -> DataFrame:
-    """``(source, window, n)`` over all records and fields; sources and fields keep apart."""
-    options = F.array(*[F.struct(F.lit(t).alias("f"), F.col(t).alias("t")) for t in texts])
-    rows = frame.select(source.alias("s"), F.explode(options).alias("r")).select(F.concat_ws("\x01", "s", "r.f").alias("source"), F.col("r.t").alias("t"))
-    rows = rows.filter(F.col("t").rlike(r"[^\x00-\x7F]"))
-    clean = F.regexp_replace(F.regexp_replace("t", MENTION, " "), "[0-9]", "0")
-    windows = F.regexp_extract_all(clean, F.lit(f"({WINDOW})"))
-    return rows.select("source", F.explode(windows).alias("window")).groupBy("source", "window").agg(F.count("*").alias("n"))
+        for batch in batches:
+            for source, text in zip(batch["source"], batch["t"], strict=True):
+                for w in _windows(text):
+                    held[source, w] += 1
+            if len(held) > 200_000:
+                yield handed_on()
+                held.clear()
+        yield handed_on()
+
+    counted = rows.select("source", "t").mapInPandas(count, "source string, window string, n long")
+    return counted.groupBy("source", F.translate("window", "123456789", "000000000").alias("window")).agg(F.sum("n").alias("n"))
 
 
-def fit(windows: DataFrame, rounds: int = ROUNDS) -> Model:
-    """EM over counted windows; what comes to the driver is bounded by ``MAX_PAIRS``, ``MAX_SOURCES`` and the chains.
+def fit(windows: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
+    """EM over counted windows: the model, and ``(source, own)`` with the windows of every source by chain as JSON.
+
+    What comes to the driver is bounded by the pairs of symbols and the chains, whatever the data.
 
     E step: the posterior of the chains of every window, from the character model and the chains of its
     source. M step: characters of the restored windows and chains per source, by these posteriors. It starts
     from the windows as they are, except that what decodes as UTF-8 is taken as garbled nine times in ten.
     """
-    # Counted windows are few bytes but much work: they go to all cores, those of several sources to the same one.
-    windows = cut(windows.repartition(windows.sparkSession.sparkContext.defaultParallelism, "window"))
-    large = [r[0] for r in windows.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(MAX_SOURCES).collect()]
-    own = frozenset(large)
-    model = None
+    # Counted windows are few bytes but much work, so tasks are made by their number; those of several sources meet.
+    counted = written(windows)
+    windows = cut(counted.repartition(max(1, min(-(-counted.count() // TASK_WINDOWS), 10_000)), "window"))
+    model, sources = None, None
     for _ in range(rounds + 1):
         held = windows.sparkSession.sparkContext.broadcast(model)
 
-        def expect(batches: Iterator[pd.DataFrame], held=held, own=own) -> Iterator[pd.DataFrame]:
+        def expect(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             known: Model | None = held.value
             pairs: dict[str, float] = defaultdict(float)
             chains: dict[tuple[str, str], float] = defaultdict(float)
             for batch in batches:
-                for source, window, n in zip(batch["source"], batch["window"], batch["n"], strict=True):
+                for source, window, n, own in zip(batch["source"], batch["window"], batch["n"], batch["own"], strict=True):
                     shares = [(window, CLEAN, float(n))]
                     if known is None:
                         likely = first_guess(window)
                         if likely:
                             shares = [(window, CLEAN, 0.05 * n), (undo(window, likely), likely, 0.95 * n)]
                     else:
+                        known.learn(source, own)
                         odds = [(c, math.exp(min(r, 50.0)) * known.prior(source, c) / known.prior(source, CLEAN)) for c, r in known.ratios(window).items()]
                         every = 1.0 + sum(o for _, o in odds)
                         shares = [(window, CLEAN, n / every)] + [(undo(window, c), c, n * o / every) for c, o in odds if o / every > 1e-4]
                     for text, chain, weight in shares:
-                        chains[(source if source in own else "*"), chain] += weight
-                        marked = f"\x02{text}\x03"
-                        for a, b in zip(marked, marked[1:], strict=False):
-                            if a > "\x7f" or b > "\x7f":
-                                pairs[a + b] += weight
+                        chains[source, chain] += weight
+                        for pair in _pairs(text):
+                            pairs[pair] += weight
             yield pd.DataFrame([("pair", "", k, v) for k, v in pairs.items()] + [("chain", s, c, v) for (s, c), v in chains.items()], columns=["kind", "source", "key", "value"])
 
-        found = windows.mapInPandas(expect, "kind string, source string, key string, value double")
+        ready = windows.withColumn("own", F.lit(None).cast("string")) if sources is None else joined(windows, sources, "window")
+        found = ready.select("source", "window", "n", "own").mapInPandas(expect, "kind string, source string, key string, value double")
         found = cut(found.groupBy("kind", "source", "key").agg(F.sum("value").alias("value")))
-        pairs = found.filter("kind = 'pair'").orderBy(F.desc("value"), "key").limit(MAX_PAIRS).select("key", "value").toPandas()
-        chains = found.filter("kind = 'chain'").toPandas()  # at most sources with a frequency of their own x chains
+        pairs = found.filter("kind = 'pair'").select("key", "value").toPandas()  # at most the pairs of symbols
+        chains = found.filter("kind = 'chain'").groupBy("key").agg(F.sum("value").alias("value")).toPandas()  # at most the chains
+        entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value"))))
+        sources = cut(found.filter("kind = 'chain'").groupBy("source").agg(F.to_json(entries).alias("own")))
         held.unpersist()
-        model = Model(dict(zip(pairs["key"], pairs["value"], strict=True)), _chains(chains))
-    return model
+        pairs, chains = pairs.sort_values("key"), chains.sort_values("key")
+        model = Model(dict(zip(pairs["key"], pairs["value"], strict=True)), {"*": _shares(chains)})
+    return model, sources
+
 
+def joined(rows: DataFrame, sources: DataFrame, spread: str) -> DataFrame:
+    """Rows with the ``own`` frequencies of their source: broadcast, or, of very many sources, joined with hot ones salted by ``spread``."""
+    if len(sources.limit(MAX_SOURCES + 1).select("source").collect()) <= MAX_SOURCES:
+        return rows.join(F.broadcast(sources), "source", "left")
+    salt = 32
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salt)).cast("int"))
+    return salted.join(sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))), ["source", "salt"], "left").drop("salt")
 
-def _chains(rows: pd.DataFrame) -> dict[str, dict[str, float]]:
-    """Frequency of chains for all and per source, drawn towards the one of all by a weight of 200 windows."""
-    total = rows.groupby("key")["value"].sum()
-    every = float(total.sum()) or 1.0
+
+def _shares(rows: pd.DataFrame) -> dict[str, float]:
+    """Frequency of chains over all sources."""
+    every = float(rows["value"].sum()) or 1.0
     size = 2 + len(READ_AS) + len(TWICE) ** 2 + len(SINGLE)
-    share = {c: (v + 0.5) / (every + 0.5 * size) for c, v in total.items()}
+    share = {c: (v + 0.5) / (every + 0.5 * size) for c, v in zip(rows["key"], rows["value"], strict=True)}
     share.setdefault(CLEAN, 1.0)
-    out = {"*": share}
-    for source, part in rows.groupby("source"):
-        own = dict(zip(part["key"], part["value"], strict=True))
-        n = sum(own.values())
-        out[source] = {c: (own.get(c, 0.0) + 200 * p) / (n + 200) for c, p in share.items()}
-    return out
+    return share
 
 
 #: Shares of a record's windows that a chain may have hit, besides a single one; records are often garbled in part.
@@ -326,31 +420,31 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
         return (LOST if any("�" in w for w in windows) else CLEAN), None, text
     # What a chain can gain at most: chains that cannot reach the limit need no closer look.
     most_of: dict[str, float] = defaultdict(float)
-    full: dict[str, float] = defaultdict(float)
     for w in windows:
         for c, r in model.likely(w):
             most_of[c] += min(r, LIMIT)
-            full[c] += r
     clean = model.prior(source, CLEAN)
     bounds = sorted(((most + math.log(model.prior(source, c) / clean), c) for c, most in most_of.items()), reverse=True)
     parts = np.array([1 / max(2, len(windows)), *PARTS])
-    none = np.log1p(-parts)
+    hit, none = np.log(parts), np.log1p(-parts)
     counts = Counter(windows)
     odds: dict[str, float] = {}
-    most = None
+    weight: dict[str, float] = {}
     for bound, c in bounds:
-        if bound <= max(LEAST_ODDS, most if most is not None else LEAST_ODDS):
+        if bound <= LEAST_ODDS:
             break
-        total = np.zeros(len(parts))
+        limited, whole = np.zeros(len(parts)), np.zeros(len(parts))
         for w, n in counts.items():
             r = None if is_silent(w) else model.ratios(w).get(c)
-            # Beyond a limit a single window says no more; one character seen once says less than many.
-            total += n * (none if r is None else np.log1p(parts * math.expm1(min(r, LIMIT))))
-        odds[c] = float(total.max()) - math.log(len(parts)) + math.log(model.prior(source, c) / clean)
-        most = odds[c] if most is None else max(most, odds[c])
+            # Beyond a limit a single window says no more against clean text; between chains all of it counts.
+            limited += n * (none if r is None else np.logaddexp(none, hit + min(r, LIMIT)))
+            whole += n * (none if r is None else np.logaddexp(none, hit + r))
+        ahead = math.log(model.prior(source, c) / clean) - math.log(len(parts))
+        odds[c], weight[c] = float(limited.max()) + ahead, float(whole.max()) + ahead
+    most = max(odds.values(), default=None)
     if most is not None and most > LEAST_ODDS:
-        # Of the chains looked at that are likely enough, the one that explains most names the record.
-        chain = max((c for c, o in odds.items() if o > LEAST_ODDS), key=lambda c: (full[c] + math.log(model.prior(source, c)), c))
+        # Of the chains that are likely enough, the one with the largest posterior names the record.
+        chain = max((c for c, o in odds.items() if o > LEAST_ODDS), key=lambda c: (weight[c], c))
         return chain, most, _restore(model, chain, text)
     return (LOST if any("�" in w for w in windows) else CLEAN), most, text
 
@@ -358,48 +452,48 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
 def _restore(model: Model, chain: str, text: str) -> str:
     """Windows that the record's chain makes more likely are put right; others, if another chain does clearly."""
 
-    def put_right(m: re.Match) -> str:
-        ratios = model.ratios(m.group())
+    def put_right(window: str) -> str:
+        ratios = model.ratios(window)
         other = max(ratios, key=ratios.get, default=CLEAN)
         own = ratios.get(chain, 0.0)
         if own > 0 and own > ratios[other] - CLEARLY:
-            return undo(m.group(), chain)
-        return undo(m.group(), other) if other and ratios[other] > CLEARLY else m.group()
+            return undo(window, chain)
+        return undo(window, other) if other and ratios[other] > CLEARLY else window
 
     pieces, last = [], 0
     for m in _MENTION.finditer(text):
-        pieces += [_WINDOW.sub(put_right, text[last : m.start()]), m.group()]
+        pieces += [_put_right(text[last : m.start()], put_right), m.group()]
         last = m.end()
-    return "".join([*pieces, _WINDOW.sub(put_right, text[last:])])
+    return "".join([*pieces, _put_right(text[last:], put_right)])
 
 
-def garbled(documents: DataFrame, document_id: str, source: Column, text: str, model: Model | None = None) -> DataFrame:
-    """``(id, field, chain, odds, restored)`` of the records of which some characters were wrongly decoded.
+def garbled(documents: DataFrame, document_id: str, source: Column, text: str | Sequence[str], fitted: tuple[Model, DataFrame] | None = None) -> DataFrame:
+    """``(id, field, chain, odds, restored)`` of the texts of which some characters were wrongly decoded.
 
-    source: what records come from, over the columns of ``documents``; null is a source of its own. The
-    model is fitted to all records unless one is given. Quoted words without a blank are mentions and no
-    evidence. A replacement character is evidence of a loss that cannot be restored (chain ``lost``).
-    Null, empty and pure ASCII texts are never garbled; copies count each; long texts are read whole. The
-    fit shuffles counts of distinct windows only; the last pass over the records shuffles nothing.
+    source: what records come from, over the columns of ``documents``; null is a source of its own. text: one
+    field or several; each field of a source has frequencies of its own. The model is fitted to all records
+    unless one is given. Quoted words without a blank are mentions and no evidence. A replacement character is
+    evidence of a loss that cannot be restored (chain ``lost``). Null, empty and pure ASCII texts are never garbled;
+    copies count each; long texts are read whole. The fit shuffles counts of distinct windows only; the last
+    pass over the records shuffles nothing, unless there are more than ``MAX_SOURCES`` sources.
     """
-    named = documents.select(source.cast("string").alias("s"), "*")
-    named = pick(named, {"d": document_id, "t": text, "s": "s"})
-    if model is None:
-        model = fit(counted_windows(named, F.coalesce("s", F.lit("")), ["t"]))
+    rows = fields(documents, document_id, source, [text] if isinstance(text, str) else list(text))
+    model, sources = fit(counted_windows(rows)) if fitted is None else fitted
     model.kept, model.quick = {}, {}
     held = documents.sparkSession.sparkContext.broadcast(model)
-    kind = dict(named.dtypes)["d"]
+    kind = dict(rows.dtypes)["d"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: Model = held.value
         for batch in batches:
-            rows = []
-            for d, s, t in zip(batch["d"], batch["s"], batch["t"], strict=True):
-                chain, odds, restored = judge(known, f"{s}\x01t", t)
+            found = []
+            for d, field, s, t, own in zip(*[batch[c] for c in ("d", "field", "source", "t", "own")], strict=True):
+                known.learn(s, own)
+                chain, odds, restored = judge(known, s, t)
                 if chain != CLEAN:
-                    rows.append((d, chain, odds, restored))
-            yield pd.DataFrame(rows, columns=["d", "chain", "odds", "restored"])
+                    found.append((d, field, chain, odds, restored))
+            yield pd.DataFrame(found, columns=["d", "field", "chain", "odds", "restored"])
 
-    likely = named.filter("d is not null").filter(F.col("t").rlike(r"[^\x00-\x7F]")).select("d", F.coalesce("s", F.lit("")).alias("s"), "t")
-    found = likely.mapInPandas(scan, f"d {kind}, chain string, odds double, restored string")
-    return found.select(F.col("d").alias(document_id), F.lit(text).alias("field"), "chain", "odds", "restored")
+    likely = joined(rows.filter("d is not null"), sources, "t").select("d", "field", "source", "t", "own")
+    found = likely.mapInPandas(scan, f"d {kind}, field string, chain string, odds double, restored string")
+    return found.select(F.col("d").alias(document_id), "field", "chain", "odds", "restored")
