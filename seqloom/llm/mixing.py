@@ -9,23 +9,25 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.frames import pick, prefix_sum
-from seqloom.session import cut, tokenizer_path, written
+from seqloom.functions.frames import pick, prefix_sum, running_total
+from seqloom.llm.tokens import tokenizer_path
+from seqloom.session import cut, written
 
-# Fixed value: the pattern by which the public byte-level vocabulary splits text.
+# The pattern by which the public byte-level vocabulary splits text, and its number for the end of a text.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY, END = "byte_bpe_50k.tiktoken", 50_256
 
-#: Tokens that a task gathers before they are handed on.
-HANDED_ON = 1_000_000
-#: Rows per partition and source whose block numbers are broadcast; more are joined by a shuffle.
+#: Tokens that a task gathers before they are handed on, and slots of the mixture that a task places.
+HANDED_ON, TASK_SLOTS = 1_000_000, 500_000
+#: Characters of a source that are packed together, and how many tasks share the work at most.
+BUCKET_CHARS, MAX_TASKS = 4_000_000, 50_000
+#: Sources whose number of buckets is broadcast; more are joined by a shuffle.
 MAX_BASES = 200_000
-#: Tokens of a block, blocks of an output shard, and how many sources and shards the driver may plan.
-BLOCK, SHARD_BLOCKS, MAX_SOURCES, MAX_SHARDS = 2_048, 512, 1_000, 65_536
+#: Tokens of a block, blocks of an output shard, and how many sources may have a target.
+BLOCK, SHARD_BLOCKS, MAX_SOURCES = 2_048, 512, 1_000
 
 
 @cache
@@ -38,78 +40,101 @@ def encoder(path: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def packed_locally(documents: DataFrame, block: int, path: str) -> DataFrame:
-    """``(s, part, at, tokens)`` of ``(s, t)``: per partition and source, full blocks counted from 0 and a rest (``at`` -1).
+def packed(documents: DataFrame, block: int, path: str, end: int | None) -> DataFrame:
+    """``(s, bucket, at, k, ids, firsts, sizes, tokens)`` of ``(s, bucket, d, t)`` in the order of rows.
 
-    A source's tokens are held until they fill a block, so a task keeps less than a block per source.
+    Full blocks of a bucket count from 0; of its rest every document is a row of its own (``at`` -1, ``k`` its place).
+    A task holds less than a block and what it is about to hand on.
     """
+    kind = documents.schema["d"].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
-        part = TaskContext.get().partitionId()
-        held: dict[str, list[np.ndarray]] = {}
-        size: dict[str, int] = {}
-        done: dict[str, int] = {}
-        out: list[tuple[str, int, np.ndarray]] = []
-        waiting = 0
-
-        def batch_of(rows: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
-            tokens = pa.array([r[2] for r in rows], pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([part] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.int64()), tokens], names=["s", "part", "at", "tokens"])
+        now, held, size, at, waiting = None, [], 0, 0, 0
+        out: list[tuple] = []
+        id_type = pa.int64()
+
+        def rest() -> list[tuple]:
+            return [(*now, -1, k, [piece]) for k, piece in enumerate(held)]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            pieces = [r[4] for r in rows]
+            columns = [
+                pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int32()),
+                pa.array([[p[0] for p in own] for own in pieces], pa.list_(id_type)), pa.array([[p[1] for p in own] for own in pieces], pa.list_(pa.int64())),
+                pa.array([[len(p[2]) for p in own] for own in pieces], pa.list_(pa.int32())), pa.array([np.concatenate([p[2] for p in own]) for own in pieces], pa.list_(pa.int32())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["s", "bucket", "at", "k", "ids", "firsts", "sizes", "tokens"])
 
         for batch in batches:
-            for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(s, []).append(np.array(own.encode_ordinary(t), dtype=np.int32))
-                size[s] = size.get(s, 0) + len(held[s][-1])
-                if size[s] < block:
-                    continue
-                whole = np.concatenate(held[s])
-                full = len(whole) // block
-                for k in range(full):
-                    out.append((s, done.get(s, 0) + k, whole[k * block : (k + 1) * block]))
-                done[s] = done.get(s, 0) + full
-                held[s], size[s] = [whole[full * block :]], len(whole) - full * block
-                waiting += full * block
-                if waiting >= HANDED_ON:
-                    yield batch_of(out)
-                    out, waiting = [], 0
-        out += [(s, -1, np.concatenate(held[s])) for s in held if size[s]]
+            id_type = batch.schema.field(2).type
+            for s, bucket, d, t in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                if (s, bucket) != now:
+                    out += rest()
+                    now, held, size, at = (s, bucket), [], 0, 0
+                tokens = np.array([*own.encode_ordinary(t), *([] if end is None else [end])], dtype=np.int32)
+                first = 0
+                while first < len(tokens):
+                    taken = tokens[first : first + block - size]
+                    held.append((d, first, taken))
+                    size += len(taken)
+                    first += len(taken)
+                    if size == block:
+                        out.append((*now, at, 0, held))
+                        held, size, at = [], 0, at + 1
+                        waiting += block
+                        if waiting >= HANDED_ON:
+                            yield batch_of(out)
+                            out, waiting = [], 0
+        out += rest()
         if out:
             yield batch_of(out)
 
-    return documents.mapInArrow(pack, "s string, part int, at long, tokens array<int>")
+    return documents.mapInArrow(pack, f"s string, bucket long, at long, k int, ids array<{kind}>, firsts array<long>, sizes array<int>, tokens array<int>")
+
 
+def blocks(documents: DataFrame, document_id: str, source: Column, text: str, block: int = BLOCK, path: str | None = None, seed: int = 17, end: int | None = END, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
+    """``(source, block, n_tokens, tokens, documents)``: the tokens of every source, one document after another, in blocks.
 
-def blocks(documents: DataFrame, document_id: str, source: Column, text: str, block: int = BLOCK, path: str | None = None, seed: int = 17) -> DataFrame:
-    """``(source, block, n_tokens, tokens)``: the tokens of every source, one document after another, in blocks.
+    A document's tokens are followed by ``end``, unless that is None. ``documents`` tells what a block holds, in
+    order: ``(id, first, n)``, with the place in its document of the first of ``n`` tokens.
 
-    Partitions pack their documents to full blocks in one pass and write them; blocks are numbered by the counts
-    of partitions. The rests, less than a block per partition and source, are ordered by a hash, placed by a prefix sum and
-    packed the same way, so a source may hold any share of the rows and its tokens are never shuffled to be packed.
-    Blocks of a source count from 0; all have ``block`` tokens but the last. Documents without tokens and with a
-    null source are left out; a document that occurs twice counts twice. Texts are read whole.
+    A source is cut by a hash of the document ids to buckets of about ``bucket_chars`` characters; each is packed in
+    one pass to full blocks in the order of the hash. Rests, less than a block per bucket, are placed by a
+    prefix sum and packed the same way. Texts are shuffled once, so neither the files nor the number of tasks show
+    in the result, and a source may hold any share of the rows. Blocks of a source count from 0; all have ``block``
+    tokens but the last. Documents with a null source and null or empty texts are left out; one that occurs twice
+    counts twice. Texts are read whole.
     """
     named = documents.select(source.cast("string").alias("s"), "*")
-    named = pick(named, {"s": "s", "t": text, "d": document_id}).filter("s is not null and t is not null and t <> ''").select("s", "t")
-    local = written(packed_locally(named, block, path or tokenizer_path(VOCABULARY)))
-    counts = cut(local.filter("at >= 0").groupBy("s", "part").agg((F.max("at") + 1).alias("n")))
-    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    if counts.count() <= MAX_BASES:
-        bases = F.broadcast(bases)
-    full = local.filter("at >= 0").join(bases, ["s", "part"]).select(F.col("s").alias("source"), (F.col("base") + F.col("at")).alias("block"), "tokens")
+    named = pick(named, {"s": "s", "t": text, "d": document_id}).filter("s is not null and t is not null and t <> ''")
+    sizes = cut(named.groupBy("s").agg(F.ceil(F.sum(F.length("t").cast("long")) / bucket_chars).alias("buckets")))
+    total, sources = sizes.agg(F.coalesce(F.sum("buckets"), F.lit(0)), F.count("*")).first()
+    placed = named.join(F.broadcast(sizes) if sources <= MAX_BASES else sizes, "s")
+    key = F.xxhash64(F.lit(seed), "d")
+    placed = placed.select("s", F.pmod(key, F.col("buckets")).alias("bucket"), "d", "t", key.alias("key"))
+    tasks = max(1, min(total, MAX_TASKS))
+    # Buckets of a source follow each other, so that the large sources are spread evenly.
+    spread = placed.repartitionById(tasks, F.pmod(F.xxhash64("s") + F.col("bucket"), F.lit(tasks)).cast("int")).sortWithinPartitions("s", "bucket", "key", "d", F.xxhash64("t"), "t")
+    local = written(packed(spread.select("s", "bucket", "d", "t"), block, path or tokenizer_path(VOCABULARY), end))
+    counts = cut(local.filter("at >= 0").groupBy("s", "bucket").agg((F.max("at") + 1).alias("n")))
+    bases = running_total(counts, "n", "bucket", ["s"], "base").select("s", "bucket", "base")
+    full = local.filter("at >= 0").join(bases, ["s", "bucket"])
+    held = F.arrays_zip(F.col("ids").alias("id"), F.col("firsts").alias("first"), F.col("sizes").alias("n"))
+    full = full.select(F.col("s").alias("source"), (F.col("base") + F.col("at")).alias("block"), "tokens", held.alias("documents"))
     totals = counts.groupBy("s").agg(F.sum("n").alias("full"))
-    rests = local.filter("at < 0").withColumn("n", F.size("tokens").cast("long")).withColumn("key", F.col("part").cast("long"))
-    placed = prefix_sum(rests.select("s", "key", "n", "tokens"), "n", "key", ["s"], seed, "start")
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("n") - 1) / block)
-    pieces = placed.select("s", "start", "tokens", F.explode(F.sequence(first, last)).alias("b"))
+    rests = local.filter("at < 0").select("s", (F.col("bucket") * block + F.col("k")).alias("key"), F.size("tokens").cast("long").alias("n"), "tokens", F.col("ids")[0].alias("id"), F.col("firsts")[0].alias("first"))
+    placed = prefix_sum(rests, "n", "key", ["s"], seed, "start").drop("key")
+    low, high = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("n") - 1) / block)
+    pieces = placed.select("s", "start", "tokens", "id", "first", F.explode(F.sequence(low, high)).alias("b"))
     begin = F.greatest(F.col("b") * block - F.col("start"), F.lit(0)).cast("int")
     stop = F.least((F.col("b") + 1) * block - F.col("start"), F.size("tokens").cast("long")).cast("int")
-    pieces = pieces.select("s", "b", (F.col("start") + begin).alias("at"), F.slice("tokens", begin + 1, stop - begin).alias("piece"))
+    piece = F.struct((F.col("start") + begin).alias("at"), F.slice("tokens", begin + 1, stop - begin).alias("piece"), "id", (F.col("first") + begin).alias("first"))
     # A block has at most as many pieces as tokens.
-    merged = pieces.groupBy("s", "b").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("pieces")).join(totals, "s", "left")
-    tail = merged.select(F.col("s").alias("source"), (F.coalesce("full", F.lit(0)) + F.col("b")).alias("block"), F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("tokens"))
-    return full.unionByName(tail).select("source", "block", F.size("tokens").alias("n_tokens"), "tokens")
+    merged = pieces.groupBy("s", "b").agg(F.array_sort(F.collect_list(piece)).alias("pieces")).join(totals, "s", "left")
+    held = F.transform("pieces", lambda p: F.struct(p["id"].alias("id"), p["first"].alias("first"), F.size(p["piece"]).alias("n")))
+    tail = merged.select(F.col("s").alias("source"), (F.coalesce("full", F.lit(0)) + F.col("b")).alias("block"), F.flatten(F.transform("pieces", lambda p: p["piece"])).alias("tokens"), held.alias("documents"))
+    return full.unionByName(tail).select("source", "block", F.size("tokens").alias("n_tokens"), "tokens", "documents")
 
 
 def plan(sizes: dict[str, int], targets: list[tuple[str, float, int]], total: int) -> dict[str, int]:
@@ -136,31 +161,50 @@ def plan(sizes: dict[str, int], targets: list[tuple[str, float, int]], total: in
     return out
 
 
-def draw_counts(wanted: dict[str, int], room: dict[str, int], shards: int, shard_blocks: int, seed: int) -> np.ndarray:
-    """Blocks per shard and source: multinomial draws; draws beyond a source's room become draws of sources that have some left."""
-    names = list(wanted)
-    total = sum(wanted.values())
-    chance = np.array([wanted[s] / total for s in names])
-    sizes = np.full(shards, shard_blocks)
-    sizes[-1] = total - shard_blocks * (shards - 1)
-    counts = np.random.default_rng(seed).multinomial(sizes, chance)
-    for i, s in enumerate(names):
-        over = int(counts[:, i].sum()) - room[s]
-        for shard in range(shards - 1, -1, -1):
-            if over <= 0:
-                break
-            moved = min(over, int(counts[shard, i]))
-            counts[shard, i] -= moved
-            over -= moved
-            while moved:
-                spare = {j: room[n] - int(counts[:, j].sum()) for j, n in enumerate(names) if j != i}
-                j = max(spare, key=lambda j: (spare[j] > 0, wanted[names[j]] - int(counts[:, j].sum()), -j), default=None)
-                if j is None or spare[j] <= 0:
-                    break
-                step = min(moved, spare[j])
-                counts[shard, j] += step
-                moved -= step
-    return counts
+def drawn(spark: SparkSession, wanted: list[int], shard_blocks: int, seed: int) -> DataFrame:
+    """``(shard, i, n)``: blocks of source ``i`` in every shard, drawn by a multinomial of the shard's own seed, in tasks."""
+    amount = sum(wanted)
+    shards = -(-amount // shard_blocks)
+    chance = np.array(wanted, dtype=float) / max(1, amount)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = [np.random.default_rng([seed, shard]).multinomial(min(shard_blocks, amount - shard * shard_blocks), chance) for shard in batch["id"]]
+            at, i = np.nonzero(np.array(counts))
+            yield pd.DataFrame({"shard": batch["id"].to_numpy()[at], "i": i.astype(np.int32), "n": np.array(counts)[at, i]})
+
+    return spark.range(0, shards, 1, max(1, min(shards // 5_000, MAX_TASKS))).mapInPandas(draw, "shard long, i int, n long")
+
+
+def slots(counts: DataFrame, names: list[str], sizes: list[int], wanted: list[int], totals: list[int], seed: int) -> DataFrame:
+    """``(shard, source, k, block, pass)`` of every slot: the k-th block drawn of a source and where it stands in a pass.
+
+    counts: ``(shard, i, n, first)`` with the number ``first`` of blocks drawn of the source in earlier shards; ``totals`` of
+    all shards. What is drawn of a source beyond ``wanted`` goes, in the order of sources and shards, to those
+    drawn too few, so every source is used exactly as often as planned.
+    """
+    wants, got, size = (np.array(x, dtype=np.int64) for x in (wanted, totals, sizes))
+    over, under = np.maximum(got - wants, 0), np.maximum(wants - got, 0)
+    over_before, under_before = np.cumsum(over) - over, np.cumsum(under) - under
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = batch["n"].to_numpy()
+            i = np.repeat(batch["i"].to_numpy(), n).astype(np.int64)
+            k = np.repeat(batch["first"].to_numpy() - np.cumsum(n) + n, n) + np.arange(n.sum())
+            spare = k >= wants[i]
+            number = over_before[i[spare]] + k[spare] - wants[i[spare]]
+            to = np.searchsorted(np.cumsum(under), number, side="right")
+            i[spare], k[spare] = to, got[to] + number - under_before[to]
+            turn = k // size[i]
+            at = np.empty(len(k), dtype=np.int64)
+            for source, t in np.unique(np.stack([i, turn]), axis=1).T.tolist():
+                of = (i == source) & (turn == t)
+                at[of] = permuted(k[of] % size[source], int(size[source]), seed * 1_000_003 + source * 1_009 + t)
+            yield pd.DataFrame({"shard": np.repeat(batch["shard"].to_numpy(), n), "source": np.array(names, dtype=object)[i], "k": k, "block": at, "pass": turn})
+
+    tasks = max(1, min(-(-sum(wanted) // TASK_SLOTS), MAX_TASKS))
+    return counts.repartition(tasks, "shard").mapInPandas(place, "shard long, source string, k long, block long, pass long")
 
 
 def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -183,18 +227,18 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
 
 
 def mixture(packed: DataFrame, targets: DataFrame, agree, total_blocks: int | None = None, shard_blocks: int = SHARD_BLOCKS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
-    """The mixture ``(shard, slot, source, block, pass, n_tokens, tokens)`` and its report.
+    """The mixture ``(shard, slot, source, block, pass, n_tokens, tokens, documents)`` and its report.
 
     packed: blocks per source (see ``blocks``), with sources already written as ``agree`` writes them.
     targets: ``(source, target_share, max_repeats)``, at most ``MAX_SOURCES`` rows; sources without a target
     are not used, targets without a source are reported with nothing.
     total_blocks: size of the mixture; the size of all targeted sources once, unless given.
 
-    Blocks per source follow the targets as far as caps allow. Each shard draws its number of blocks per
-    source (multinomial); the k-th block drawn of a source is block ``permutation(k mod blocks)`` of its pass
+    Blocks per source follow the targets as far as caps allow, and are used exactly so often. Each shard draws
+    its number of blocks per source (multinomial); what all shards together draw too many of a source goes to
+    those drawn too few. The k-th block of a source is block ``permutation(k mod blocks)`` of its pass
     ``k div blocks``, so a source is used up before it is repeated, and never more than its cap. Slots of a shard are
-    ordered at random. Only counts per shard and source are planned on the driver, at most
-    ``MAX_SHARDS`` x ``MAX_SOURCES``; beyond, shards grow.
+    ordered at random. Shards are drawn in tasks; the driver only holds a number per source.
     """
     spark = packed.sparkSession
     asked = pick(targets, {"s": "source", "t": "target_share", "m": "max_repeats"}).withColumn("s", agree(F.col("s")))
@@ -205,40 +249,18 @@ def mixture(packed: DataFrame, targets: DataFrame, agree, total_blocks: int | No
     there = packed.join(F.broadcast(asked.select(F.col("s").alias("source")).distinct()), "source", "left_semi")
     sizes = {r["source"]: r["n"] for r in there.groupBy("source").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values()) if total_blocks is None else total_blocks
-    wanted = plan(sizes, listed, total)
-    room = {s: sizes.get(s, 0) * max(0, cap) for s, _, cap in listed}
-    amount = sum(wanted.values())
-    shard_blocks = max(shard_blocks, -(-amount // MAX_SHARDS))
-    shards = max(1, -(-amount // shard_blocks))
-    schema = "shard int, source string, first long, n int, size long, key int"
-    drawn = []
-    if amount:
-        counts = draw_counts(wanted, room, shards, shard_blocks, seed)
-        firsts = np.cumsum(counts, axis=0) - counts
-        for i, s in enumerate(wanted):
-            at = np.flatnonzero(counts[:, i])
-            drawn.append(pd.DataFrame({"shard": at.astype(np.int32), "source": s, "first": firsts[at, i], "n": counts[at, i].astype(np.int32), "size": sizes.get(s, 0), "key": np.int32(i)}))
-    counted = spark.createDataFrame(pd.concat(drawn), schema) if drawn else spark.createDataFrame([], schema)
-
-    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                k = np.arange(r.first, r.first + r.n, dtype=np.int64)
-                turn = k // r.size
-                at = np.empty(len(k), dtype=np.int64)
-                for t in np.unique(turn):
-                    of = turn == t
-                    at[of] = permuted(k[of] % r.size, r.size, seed * 1_000_003 + r.key * 1_009 + int(t))
-                yield pd.DataFrame({"shard": r.shard, "source": r.source, "k": k, "block": at, "pass": turn})
-
-    # As many tasks as shards at most; each row of the plan makes at most shard_blocks slots.
-    spread = counted.repartition(min(shards, 512), "shard")
-    placed = spread.mapInPandas(slots, "shard int, source string, k long, block long, pass long")
+    wanted = {s: n for s, n in sorted(plan(sizes, listed, total).items()) if n}
+    names, numbers = list(wanted), list(wanted.values())
+    if wanted:
+        counts = cut(drawn(spark, numbers, shard_blocks, seed))
+        got = {r["i"]: r["n"] for r in counts.groupBy("i").agg(F.sum("n").alias("n")).collect()}
+        placed = slots(running_total(counts, "n", "shard", ["i"], "first"), names, [sizes[s] for s in names], numbers, [got.get(i, 0) for i in range(len(names))], seed)
+    else:
+        placed = spark.createDataFrame([], "shard long, source string, k long, block long, pass long")
     mixed = placed.join(there, ["source", "block"])
     order = F.xxhash64(F.lit(seed), "shard", "source", "k")
-    mixed = mixed.select("shard", order.alias("order"), "source", "block", "pass", "n_tokens", "tokens")
-    report = mix_report(mixed, asked, there)
-    return mixed.select("shard", F.col("order").alias("slot"), "source", "block", "pass", "n_tokens", "tokens"), report
+    mixed = mixed.select("shard", order.alias("slot"), "source", "block", "pass", "n_tokens", "tokens", "documents")
+    return mixed, mix_report(mixed, asked, there)
 
 
 def mix_report(mixed: DataFrame, asked: DataFrame, there: DataFrame) -> DataFrame:
