@@ -90,3 +90,22 @@ def digest_rank(frame: DataFrame, within: Sequence[str], key: str, seed: int, ou
         same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
     joined = inner.alias("l").join(counts.alias("r"), same)
     return joined.select(*[F.col(f"l.{c}") for c in frame.columns], (F.col(f"l.{out}") + F.col(f"r.{base}")).cast("long").alias(out))
+
+
+def running_total(frame: DataFrame, value: str, order: str, within: Sequence[str], out: str, width: int = 4_096) -> DataFrame:
+    """Exclusive running total of ``value`` in the order of a whole number that is unique inside each ``within`` group.
+
+    Two levels: totals of stretches of ``width`` numbers are summed first, then rows inside their stretch, so
+    a long group is shared by many tasks. Nulls in ``within`` are a group of their own.
+    """
+    part, base = f"{out}_part", f"{out}_base"
+    placed = frame.withColumn(part, F.floor(F.col(order) / F.lit(width)))
+    inner = Window.partitionBy(*within, part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumn(out, F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    outer = (Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*within, part).agg(F.sum(value).alias(base)).withColumn(base, F.coalesce(F.sum(base).over(outer), F.lit(0)))
+    same = F.lit(True)
+    for k in [*within, part]:
+        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    joined = running.alias("l").join(totals.alias("r"), same)
+    return joined.select(*[F.col(f"l.{c}") for c in frame.columns], (F.col(f"l.{out}") + F.col(f"r.{base}")).alias(out))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -70,8 +69,3 @@ def written(frame: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
-
-
-def tokenizer_path(name: str) -> str:
-    """Path of a public vocabulary file; ``SEQLOOM_TOKENIZERS`` names another folder."""
-    return os.path.join(os.environ.get("SEQLOOM_TOKENIZERS", "/opt/tokenizers"), name)

@@ -5,7 +5,7 @@ from itertools import accumulate
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.functions.frames import content_hash, digest_rank, pick, prefix_sum
+from seqloom.functions.frames import content_hash, digest_rank, pick, prefix_sum, running_total
 from seqloom.operators.graph import components, ordered_index
 from seqloom.session import written
 
@@ -22,6 +22,17 @@ def test_prefix_sum(spark):
     assert prefix_sum(frame.filter("id < 0"), "n", "id", [], 7, "before").count() == 0
 
 
+def test_running_total(spark):
+    draw = random.Random(2)
+    rows = [(g, i, draw.randint(0, 9)) for g in ("hot", None, "a") for i in range({"hot": 900, None: 90, "a": 1}[g])]
+    frame = spark.createDataFrame(rows, "g string, i long, n long").repartition(5)
+    out = running_total(frame, "n", "i", ["g"], "before", width=64).collect()
+    for g in ("hot", "a", None):
+        part = sorted((r for r in out if r["g"] == g), key=lambda r: r["i"])
+        assert [r["before"] for r in part] == [0, *accumulate(r["n"] for r in part)][:-1]
+    assert running_total(frame.filter("i < 0"), "n", "i", [], "before").count() == 0
+
+
 def test_digest_rank(spark):
     rows = [(g, i) for g in ("a", "b", None) for i in range(300)]
     frame = spark.createDataFrame(rows, "g string, id long").repartition(3)
