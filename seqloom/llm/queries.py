@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.text import gap_key, mate_key, strain_key
+from seqloom.functions.text import ROMAN, gap_key, mate_key, strain_key
 from seqloom.llm.contamination import leaks, without_leaks
 from seqloom.llm.mixing import blocks, mixture
 from seqloom.llm.mojibake import garbled
 from seqloom.llm.sampling import draw, sample_report, unmet
-from seqloom.llm.splits import assign_splits, split_report, state_folder
+from seqloom.llm.splits import assign_splits, members, split_report, state_folder
 from seqloom.llm.topn import top_n
+from seqloom.plans.problems import SAMPLE_SQL
 from seqloom.sources.tables import table
 
 
@@ -66,8 +67,10 @@ def p5_increments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record tied to another, with its group."""
-    return p5_splits(spark, folder).filter("group_size > 1").select("record_id", "group_id")
+    """Every record tied to another, with its group, as the persisted component table holds it."""
+    state = state_folder(spark, f"splits-{uuid.uuid4().hex}")
+    assign_splits(table(spark, folder, "metadata"), "record_id", metadata_keys(), table(spark, folder, "split_targets"), state)
+    return members(spark, state, "record_id").filter("group_size > 1").select("record_id", "group_id")
 
 
 def p5_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +129,27 @@ _HIT = (
     "sgi, slen, staxids, sscinames, stitle, features, blast_mode, run_at"
 )
 _GAP = r"""regexp_replace(lower(regexp_replace({c}, '^[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+|[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+$', '', 'g')), '[\s\p{{Z}}\p{{Cf}}\p{{Cc}}_-]+', ' ', 'g')"""
+_STRIPPED = r"lower(regexp_replace({c}, '^[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+|[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+$', '', 'g'))"
+_BARE = r"lower(regexp_replace({c}, '[\s\p{{Z}}\p{{Cf}}\p{{Cc}}._-]+', '', 'g'))"
+for _sign, _letters in ROMAN.items():
+    _BARE = f"replace({_BARE}, '{_sign}', '{_letters}')"
+_STRAIN = f"case when {{c}} is not null and {_STRIPPED} not in ('', 'na', 'n/a', 'nan', 'none') and {_BARE} not in ('', 'unknown', 'mixed') then {_BARE} end"
+_GROUPS = f"""
+with recursive named as (
+  select record_id as id, {SAMPLE_SQL.format(c="sample_name")} as s, {_STRAIN.format(c="accession_name")} as a, {_STRAIN.format(c="strain")} as t from metadata),
+keys as (
+  select id, 's' || s as k from named where s not in ('unknown', 'mixed') union all
+  select id, 'a' || a from named where a is not null union all select id, 't' || t from named where t is not null),
+pairs as (select id, min(id) over (partition by k) as least from keys),
+edges as (select id as a, least as b from pairs where id <> least union select least, id from pairs where id <> least),
+roots(id, root) using key (id) as (
+  select record_id, record_id from metadata
+  union
+  select e.a, min(n.root) from roots n join edges e on e.b = n.id join recurring.roots o on o.id = e.a where n.root < o.root group by e.a),
+grouped as (select id as record_id, root as group_id, count(*) over (partition by root) as group_size from roots)
+"""
 SQL = {
+    "p5_found": _GROUPS + "select record_id, group_id from grouped where group_size > 1",
     "p1_found": f"""
 with hits as (
   select {_HIT}, min(hit_id) as hit_id from compactor_reannotation_lib

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.frames import pick, prefix_sum
 from seqloom.operators.graph import components
-from seqloom.session import cut, shared_dir, written
+from seqloom.session import application_dir, cut, written
 
 #: A component of at least this share of the new records is placed by its size; there are at most as many as its inverse.
 LARGE_SHARE = 0.001
@@ -130,7 +130,7 @@ def _save(folder: str, result: DataFrame, by_key: DataFrame, sizes: DataFrame, o
     """The state after these records; a merged component counts the sizes of its parts."""
     good = sizes.filter("status <> 'quarantined'").select("root", "size", "split")
     keys = by_key.join(good.select("root"), "root", "left_semi").select("key", "root")
-    records = result.filter("status <> 'quarantined'").select("id")
+    records = result.filter("status <> 'quarantined'").select("id", F.col("group_id").alias("root"))
     groups = good
     old_keys, old_groups, old_records = old
     if old_keys is not None:
@@ -139,11 +139,21 @@ def _save(folder: str, result: DataFrame, by_key: DataFrame, sizes: DataFrame, o
         groups = whole.unionByName(good).groupBy("root").agg(F.sum("size").alias("size"), F.min("split").alias("split"))
         earlier = old_keys.join(moved, "root", "left").select("key", F.coalesce("now", "root").alias("root"))
         keys = earlier.unionByName(keys).groupBy("key").agg(F.min("root").alias("root"))
-        records = old_records.select("id").unionByName(records)
+        kept = old_records.join(moved, "root", "left").select("id", F.coalesce("now", "root").alias("root"))
+        records = kept.unionByName(records)
     for name, frame in {"keys": keys, "groups": groups, "records": records}.items():
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
+def members(spark, state: str, id_column: str) -> DataFrame:
+    """``(id, group_id, group_size, split)`` of all records in the newest version of a persisted component table."""
+    version = _version(spark, state)
+    if not version:
+        raise ValueError(f"no complete version in {state}")
+    groups, records = (spark.read.parquet(f"{state}/{version}/{t}") for t in ("groups", "records"))
+    return records.join(groups, "root").select(F.col("id").alias(id_column), F.col("root").alias("group_id"), F.col("size").alias("group_size"), "split")
+
+
 def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:
     """Records, share and target of every split."""
     counts = assigned.groupBy("split").agg(F.count("*").alias("records"))
@@ -165,5 +175,5 @@ def _version(spark, state: str) -> int:
 
 
 def state_folder(spark, name: str) -> str:
-    """A folder of the shared directory for a persisted component table."""
-    return f"{shared_dir(spark)}/{name}"
+    """A folder for a component table that lives as long as the application; a lasting one is named by the caller."""
+    return f"{application_dir(spark)}/{name}"

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from seqloom.llm.splits import assign_splits, split_report
+from seqloom.llm.splits import assign_splits, members, split_report
 
 KEYS = ["a", "b"]
 TARGETS = [("train", 0.8), ("validation", 0.1), ("test", 0.1)]
@@ -86,6 +86,10 @@ def test_increments_keep_splits_and_quarantine(spark, tmp_path):
     assert {three[i]["split"] for i in (2000, 2001, 2002)} == {"train"} and three[2000]["status"] == "kept"
     assert three[2002]["group_id"] == three[2000]["group_id"] == min(train["group_id"], mate["group_id"])
     assert three[1]["split"] == two[1003]["split"] and three[1]["group_id"] == 1
+    whole = {r["id"]: r for r in members(spark, state, "id").collect()}
+    assert set(whole) == {*one, 1003, *three} and all(whole[i]["split"] == one[i]["split"] for i in one)
+    sizes = Counter(r["group_id"] for r in whole.values())
+    assert all(r["group_size"] == sizes[r["group_id"]] for r in whole.values()) and whole[mate["id"]]["group_id"] == whole[2002]["group_id"]
 
 
 def test_empty_and_refused(spark):
