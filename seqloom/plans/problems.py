@@ -31,15 +31,16 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return orphan_report(p4_found(spark, folder), ["table_name", "period"])
 
 
-_NAME = r"""case when {c} is null or lower(regexp_replace({c}, '^[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+|[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+$', '', 'g')) in ('', 'na', 'n/a', 'nan', 'none') then null
+#: The key of a sample name in SQL; ``{c}`` is the column.
+SAMPLE_SQL = r"""case when {c} is null or lower(regexp_replace({c}, '^[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+|[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+$', '', 'g')) in ('', 'na', 'n/a', 'nan', 'none') then null
  else regexp_replace(regexp_replace(lower(regexp_replace({c}, '[\s\p{{Z}}\p{{Cf}}\p{{Cc}}]+', '', 'g')), '\.(fastq|fq)(\.(gz|bz2|xz|zst))?$', ''), '_r?[12]$', '') end"""
 
 _P4 = f"""
-with known as (select {_NAME.format(c="sample_id")} as k, added_at, removed_at from sample_sheet),
+with known as (select {SAMPLE_SQL.format(c="sample_id")} as k, added_at, removed_at from sample_sheet),
 refs as (
-  select 'h5n1_example_metadata' as table_name, row_id, loaded_at, {_NAME.format(c="sample_name")} as k from h5n1_example_metadata
+  select 'h5n1_example_metadata' as table_name, row_id, loaded_at, {SAMPLE_SQL.format(c="sample_name")} as k from h5n1_example_metadata
   union all
-  select 'hdbscan_clusters', row_id, loaded_at, {_NAME.format(c="sample")} from hdbscan_clusters),
+  select 'hdbscan_clusters', row_id, loaded_at, {SAMPLE_SQL.format(c="sample")} from hdbscan_clusters),
 found as (
   select table_name, strftime(loaded_at, '%Y-%m') as period, row_id from refs
   where k is not null and not exists (

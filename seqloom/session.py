@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -59,13 +60,33 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def application_dir(spark: SparkSession) -> str:
+    """The folder of this application in the shared folder. It is removed when the program ends."""
+    base, name = shared_dir(spark), spark.sparkContext.applicationId
+    path = f"{base}/{name}"
+    if path not in _folders:
+        _folders.add(path)
+        jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+
+        def remove() -> None:
+            # The gateway may be gone already; then the files stay under the application's id.
+            with contextlib.suppress(Exception):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(settings).delete(at, True)
+
+        atexit.register(remove)
+    return path
+
+
+_folders: set[str] = set()
+
+
 def written(frame: DataFrame) -> DataFrame:
     """Write the frame to the shared folder as a compressed table and go on from there.
 
-    For large frames: a checkpoint holds rows as they are in memory. The files lie under the application's id, and
-    may be removed when it has ended; on a local master they go with the temporary folder.
+    For large frames: a checkpoint holds rows as they are in memory.
     """
     spark = frame.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{application_dir(spark)}/{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
