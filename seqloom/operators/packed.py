@@ -3,7 +3,7 @@
 Every field is reduced to a *skeleton* in which runs of ordinary characters are one sign. The splitting
 rule - which pieces of the field are values - is worked out once per distinct skeleton, by a small parser
 that knows quotes, brackets and separators. The rules are joined back and cut the values out by position.
-Rows never meet Python: only distinct skeletons do.
+Only distinct skeletons meet Python, and the rows whose skeleton is too rare or too long for the broadcast rules.
 """
 
 from __future__ import annotations
