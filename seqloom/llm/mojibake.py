@@ -210,21 +210,25 @@ class Model:
             self.firsts[a] += n
             self.singles[b] += n
         self.total = sum(pairs.values()) + 1.0
+        self.logs: dict[str, float] = {}
         self.kept: dict[str, dict[str, float]] = {}
         self.quick: dict[str, list[tuple[str, float]]] = {}
         self.ahead: dict[str, float] = {}
 
     def score(self, text: str) -> float:
         """Log probability of a window."""
-        total = 0.0
-        for pair in _pairs(text):
-            a, b = pair
-            alone = (self.singles.get(b, 0.0) + 0.01) / self.total
-            seen = self.pairs.get(pair, 0.0)
-            total += math.log((seen + SMOOTH * alone) / (self.firsts.get(a, 0.0) + SMOOTH)) - UNSEEN * (seen < 0.5)
-            # Control characters are no text, however often garbled text repeats them.
-            total -= CONTROL * ("\x80" <= b <= "\x9f")
-        return total
+        logs = self.logs
+        return sum([logs[p] if p in logs else self.weigh(p) for p in _pairs(text)])
+
+    def weigh(self, pair: str) -> float:
+        """Log probability of the second symbol of a pair after the first."""
+        a, b = pair
+        alone = (self.singles.get(b, 0.0) + 0.01) / self.total
+        seen = self.pairs.get(pair, 0.0)
+        # Control characters are no text, however often garbled text repeats them.
+        found = math.log((seen + SMOOTH * alone) / (self.firsts.get(a, 0.0) + SMOOTH)) - UNSEEN * (seen < 0.5) - CONTROL * ("\x80" <= b <= "\x9f")
+        self.logs[pair] = found
+        return found
 
     def learn(self, source: str, own: str | None) -> None:
         """Take in how often chains occur in a source, as JSON of windows by chain; without it those of all sources hold."""
@@ -418,29 +422,39 @@ def judge(model: Model, source: str, text: str) -> tuple[str, float | None, str]
     best = sum(min(found[0][1], LIMIT) for w in windows if (found := model.likely(w)))
     if best + model.best_prior(source) <= LEAST_ODDS:
         return (LOST if any("�" in w for w in windows) else CLEAN), None, text
-    # What a chain can gain at most: chains that cannot reach the limit need no closer look.
+    # What a chain can gain at most: chains that cannot reach the limit, or beat what is found, need no closer look.
     most_of: dict[str, float] = defaultdict(float)
+    full: dict[str, float] = defaultdict(float)
     for w in windows:
         for c, r in model.likely(w):
             most_of[c] += min(r, LIMIT)
+            full[c] += r
     clean = model.prior(source, CLEAN)
-    bounds = sorted(((most + math.log(model.prior(source, c) / clean), c) for c, most in most_of.items()), reverse=True)
+    bounds = sorted(((gain + math.log(model.prior(source, c) / clean), c) for c, gain in most_of.items()), reverse=True)
+    if not bounds or bounds[0][0] <= LEAST_ODDS:
+        return (LOST if any("�" in w for w in windows) else CLEAN), None, text
     parts = np.array([1 / max(2, len(windows)), *PARTS])
-    hit, none = np.log(parts), np.log1p(-parts)
+    hit, none = np.log(parts)[:, None], np.log1p(-parts)[:, None]
     counts = Counter(windows)
+    silent = sum(n for w, n in counts.items() if is_silent(w))
+    spoken = [(model.ratios(w), n) for w, n in counts.items() if not is_silent(w)]
+    times = np.array([n for _, n in spoken], dtype=float)
     odds: dict[str, float] = {}
     weight: dict[str, float] = {}
+    highest = heaviest = -math.inf
     for bound, c in bounds:
         if bound <= LEAST_ODDS:
             break
-        limited, whole = np.zeros(len(parts)), np.zeros(len(parts))
-        for w, n in counts.items():
-            r = None if is_silent(w) else model.ratios(w).get(c)
-            # Beyond a limit a single window says no more against clean text; between chains all of it counts.
-            limited += n * (none if r is None else np.logaddexp(none, hit + min(r, LIMIT)))
-            whole += n * (none if r is None else np.logaddexp(none, hit + r))
         ahead = math.log(model.prior(source, c) / clean) - math.log(len(parts))
+        if bound < highest and full[c] + ahead < heaviest:
+            continue
+        # Beyond a limit a single window says no more against clean text; between chains all of it counts.
+        r = np.array([found.get(c, -math.inf) for found, _ in spoken])
+        limited, whole = ((np.logaddexp(none, hit + x) * times).sum(axis=1) + silent * none[:, 0] for x in (np.minimum(r, LIMIT), r))
         odds[c], weight[c] = float(limited.max()) + ahead, float(whole.max()) + ahead
+        highest = max(highest, odds[c])
+        if odds[c] > LEAST_ODDS:
+            heaviest = max(heaviest, weight[c])
     most = max(odds.values(), default=None)
     if most is not None and most > LEAST_ODDS:
         # Of the chains that are likely enough, the one with the largest posterior names the record.
@@ -479,7 +493,7 @@ def garbled(documents: DataFrame, document_id: str, source: Column, text: str |
     """
     rows = fields(documents, document_id, source, [text] if isinstance(text, str) else list(text))
     model, sources = fit(counted_windows(rows)) if fitted is None else fitted
-    model.kept, model.quick = {}, {}
+    model.kept, model.quick, model.logs = {}, {}, {}
     held = documents.sparkSession.sparkContext.broadcast(model)
     kind = dict(rows.dtypes)["d"]
 
