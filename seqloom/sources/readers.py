@@ -5,12 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COMPRESSED = (".gz", ".bz2", ".xz", ".zip")
 
+# Columns of the files that are read, and names that only a header has.
+HEADER_NAMES = (
+    "sample", "sample_id", "anchor", "target", "count", "major", "minor", "major_partition", "minor_partition", "partition",
+    "extendor", "seed_extendor", "seed", "sequence", "query",
+)
 SATC_FILE = "sample string, anchor string, target string, count string"
 HIT_COLUMNS = {
     18: "query subject identity alignment_length mismatches gap_opens q_start q_end s_start s_end sstrand evalue qcovs sgi sacc slen staxids stitle".split(),
@@ -42,11 +47,9 @@ def sniff_delimiter(lines: Sequence[str]) -> str:
 
 
 def looks_like_header(fields: Sequence[str], names: Sequence[str] = ()) -> bool:
-    """A known column name, or no field that is a number or a sequence."""
-    cleaned = [f.strip().lower() for f in fields]
-    if any(f in {n.lower() for n in names} for f in cleaned):
-        return True
-    return not any(re.fullmatch(r"[-+]?[0-9.]+(?:e[-+]?[0-9]+)?|[acgtn]{8,}", f) for f in cleaned)
+    """Whether a field is a name that only a header has, or a requested column that is not a number."""
+    known = {*HEADER_NAMES, *(n.strip().lower() for n in names if not n.strip().isdigit())}
+    return any(f.strip().lower() in known for f in fields)
 
 
 def column_of(names: Sequence[str], which: str | int) -> str:
@@ -106,10 +109,14 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scores(spark: SparkSession, path: str, effect: str, least: float, columns: Sequence[str]) -> DataFrame:
-    """Score table with only the wanted columns and rows; text is read once and cut while it is scanned."""
-    frame = spark.read.option("sep", "\t").option("header", "true").csv(path)
-    typed = frame.select(*[F.col(c).try_cast("double").alias(c) if c not in ("anchor",) else F.col(c) for c in columns])
-    return typed.filter(F.col(effect) >= least)
+    """Score table with only the wanted columns and rows.
+
+    Numbers are parsed by the reader, so columns and the least effect reach the scan; what is no number is null.
+    """
+    names = first_lines(spark, path, 1)[0].split("\t")
+    schema = ", ".join(f"`{c}` {'double' if c in columns and c != 'anchor' else 'string'}" for c in names)
+    frame = spark.read.schema(schema).option("sep", "\t").option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    return frame.select(*columns).filter(F.col(effect) >= least)
 
 
 def read_satc(spark: SparkSession, path: str, single_cell: bool = False) -> DataFrame:
@@ -121,37 +128,50 @@ def read_satc(spark: SparkSession, path: str, single_cell: bool = False) -> Data
     return samples.well_formed(samples.single_cell(frame) if single_cell else frame)
 
 
-def read_clusters(spark: SparkSession, path: str) -> DataFrame:
-    """``(cluster, anchor, rank)`` of a file whose order of lines is the rank; the order is that of the offsets in the file."""
-    from seqloom.operators.graph import ordered_index
+def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, block, at, value)``: lines with the place of their split in the file and their place in the order of rows.
 
-    lines = spark.read.text(path).select(F.split("value", "\t").alias("f"), F.monotonically_increasing_id().alias("line"))
-    rows = lines.select(F.col("f")[0].cast("int").alias("cluster"), F.col("f")[1].alias("anchor"), "line")
-    placed = ordered_index(rows, ["line"], "i")
-    from pyspark.sql import Window
+    In a split lines keep their order, and a split is read by one task: ``(file, block, at)`` is the order of the
+    file, however files are split and splits are put together.
+    """
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
 
-    return placed.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy("i"))).select("cluster", "anchor", "rank")
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``(file, line, value)`` with the number of the line in its file from 0. Only a row per split is ordered."""
+    splits = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(splits, ["file", "block"]).select("file", (F.col("at") + F.col("shift")).alias("line"), "value")
+
+
+def read_clusters(spark: SparkSession, path: str) -> DataFrame:
+    """``(cluster, anchor, rank)``: the rank is the order of lines in the file, of several files by their names."""
+    fields = placed_lines(spark, path).withColumn("f", F.split("value", "\t"))
+    rows = fields.select(F.col("f")[0].cast("int").alias("cluster"), F.col("f")[1].alias("anchor"), "file", "block", "at")
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy("file", "block", "at"))).select("cluster", "anchor", "rank")
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, description, seq)`` of FASTA records; sequences over several lines are joined and upper case."""
-    records = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
+    """``(id, description, seq)`` of FASTA records; sequences over several lines are joined and upper case.
+
+    A record begins with ``>`` at the start of a line; elsewhere the sign is part of the text.
+    """
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).filter(F.trim("value") != "")
     head = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", "")
     return records.select(F.regexp_extract(head, r"^(\S*)", 1).alias("id"), F.trim(head).alias("description"), F.upper(body).alias("seq"))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, description, seq, quality)`` of four-line FASTQ records.
+def read_fastq(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(id, description, seq, quality)`` of four-line FASTQ records, of any number of files.
 
-    Lines are numbered in the order of files and offsets, across partitions, and every four make a record.
+    Lines are numbered in their file, across its splits, and every four make a record; blank lines at the end are none.
     """
-    lines = spark.read.text(path)
-    from seqloom.operators.graph import ordered_index
-
-    numbered = ordered_index(lines.withColumn("line", F.monotonically_increasing_id()), ["line"], "i")
-    grouped = numbered.select(F.floor(F.col("i") / 4).alias("r"), (F.col("i") % 4).alias("p"), "value").groupBy("r")
+    numbered = numbered_lines(placed_lines(spark, path))
+    grouped = numbered.select("file", F.floor(F.col("line") / 4).alias("r"), (F.col("line") % 4).alias("p"), "value").groupBy("file", "r")
     wide = grouped.agg(*[F.max(F.when(F.col("p") == k, F.col("value"))).alias(n) for k, n in enumerate(("head", "seq", "plus", "quality"))])
+    wide = wide.filter(F.trim("head") != "")
     return wide.select(F.regexp_extract("head", r"^@(\S*)", 1).alias("id"), F.regexp_extract("head", r"^@(.*)$", 1).alias("description"), F.upper("seq").alias("seq"), "quality")
 
 
@@ -175,17 +195,17 @@ def read_genome_list(spark: SparkSession, path: str, folder: str, suffixes: Sequ
 
     Of mates the first is preferred. An empty list is an error.
     """
-    lines = [x for x in first_lines(spark, path, 1_000_000) if x.strip()]
-    if not lines:
+    lines = spark.read.text(path).select(F.trim("value").alias("line")).filter("line <> ''")
+    if lines.isEmpty():
         raise ValueError(f"no genomes in {path}")
-    out = []
-    for line in lines:
-        parts = re.split(r"[\t,]", line.strip())
-        name, at = (parts[0], parts[1]) if len(parts) > 1 else (parts[0], parts[0])
-        full = at if at.startswith("/") or "://" in at else f"{folder}/{at}"
-        sample = re.sub(r"(_1)?(\.(fa|fasta|fna|fastq|fq))?(\.gz)?$", "", name.split("/")[-1])
-        out.append((sample, full))
-    return spark.createDataFrame(sorted(set(out)), "sample string, path string")
+    parts = F.split("line", "[\t,]")
+    named = lines.select(parts[0].alias("name"), F.coalesce(F.get(parts, F.lit(1)), parts[0]).alias("at"))
+    absolute = F.col("at").startswith("/") | F.col("at").contains("://")
+    ending = "|".join(x.removeprefix(".") for x in suffixes)
+    base = F.substring_index("name", "/", -1)
+    sample = F.regexp_replace(base, rf"(?:_[12])?(?:\.(?:{ending}))?(?:\.gz)?$", "")
+    rows = named.select(sample.alias("sample"), F.when(absolute, F.col("at")).otherwise(F.concat(F.lit(f"{folder}/"), "at")).alias("path"))
+    return rows.groupBy("sample").agg(F.min("path").alias("path"))
 
 
 def with_path_columns(frame: DataFrame, patterns: dict[str, str]) -> DataFrame:
@@ -240,7 +260,3 @@ def lookup_stats(queries: DataFrame, query: str, reference: DataFrame, k: int) -
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     """No rows with the columns of a result, so that a sink still writes a header."""
     return spark.createDataFrame([], schema)
-
-
-def text_column(frame: DataFrame) -> Column:
-    return F.concat_ws("\t", *[F.col(c).cast("string") for c in frame.columns])

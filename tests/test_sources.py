@@ -1,4 +1,5 @@
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,45 @@ def test_sequences(spark, tmp_path):
         readers.read_genome_list(spark, put(tmp_path / "none.txt", "\n"), "/data")
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_records_of_several_split_files(spark, tmp_path, small_splits):
+    draw = random.Random(4)
+    letters = lambda n: "".join(draw.choice("ACGT") for _ in range(n))
+    fastq, fasta, clusters = [], [], []
+    for i in range(5):
+        reads = [(f"f{i}r{k}", letters(draw.randrange(1, 60))) for k in range(draw.randrange(20, 200))]
+        put(tmp_path / f"{i}.fastq", "".join(f"@{n} a->b\n{s}\n+\n{'@' * len(s)}\n" for n, s in reads) + "\n" * i)
+        fastq += [(n, f"{n} a->b", s, "@" * len(s)) for n, s in reads]
+        put(tmp_path / f"{i}.fa", "".join(f">{n} a->b > c\n{s[:20]}\n{s[20:]}\n" for n, s in reads))
+        fasta += [(n, f"{n} a->b > c", s) for n, s in reads]
+        put(tmp_path / f"{i}.clusters", "".join(f"{len(s) % 7}\t{n}\n" for n, s in reads))
+        clusters += [(len(s) % 7, n) for n, s in reads]
+    assert spark.read.text(f"{tmp_path}/*.fastq").rdd.getNumPartitions() > 20
+    assert rows(readers.read_fastq(spark, f"{tmp_path}/*.fastq")) == sorted(fastq)
+    assert rows(readers.read_fasta(spark, f"{tmp_path}/*.fa")) == sorted(fasta)
+    ranks = {}
+    want = [(c, n, ranks.setdefault(c, []).append(n) or len(ranks[c])) for c, n in clusters]
+    assert rows(readers.read_clusters(spark, f"{tmp_path}/*.clusters")) == sorted(want)
+
+
+def test_headers_and_lists(spark, tmp_path):
+    path = put(tmp_path / "names.tsv", "alpha\tbeta\ngamma\tdelta\n")
+    assert readers.read_table(spark, path).count() == 2
+    assert readers.looks_like_header(["x", "Seed"]) and not readers.looks_like_header(["7", "y"], ["7"])
+    path = put(tmp_path / "many.txt", "".join(f"g{i}_1.fa\ng{i}_2.fa\n" for i in range(3000)))
+    found = readers.read_genome_list(spark, path, "/d")
+    assert found.count() == 3000 and found.filter("path like '%\\_2.fa'").count() == 0
+
+
 def test_hits(spark, tmp_path):
     line = ["q", "s", "99.5", "10", "0", "0", "1", "10", "5", "14", "plus", "1e-5", "100", "0", "acc", "99", "9;7", "A b", "title"]
     path = put(tmp_path / "h.tsv", "\t".join(line) + "\n")
