@@ -7,15 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.functions.labels import NO_MATCH, NO_TARGET, PLACEHOLDERS, UNANNOTATED, precedence
+from seqloom.functions.labels import NO_MATCH, NO_TARGET, PLACEHOLDERS, UNANNOTATED, clean_label, collapsed_labels, precedence, residual_parts, species
+from seqloom.functions.maths import class_of_largest, largest_absolute, nth, number_list, signed_largest, text_list
 from seqloom.operators.selection import best_row, first_n
 
-HITS = (
-    "query", "subject", "identity", "alignment_length", "mismatches", "gap_opens", "q_start", "q_end", "s_start", "s_end",
-    "sstrand", "evalue", "qcovs", "sgi", "sacc", "slen", "staxids", "sscinames", "stitle",
-)
-
-
 def with_columns(frame: DataFrame, columns: Sequence[str], kind: str = "string") -> DataFrame:
     """The frame in a canonical order of columns; those it lacks are null."""
     return frame.select(*[F.col(c) if c in frame.columns else F.lit(None).cast(kind).alias(c) for c in columns])
@@ -78,6 +73,100 @@ def cascade(frame: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str],
     return current.withColumn(out, F.coalesce(*names)).drop(*names)
 
 
+def template_fallback(frame: DataFrame, templates: DataFrame, keys: Sequence[str], levels: Sequence[Sequence[str]], value: str, out: str) -> DataFrame:
+    """Value of the first level of which a template agrees: it is blank in all keys but those of the level.
+
+    Templates are reduced to one row per level and key, the smallest value, before they are joined.
+    """
+    current, names = frame, []
+    for i, level in enumerate(levels):
+        there = F.lit(True)
+        for k in keys:
+            blank = F.coalesce(F.trim(F.col(k).cast("string")), F.lit("")) == ""
+            there &= ~blank if k in level else blank
+        one = templates.filter(there).groupBy(*level).agg(F.min(value).alias(f"__t{i}"))
+        current = current.join(one, list(level), "left")
+        names.append(f"__t{i}")
+    return current.withColumn(out, F.coalesce(*names)).drop(*names)
+
+
+def nonzero(frame: DataFrame, coefficient: str) -> DataFrame:
+    """Rows with a coefficient that is not zero."""
+    return frame.filter(F.col(coefficient) != 0)
+
+
+def final_order(category: str, coefficient: str, identity: str) -> list[Column]:
+    """Order of annotated coefficients: category, then the strongest, then the most similar hit."""
+    return [F.asc(category), F.desc(F.abs(F.col(coefficient))), F.desc_nulls_last(identity)]
+
+
+def collapsed(frame: DataFrame, keys: Sequence[str], label: str, order: str) -> DataFrame:
+    """``(keys, label)``: labels of every key in the order of their first row, collapsed to one.
+
+    Labels are made distinct before they are gathered, so a key with very many rows is reduced in every task.
+    """
+    first = frame.filter(F.col(label).isNotNull()).groupBy(*keys, label).agg(F.min(order).alias("__o"))
+    items = F.array_sort(F.collect_list(F.struct("__o", F.col(label).alias("__l"))))
+    return first.groupBy(*keys).agg(collapsed_labels(F.transform(items, lambda x: x["__l"])).alias(label))
+
+
+def outside_labels(hits: DataFrame, order: str) -> DataFrame:
+    """``(sequence, label, identity, qcovs, species, staxids, subject, accession)`` of the hits of a search beyond the taxa.
+
+    hits: ``query, stitle, sscinames, staxids, identity, qcovs, subject, sacc`` and the column that orders them. The sequence is
+    the query without its cluster. Labels are collapsed, of the others the first that is there counts.
+    """
+    title = F.regexp_replace("stitle", r"\[.+\]$|MULTISPECIES:\s|, partial", "")
+    rows = hits.filter("query is not null").select(
+        F.regexp_replace("query", r"^cluster_\d+_", "").alias("sequence"), clean_label(title).alias("label"), "identity", "qcovs", species(F.col("stitle"), F.col("sscinames")).alias("species"),
+        "staxids", F.coalesce("subject", "sacc").alias("subject"), F.coalesce("sacc", "subject").alias("accession"), F.col(order).alias("__row"),
+    )
+    number = rows.withColumns({c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) for c in ("identity", "qcovs")})
+    firsts = best_first(number, ["sequence"], [F.col("__row")], ["identity", "qcovs", "species", "staxids", "subject", "accession"])
+    labels = collapsed(rows, ["sequence"], "label", "__row")
+    return firsts.join(labels, "sequence", "left").select("sequence", "label", "identity", "qcovs", "species", "staxids", "subject", "accession")
+
+
+def rescue_summary(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``(keys, label, identity, qcovs, species, sequence)`` of rescued annotations.
+
+    rows: ``source`` (``restricted_taxid`` or ``outside_taxid``), ``mode`` (``blastp`` or ``blast``), ``annotation, own_label, species, rescue``
+    and ``{restricted,unrestricted}_{mode}_{identity,qcovs}``, ``compactor_{identity,qcovs}``, ``identity``, ``qcovs``. Similarity is read
+    from the column of the source and mode, else from the first that is there. A row counts with a real label or
+    a rescue sequence.
+    """
+    modes = ("blastp", "blast")
+
+    def similarity(kind: str) -> Column:
+        number = lambda name: F.col(name).try_cast("double")
+        own = F.lit(None).cast("double")
+        for source, prefix in (("restricted_taxid", "restricted"), ("outside_taxid", "unrestricted")):
+            for mode in modes:
+                own = F.when((F.col("source") == source) & (F.col("mode") == mode), number(f"{prefix}_{mode}_{kind}")).otherwise(own)
+        return F.coalesce(own, *[number(n) for n in (f"compactor_{kind}", *(f"restricted_{m}_{kind}" for m in modes), kind)])
+
+    real = lambda c: F.coalesce((F.trim(c) != "") & ~c.isin(*PLACEHOLDERS), F.lit(False))
+    label = F.when(real(F.col("annotation")), F.col("annotation")).otherwise(F.col("own_label"))
+    held = rows.withColumns({"__label": label, "__identity": similarity("identity"), "__qcovs": similarity("qcovs")}).filter(real(F.col("__label")) | (F.trim("rescue") != ""))
+    named = held.select(*keys, F.col("__label").alias("label"), F.col("__identity").alias("identity"), F.col("__qcovs").alias("qcovs"), "species", F.col("rescue").alias("rescue_sequence"), F.col(order).alias("__row"))
+    firsts = best_first(named, keys, [F.col("__row")], ["identity", "qcovs", "species", "rescue_sequence"])
+    return firsts.join(collapsed(named, keys, "label", "__row"), list(keys), "left")
+
+
+def coefficient_columns(frame: DataFrame, coefficients: str, classes: str, category: str) -> DataFrame:
+    """First and second coefficient and class, the largest signed one and its class, from lists in text.
+
+    The class ``residual`` of a residual target is named by its focus.
+    """
+    values, names = number_list(F.col(coefficients)), text_list(F.col(classes))
+    focus = residual_parts(F.col(category))["focus"]
+    named = lambda c: F.when((c == "residual") & focus.isNotNull(), focus).otherwise(c)
+    return frame.withColumns({
+        "first_coefficient": nth(values, 1), "second_coefficient": nth(values, 2), "first_class": named(nth(names, 1)), "second_class": named(nth(names, 2)),
+        "max_signed": signed_largest(values), "max_coefficient": largest_absolute(values), "max_class": named(class_of_largest(names, values)),
+    })
+
+
 def backfill(frame: DataFrame, source: DataFrame, columns: Sequence[str], key_sets: Sequence[Sequence[str]]) -> DataFrame:
     """Blank columns filled from ``source`` by several sets of keys, from strict to loose."""
     current = frame
@@ -169,29 +258,35 @@ def top_clusters_of_categories(coefficients: DataFrame, category: str, cluster:
     return first_n(coefficients, [category], [F.desc(F.abs(F.col(coefficient))), cluster], n).select(cluster).distinct()
 
 
-def chosen_compactors(compactors: DataFrame, thresholds: Sequence[int] = (1000, 100, 5)) -> DataFrame:
-    """``(anchor, row, compactor, total_length, exact_support, reason)``: one compactor per anchor.
+# Why a compactor stands for its anchor.
+ONLY, RISE, BEST = "only_representative_above_threshold", "support_increase_vs_previous_representative", "best_available_by_support_then_length_below_threshold"
+
+
+def chosen_compactors(compactors: DataFrame, thresholds: Sequence[int] = (1000, 100, 5), prefix: str = "") -> DataFrame:
+    """``(anchor, row, compactor, total_length, exact_support, threshold, reason)``: one compactor per anchor.
 
-    compactors: ``anchor, compactor, total_length, exact_support`` and ``row``, their order. Best row per length by
-    support, then order, stands for the length. For each threshold: a single representative above it is taken;
-    else the first that has more support than the one before it. Without any, the best by support, length, order.
+    compactors: ``anchor, compactor, total_length, exact_support``, maybe ``support``, and ``row``, their order. Support is
+    the exact one, else the other; the length is ``total_length``, else that of the text. Rows without a text, an
+    anchor or a support take no part. The row with most support, then the first, stands for its length. For each
+    threshold: a single representative above it is taken; else the first with more support than the one before it.
+    Without any, the best by support, length, order.
     """
-    rows = compactors.select("anchor", "row", "compactor", "total_length", "exact_support")
-    best = best_row(rows, ["anchor", "total_length"], [F.desc_nulls_last("exact_support"), "row"])
+    support = F.coalesce(F.col("exact_support").cast("double"), *([F.col("support").cast("double")] if "support" in compactors.columns else []))
+    length = F.coalesce(F.nullif(F.col("total_length").cast("long"), F.lit(0)), F.length(F.trim("compactor")).cast("long"))
+    rows = compactors.filter((F.trim("compactor") != "") & (F.trim(F.col("anchor").cast("string")) != "")).select("anchor", "row", "compactor", length.alias("length"), support.alias("support"))
+    best = best_row(rows.filter("support is not null"), ["anchor", "length"], [F.desc("support"), "row"])
     fits = []
     for i, t in enumerate(thresholds):
-        order = Window.partitionBy("anchor").orderBy("row")
-        above = best.filter(F.col("exact_support") > t)
-        above = above.withColumns({"__n": F.count("*").over(Window.partitionBy("anchor")), "__before": F.lag("exact_support").over(order)})
-        single = above.filter("__n = 1").withColumns({"__step": F.lit(i), "reason": F.lit("only_representative_above_threshold")})
-        rising = best_row(above.filter("__n > 1 and exact_support > __before"), ["anchor"], ["row"]).withColumns({"__step": F.lit(i), "reason": F.lit("first_support_increase")})
-        fits += [single, rising]
-    last = best_row(best, ["anchor"], [F.desc_nulls_last("exact_support"), F.desc("total_length"), "row"])
-    fits.append(last.withColumns({"__n": F.lit(0).cast("long"), "__before": F.lit(None).cast("long"), "__step": F.lit(len(thresholds)), "reason": F.lit("fallback_best_support")}))
-    every = fits[0]
-    for part in fits[1:]:
-        every = every.unionByName(part)
-    return best_row(every, ["anchor"], ["__step", "row"]).select("anchor", "row", "compactor", "total_length", "exact_support", "reason")
+        above = best.filter(F.col("support") > t)
+        own = Window.partitionBy("anchor")
+        above = above.withColumns({"__n": F.count("*").over(own), "__before": F.lag("support").over(own.orderBy("row")), "__step": F.lit(i), "threshold": F.lit(t)})
+        fits += [above.filter("__n = 1").withColumn("reason", F.lit(ONLY)), best_row(above.filter("__n > 1 and support > __before"), ["anchor"], ["row"]).withColumn("reason", F.lit(RISE))]
+    last = best_row(best, ["anchor"], [F.desc("support"), F.desc("length"), "row"])
+    last = last.withColumns({"__step": F.lit(len(thresholds)), "threshold": F.lit(min(thresholds, default=None)).cast("int"), "reason": F.lit(BEST)})
+    every = last
+    for part in fits:
+        every = every.unionByName(part.drop("__n", "__before"))
+    return best_row(every, ["anchor"], ["__step", "row"]).select("anchor", "row", "compactor", F.col("length").alias("total_length"), F.col("support").alias("exact_support"), "threshold", F.concat(F.lit(prefix), "reason").alias("reason"))
 
 
 def counts_by_class(frame: DataFrame, keys: Sequence[str], label: str) -> DataFrame:

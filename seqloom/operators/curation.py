@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.labels import PLACEHOLDERS, interest
 from seqloom.functions.sequence import clean_key, seed_of
+from seqloom.operators.graph import ordered_index
 from seqloom.operators.selection import best_row, first_n
 
 
@@ -87,9 +88,62 @@ def by_group_values(frame: DataFrame, key: str, column: str, values: Sequence[st
     return distinct.groupBy(key).pivot(column, list(values)).agg(F.sum("__n")).na.fill(missing)
 
 
-def map_columns(frame: DataFrame, keys: Sequence[str], counts: str, names: Sequence[str]) -> DataFrame:
-    """Entries of a map as columns, 0 where a key is missing."""
-    return frame.select(*keys, *[F.coalesce(F.col(counts)[n], F.lit(0)).alias(n) for n in names])
+#: Columns that values may be spread to: a sink for people, not a form to compute on.
+MOST_COLUMNS = 10_000
+
+
+def _few(values: DataFrame, most: int) -> list:
+    found = [r[0] for r in values.filter("v is not null").distinct().orderBy("v").limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values to spread to columns")
+    return found
+
+
+def map_columns(frame: DataFrame, keys: Sequence[str], counts: str, most: int = MOST_COLUMNS) -> DataFrame:
+    """Entries of a map as columns, of the keys of all rows in order; 0 where a row lacks one."""
+    names = _few(frame.select(F.explode(F.map_keys(counts)).alias("v")), most)
+    return frame.select(*keys, *[F.coalesce(F.col(counts)[n], F.lit(0)).alias(str(n)) for n in names])
+
+
+def wide(frame: DataFrame, row: str, column: str, value: str, fill=None, most: int = MOST_COLUMNS) -> DataFrame:
+    """One row per ``row`` and a column per observed value of ``column``, in order, with the first ``value``; blanks are filled."""
+    names = _few(frame.select(F.col(column).alias("v")), most)
+    out = frame.groupBy(row).pivot(column, names).agg(F.min(value))
+    return out if fill is None else out.na.fill(fill)
+
+
+def outer_all(frames: Sequence[DataFrame], key: str) -> DataFrame:
+    """Full outer join of any number of frames on a key; their other columns must differ in name."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f, key, "full")
+    return out
+
+
+def side_by_side(left: DataFrame, left_order: Sequence[str], right: DataFrame, right_order: Sequence[str]) -> DataFrame:
+    """Rows of two frames paired by their place in an order; the longer one ends with nulls. Columns must differ in name."""
+    a, b = ordered_index(left, left_order, "__i"), ordered_index(right, right_order, "__i")
+    return a.join(b, "__i", "full").drop("__i")
+
+
+def shared_values(frames: Sequence[DataFrame], column: str) -> DataFrame:
+    """Values of a column that all frames have."""
+    out = frames[0].select(column).distinct()
+    for f in frames[1:]:
+        out = out.join(f.select(column).distinct(), column, "left_semi")
+    return out
+
+
+def inferred_lengths(satc: DataFrame, order: str) -> DataFrame:
+    """One row ``anchor_length, target_length``: of the first rows in order that have an anchor and a target."""
+    length = lambda c: F.min_by(F.length(F.trim(c)), F.when(F.trim(c) != "", F.col(order)))
+    return satc.agg(length("anchor").alias("anchor_length"), length("target").alias("target_length"))
+
+
+def compared_accuracy(own: DataFrame, other: DataFrame, category: str, accuracy: str) -> DataFrame:
+    """Accuracy of every category beside that of an external set, and what is lost; null where the set lacks it."""
+    outside = other.groupBy(category).agg(F.max(accuracy).alias("external"))
+    return own.groupBy(category).agg(F.max(accuracy).alias("own")).join(outside, category, "left").withColumn("lost", F.col("own") - F.col("external"))
 
 
 def joined_texts(frame: DataFrame, keys: Sequence[str], text: str, separator: str = ";") -> DataFrame:

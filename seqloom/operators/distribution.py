@@ -66,6 +66,11 @@ def by_specificity(stats: DataFrame) -> list[Column]:
     return [F.desc("specificity"), F.desc("total"), F.asc("entropy")]
 
 
+def by_entropy(stats: DataFrame) -> list[Column]:
+    """Order of features: entropy up, share of the dominant class and total down."""
+    return [F.asc("entropy"), F.desc("dominant_share"), F.desc("total")]
+
+
 def occurrences(satc: DataFrame, anchor: str) -> tuple[DataFrame, DataFrame]:
     """Counts per sample and target of one anchor, and all samples seen with or without it."""
     rows = satc.withColumn("count", F.col("count").try_cast("long")).filter("count is not null")
@@ -83,8 +88,10 @@ def complete_grid(counts: DataFrame, samples: DataFrame) -> DataFrame:
 def top_targets(counts: DataFrame, least_total: int = 1, most: int | None = None) -> DataFrame:
     """Targets by total, then natural name."""
     totals = counts.groupBy("target").agg(F.sum("count").alias("total")).filter(F.col("total") >= least_total)
-    ordered = totals.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), natural_key(F.col("target")), "target")).cast("long"))
-    return ordered if most is None else ordered.filter(F.col("rank") <= most)
+    keyed = totals.withColumns({"__down": -F.col("total"), "__key": natural_key(F.col("target"))})
+    order = ["__down", "__key", "target"]
+    kept = keyed if most is None else keyed.orderBy(*order).limit(most)
+    return ordered_index(kept, order, "rank").select("target", "total", (F.col("rank") + 1).alias("rank"))
 
 
 def replicate_series(grid: DataFrame, groups: Sequence[str], value: str, mean: bool = True) -> DataFrame:

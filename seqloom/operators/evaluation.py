@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,20 +77,54 @@ def expanded(counts: DataFrame, n: str = "n") -> DataFrame:
     return counts.filter(F.col(n) > 0).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
 
 
-def permutation_p(frame: DataFrame, key: str, true: str, predicted: str, rounds: int = 200, seed: int = 42) -> DataFrame:
-    """One row: accuracy and its Monte-Carlo p, ``(1 + rounds at least as good) / (1 + rounds)``.
+#: Classes of a target whose margins are drawn from; a target with more is no target.
+MAX_CLASSES = 10_000
 
-    Predictions are shuffled against the truth by the rank of a hash per round; every round is a group of its own.
+
+def permutation_p(frame: DataFrame, true: str, predicted: str, rounds: int = 200, seed: int = 42) -> DataFrame:
+    """One row: accuracy and its Monte-Carlo p, ``(1 + rounds at least as good) / (1 + rounds)``; rows without a label are left out.
+
+    A shuffle of the predictions against the truth keeps both margins of the confusion matrix, and how many are
+    right depends on its diagonal alone. So tables are drawn from the margins, a round at a time in tasks, and rows
+    are only counted. For up to 10^9 rows. Nothing depends on their order.
     """
-    base = frame.select(F.col(key).alias("k"), F.col(true).alias("t"), F.col(predicted).alias("p"))
-    rounds_ = base.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-    by_key = F.row_number().over(Window.partitionBy("round").orderBy("k"))
-    by_hash = F.row_number().over(Window.partitionBy("round").orderBy(F.xxhash64("k", "round", F.lit(seed)), "k"))
-    truth = rounds_.select("round", "t", by_key.alias("i"))
-    shuffled = rounds_.select("round", "p", by_hash.alias("i"))
-    scores = truth.join(shuffled, ["round", "i"]).groupBy("round").agg(F.avg((F.col("t") == F.col("p")).cast("double")).alias("a"))
-    observed = base.agg(F.avg((F.col("t") == F.col("p")).cast("double")).alias("accuracy"))
-    return scores.crossJoin(F.broadcast(observed)).groupBy("accuracy").agg(((1 + F.sum((F.col("a") >= F.col("accuracy") - 1e-12).cast("long"))) / (rounds + 1)).alias("p"))
+    counts = frame.filter(F.col(true).isNotNull() & F.col(predicted).isNotNull()).groupBy(F.col(true).alias("t"), F.col(predicted).alias("p")).agg(F.count("*").alias("n"))
+    margins = counts.groupBy("t").agg(F.sum("n").alias("a")).join(counts.groupBy(F.col("p").alias("t")).agg(F.sum("n").alias("b")), "t", "full").na.fill(0)
+    sums = margins.orderBy("t").limit(MAX_CLASSES + 1).collect()
+    if len(sums) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    right = counts.filter("t = p").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows, columns = np.array([r["a"] for r in sums], dtype=np.int64), np.array([r["b"] for r in sums], dtype=np.int64)
+    total = int(rows.sum())
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = 0
+            for number in batch["id"]:
+                dice, left, hit = np.random.default_rng([seed, number]), columns.copy(), 0
+                for i, size in enumerate(rows):
+                    taken = dice.multivariate_hypergeometric(left, size, method="marginals")
+                    hit += int(taken[i])
+                    left -= taken
+                good += hit >= right
+            yield pd.DataFrame({"good": [good]})
+
+    spark = frame.sparkSession
+    drawn = spark.range(0, rounds if total else 0, 1, max(1, min(rounds // 50, 1_000))).mapInPandas(draw, "good long").agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
+    accuracy = F.lit(right / total if total else None).cast("double")
+    return drawn.select(accuracy.alias("accuracy"), F.when(accuracy.isNotNull(), (1 + F.col("good")) / (rounds + 1)).alias("p"))
+
+
+def exact_permutation_p(frame: DataFrame, true: str, predicted: str) -> DataFrame:
+    """One row: accuracy and its exact p over all label allocations with both margins fixed, from the table of counts."""
+    counts = confusion(frame.filter(F.col(true).isNotNull() & F.col(predicted).isNotNull()), true, predicted).orderBy("true_label", "predicted_label")
+
+    def test(part: pd.DataFrame) -> pd.DataFrame:
+        table = part.pivot(index="true_label", columns="predicted_label", values="n").to_numpy(dtype=int).tolist()
+        total, right = sum(map(sum, table)), sum(row[i] for i, row in enumerate(table))
+        return pd.DataFrame({"accuracy": [right / total], "p": [float(exact_p(table))]})
+
+    return counts.groupBy(F.lit(0).alias("all")).applyInPandas(test, "accuracy double, p double")
 
 
 def exact_p(matrix: list[list[int]], most_states: int = 2_000_000) -> Fraction:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions.maths import distance
+from seqloom.operators.graph import ordered_index
+from seqloom.session import cut
 
 
 def exploded(frame: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
@@ -75,11 +77,56 @@ def varying_groups(long: DataFrame, group: str, feature: str, value: str) -> Dat
     return stats.groupBy(group).agg(F.max("v").alias("v"), F.max("odd").alias("odd")).filter("v > 0 or odd").select(group)
 
 
-def correlation(long: DataFrame, key: str, feature: str, value: str) -> DataFrame:
-    """Pairwise complete Pearson correlation of features, both orders and the diagonal left out."""
-    a = long.select(key, F.col(feature).alias("a"), F.col(value).alias("x"))
-    b = long.select(key, F.col(feature).alias("b"), F.col(value).alias("y"))
-    return a.join(b, key).filter("a < b").groupBy("a", "b").agg(F.corr("x", "y").alias("correlation"))
+#: Features of a block of the correlation matrix, keys that are held as one dense piece, and rows of a task.
+FEATURES, KEYS, TASK_ROWS = 1_000, 2_000, 2_000_000
+
+
+def correlation(long: DataFrame, key: str, feature: str, value: str, features: int = FEATURES) -> DataFrame:
+    """``(a, b, correlation)`` with ``a < b``: pairwise complete Pearson correlation; null where a feature is constant.
+
+    Features are cut to blocks; for each pair of blocks tasks add up products of matrices over their keys, and only
+    the sums of a pair of features are shuffled: never a row per key and pair. Of repeated rows of a key and feature
+    the smallest counts.
+    """
+    clean = long.filter(F.col(key).isNotNull() & F.col(feature).isNotNull() & F.col(value).isNotNull())
+    rows = clean.groupBy(F.col(key).alias("k"), F.col(feature).alias("f")).agg(F.min(F.col(value).cast("double")).alias("x"))
+    rows = cut(rows)
+    # Values less their mean: sums of squares keep their digits.
+    known = cut(ordered_index(rows.groupBy("f").agg(F.avg("x").alias("mean")), ["f"], "i"))
+    blocks = known.count() // features + 1
+    tasks = rows.count() * blocks // TASK_ROWS + 1
+    own = F.floor(F.col("i") / features).cast("int")
+    with_blocks = rows.join(known, "f").select("k", F.col("i"), (F.col("x") - F.col("mean")).alias("x"), own.alias("own"))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least("own", o).alias("p"), F.greatest("own", o).alias("q")))
+    spread = with_blocks.select("k", "i", "x", "own", F.explode(pairs).alias("pair")).select("k", "i", "x", "own", "pair.p", "pair.q", F.pmod(F.xxhash64("k"), F.lit(tasks)).alias("task"))
+
+    def sums(group: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        p, q, _ = group
+        left, right = (np.unique(part.loc[part["own"] == o, "i"]) for o in (p, q))
+        held = [np.zeros((len(left), len(right))) for _ in range(6)]
+        codes = pd.factorize(part["k"])[0]
+        part = part.assign(code=codes)
+        for first in range(0, codes.max(initial=-1) + 1, KEYS):
+            piece = part[(part["code"] >= first) & (part["code"] < first + KEYS)]
+            dense = []
+            for o, names in ((p, left), (q, right)):
+                mine = piece[piece["own"] == o]
+                x, there = np.zeros((KEYS, len(names))), np.zeros((KEYS, len(names)))
+                at = (mine["code"].to_numpy() - first, np.searchsorted(names, mine["i"]))
+                x[at], there[at] = mine["x"], 1.0
+                dense.append((x, there))
+            (x, mx), (y, my) = dense
+            for total, product in zip(held, (mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y), strict=True):
+                total += product
+        a, b = np.nonzero((held[0] > 0) & (left[:, None] < right[None, :]))
+        return pd.DataFrame({"i": left[a], "j": right[b], **{n: h[a, b] for n, h in zip(("n", "sx", "sy", "xx", "yy", "xy"), held, strict=True)}})
+
+    parts = spread.groupBy("p", "q", "task").applyInPandas(sums, "i long, j long, n double, sx double, sy double, xx double, yy double, xy double")
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")])
+    scale = (F.col("n") * F.col("xx") - F.col("sx") * F.col("sx")) * (F.col("n") * F.col("yy") - F.col("sy") * F.col("sy"))
+    found = total.select("i", "j", F.when((F.col("n") > 1) & (scale > 0), (F.col("n") * F.col("xy") - F.col("sx") * F.col("sy")) / F.sqrt(scale)).alias("correlation"))
+    names = known.select("f", "i")
+    return found.join(names.withColumnRenamed("f", "a"), "i").join(names.select(F.col("f").alias("b"), F.col("i").alias("j")), "j").select("a", "b", "correlation")
 
 
 def cluster_components(frame: DataFrame, cluster: str, key: str, item: str, vector: str, missing: str, components: int = 5) -> DataFrame:

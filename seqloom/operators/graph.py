@@ -152,6 +152,24 @@ def masked_edges(sequences: DataFrame, column: str, length: int, masks: int = 40
     return buckets.join(first, "form").filter("s <> dst").select(F.col("s").alias("src"), "dst").distinct()
 
 
+def within_one_edit(frame: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
+    """Rows whose text is at most one substitution, insertion or deletion from a known one.
+
+    Every case is an equality: texts with the same letter left open, a text and another without a letter. So
+    both sides are spread to forms, made distinct, and semi-joined; no pairs are made or checked.
+    """
+    places = lambda s: F.sequence(F.lit(1), F.length(s))
+    without = lambda s, mark: F.transform(places(s), lambda i: F.concat(F.lit(mark), F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))
+    open_at = lambda s: F.transform(places(s), lambda i: F.concat(F.lit("o"), i.cast("string"), F.lit(":"), F.substring(s, F.lit(1), i - 1), F.lit("."), F.substring(s, i + 1, F.length(s))))
+    s, t = F.col("s"), F.col("t")
+    own = frame.select(F.col(column).alias("s")).filter("s <> ''").distinct()
+    other = known.select(F.col(known_column).alias("t")).filter("t <> ''").distinct()
+    mine = own.select("s", F.explode(F.concat(open_at(s), F.array(F.concat(F.lit("i"), s)), without(s, "d"))).alias("form"))
+    theirs = other.select(F.explode(F.concat(open_at(t), without(t, "i"), F.array(F.concat(F.lit("d"), t)))).alias("form")).distinct()
+    near = mine.join(theirs, "form", "left_semi").select(F.col("s").alias(column)).distinct()
+    return frame.join(near, column, "left_semi")
+
+
 def within_radius(members: DataFrame, cluster: str, item: str, rank: str, limit: int, metric: str = "levenshtein") -> DataFrame:
     """Members of a cluster within ``limit`` of its first member by ``rank``, with their ``distance``.
 

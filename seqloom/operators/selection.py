@@ -7,14 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.functions.frames import running_total as stacked
 from seqloom.functions.labels import is_artifact
 from seqloom.operators.graph import ordered_index
 
 
 def cutoff(frame: DataFrame, column: str, share: float, interpolated: bool = True) -> DataFrame:
-    """One row ``cutoff``: a quantile, interpolated (type 7) or the nearest rank."""
-    exact = F.percentile(column, share) if interpolated else F.expr(f"percentile_disc({share}) within group (order by `{column}`)")
-    return frame.agg(exact.alias("cutoff"))
+    """One row ``cutoff``: an exact quantile, interpolated (type 7) or the nearest rank; null for no values.
+
+    Values are counted, then numbered by a running total across tasks; the one or two that stand at the wanted rank
+    are picked. No task holds all values, however many differ.
+    """
+    counts = frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    placed = stacked(ordered_index(counts, ["v"], "i"), "n", "i", [], "before")
+    total = counts.agg(F.sum("n").alias("total"))
+    met = placed.crossJoin(F.broadcast(total))  # one row
+    if interpolated:
+        place = F.lit(share) * (F.col("total") - 1)
+        low, high = F.floor(place), F.ceil(place)
+        at = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("v").cast("double")))
+        both = met.agg(at(low).alias("low"), at(high).alias("high"), F.max(place - low).alias("part"))
+        return both.select((F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("cutoff"))
+    rank = F.greatest(F.ceil(F.lit(share) * F.col("total")), F.lit(1)) - 1
+    return met.agg(F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v"))).alias("cutoff"))
 
 
 def at_least_quantile(frame: DataFrame, column: str, share: float = 0.1, interpolated: bool = True) -> DataFrame:
@@ -25,10 +40,11 @@ def at_least_quantile(frame: DataFrame, column: str, share: float = 0.1, interpo
 def histogram_cutoff(frame: DataFrame, column: str, wanted: int) -> DataFrame:
     """One row ``cutoff``: the largest value down to which at least ``wanted`` rows are left; else the smallest value.
 
-    Rows are counted per value first; only values are summed in order.
+    Rows are counted per value first; values are summed in order across tasks.
     """
     counted = frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    running = counted.withColumn("above", F.sum("n").over(Window.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    placed = stacked(ordered_index(counted.withColumn("down", -F.col("value")), ["down"], "i"), "n", "i", [], "before")
+    running = placed.withColumn("above", F.col("before") + F.col("n"))
     return running.agg(F.coalesce(F.max(F.when(F.col("above") >= wanted, F.col("value"))), F.min("value")).alias("cutoff"))
 
 
@@ -116,8 +132,15 @@ def running_total(frame: DataFrame, group: Sequence[str], order: Sequence[str],
     return frame.withColumn(out, F.sum(value).over(window))
 
 
-def change_starts(frame: DataFrame, group: str, order: str) -> DataFrame:
-    """Rows at which the value of ``group`` changes along ``order``, with ``start`` from 0."""
-    window = Window.orderBy(order)
-    marked = frame.withColumns({"start": F.row_number().over(window) - 1, "__before": F.lag(group).over(window)})
-    return marked.filter(F.col("__before").isNull() | (F.col("__before") != F.col(group))).drop("__before")
+def change_starts(frame: DataFrame, group: str, order: str, width: int = 65_536) -> DataFrame:
+    """Rows at which the value of ``group`` changes along ``order``, with ``start`` from 0; null is a value of its own.
+
+    Rows are numbered across tasks; inside a stretch of ``width`` rows each meets the one before it, and the first
+    meets the last of the stretch before.
+    """
+    placed = ordered_index(frame, [order], "start").withColumn("__part", F.floor(F.col("start") / width))
+    window = Window.partitionBy("__part").orderBy("start")
+    marked = placed.withColumns({"__before": F.lag(group).over(window), "__first": F.row_number().over(window) == 1})
+    last = placed.groupBy("__part").agg(F.max_by(group, "start").alias("__last")).withColumn("__part", F.col("__part") + 1)
+    met = marked.join(last, "__part", "left").withColumn("__before", F.when(F.col("__first"), F.col("__last")).otherwise(F.col("__before")))
+    return met.filter((F.col("start") == 0) | ~F.col("__before").eqNullSafe(F.col(group))).select(*frame.columns, "start")

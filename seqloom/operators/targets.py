@@ -142,6 +142,19 @@ def even_sample(frame: DataFrame, key: str, label: str, seed: int = 42) -> DataF
     return balanced_split(frame, key, label, 1.0, seed).filter("split = 'train'").drop("split")
 
 
+def numeric_merge(train: DataFrame, external: DataFrame, key: str, column: str, least: int = 2) -> DataFrame:
+    """``(key, value, part)`` of both sets with numbers in a column; none at all if the training set is no numeric target.
+
+    It is one if it has at least ``least`` numbers, and two, and two distinct ones unless ``least`` is 0.
+    """
+    value = F.col(column).cast("string").try_cast("double")
+    both = train.select(key, value.alias("value"), F.lit("train").alias("part")).unionByName(external.select(key, value.alias("value"), F.lit("external").alias("part")))
+    held = both.filter("value is not null and not isnan(value)")
+    known = held.filter("part = 'train'").agg(F.count("*").alias("n"), F.count_distinct("value").alias("d"))
+    good = (F.col("n") >= max(2, least)) & ((F.col("d") >= 2) | F.lit(least == 0))
+    return held.crossJoin(F.broadcast(known.filter(good).select(F.lit(1).alias("__ok")))).drop("__ok")  # one row, or none
+
+
 def eligibility_status(train: DataFrame, test: DataFrame, least: int) -> DataFrame:
     """``(category, status)`` of long train and test metadata.
 

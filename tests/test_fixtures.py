@@ -1,6 +1,9 @@
 """Small cases worked out by hand."""
 
 import math
+import random
+import re
+from collections import Counter
 from fractions import Fraction
 from itertools import permutations
 
@@ -76,7 +79,7 @@ def test_kmers_and_complement(spark):
     assert one(spark, seq.seed_of(F.lit("AACCGG"), 4)) == "CCGG" and one(spark, seq.seed_of(F.lit("AACNGG"), 4)) is None
     assert [tuple(r) for r in one(spark, seq.split_extendor(F.lit("AACCG"), 3, 2, True))] == [("AAC", "CG"), ("CCG", "AA")]
     assert seq.edit_align("ACGT", "AGT") == "AGT" and seq.edit_align("AT", "ACT") == "A-T"
-    assert seq.best_shift("XACGT", "ACGT") == 1 and seq.best_shift("ACGT", "ACGT") == 0
+    assert seq.best_shift("XACGT", "ACGT") == -1 and seq.best_shift("CGT", "ACGT") == 1 and seq.best_shift("ACGT", "ACGT") == 0
 
 
 def test_distances(spark):
@@ -157,7 +160,7 @@ def test_compactors(spark):
 
 def test_labels(spark):
     of = lambda f, *v: one(spark, f(*[F.lit(x) for x in v]))
-    assert of(labels.clean_label, "RecName: Full=Opsin 1; Short=Op [Ant sp.]") == "Opsin 1"
+    assert of(labels.clean_label, "RecName: Full=Opsin 1; Short=Op [Ant sp.]") == "Opsin 1;Short=Op"
     assert of(labels.clean_label, "uncharacterized protein LOC12 [Ant sp.]") == "UNANNOTATED"
     assert of(labels.clean_label, "opsin, isoform X2 [Ant sp.]") == "opsin"
     assert of(labels.species, "opsin [A b] like [C d]", "x") == "C d" and of(labels.species, "opsin", "x") == "x"
@@ -201,14 +204,6 @@ def test_hashed_embedding(spark):
     assert out[0]["embedding"] == out[1]["embedding"] and any(out[0]["embedding"]) and not any(out[2]["embedding"])
 
 
-def test_group_lasso():
-    draw = np.random.default_rng(1)
-    x = draw.normal(size=(200, 6))
-    beta = learning.group_lasso(x, 3 * x[:, 0] - 2 * x[:, 1] + 0.01 * draw.normal(size=200), [0, 0, 1, 1, 2, 2], 0.05)
-    assert np.all(beta[2:] == 0) and beta[0] > 2 and beta[1] < -1
-    assert np.all(learning.group_lasso(x, np.ones(200), [0, 0, 1, 1, 2, 2], 0.05) == 0)
-
-
 def test_trees_and_density():
     x = np.array([0.0, 0.1, 0.2, 5.0, 5.1, 9.0])
     d = np.abs(x[:, None] - x[None, :])
@@ -226,3 +221,79 @@ def test_windows_of_long_sequences(spark, k, step):
     text = "ACGTTGCA" * 20_000 + "ACG"
     rows = seq.kmers(column(spark, [text]), "v", k, step).select("start", "kmer").collect()
     assert sorted(tuple(r) for r in rows) == [(i, text[i : i + k]) for i in range(0, len(text) - k + 1, step)]
+
+
+@pytest.mark.parametrize("a, b", [(1.0, 4.2), (2.0, 1.0), (1.0, 1.0), (0.3, 50.0)])
+def test_circles(a, b):
+    full = math.pi * min(a, b) ** 2
+    for share in (1e-6, 0.01, 0.3, 0.5, 0.9, 0.999):
+        assert maths.overlap_area(a, b, maths.circle_distance(a, b, share * full)) == pytest.approx(share * full, rel=1e-6)
+    assert maths.circle_distance(a, b, 0) == a + b and maths.circle_distance(a, b, 2 * full) == pytest.approx(abs(a - b))
+    assert maths.overlap_area(a, b, a + b) == 0 and maths.overlap_area(a, b, abs(a - b)) == pytest.approx(full)
+    assert maths.overlap_area(2.0, 1.0, 1.2) == pytest.approx(2.92550, abs=1e-4)
+
+
+def test_names_and_lines(spark):
+    of = lambda f, *v: one(spark, f(*[F.lit(x) for x in v]))
+    assert of(labels.wrapped, " aa bb  cccc dd e") == "aa bb cccc dd e" and one(spark, labels.wrapped(F.lit("aa bb cccc dd e"), 5)) == "aa bb\ncccc" and of(labels.wrapped, "  ") == ""
+    assert one(spark, labels.shortened(F.lit("abcdefghijklmnopqrstuvwxyz"), 11)) == "abc...vwxyz" and one(spark, labels.shortened(F.lit("abc"), 11)) == "abc"
+    assert of(labels.number_text, 900.1) == "900.1" and of(labels.number_text, 0.00001234567) == "1.23457e-05" and of(labels.number_text, 0.5) == "0.5"
+    assert tuple(of(labels.sample_parts, "TC7-12A_x")) == (12, "12", "A") and tuple(of(labels.sample_parts, "0_CH1")) == (0, "Control", "Control Head")
+    assert tuple(of(labels.sample_parts, "2_BLDMT3")) == (3, "DM", "B. bassiana Thorax") and of(labels.sample_parts, "2_BLQQT3") is None and of(labels.sample_parts, "x") is None
+    assert of(labels.clean_label, "predicted protein X;Gnomon made;LOC123-like x") == "like x" and of(labels.clean_label, "NA; no match") == "NO MATCH" and of(labels.clean_label, " ; ") is None
+    keys = column(spark, ["a1234567890123456789", "a123456789012345678", "a0123456789012345678", "b1", "a"]).select("v", labels.natural_key(F.col("v")).alias("k")).collect()
+    keys = {r["v"]: r["k"] for r in keys}
+    assert keys["a"] < keys["a123456789012345678"] == keys["a0123456789012345678"] < keys["a1234567890123456789"] < keys["b1"]
+
+
+def test_common_frame_against_brute_force(spark):
+    draw = random.Random(9)
+    base = "".join(draw.choice("ACGT") for _ in range(54))
+    rows = [(c, "".join(draw.choice("ACGT") if draw.random() < 0.05 else x for x in (base + "ACG")[k : k + 54])) for c in (1, 2) for k in (0, 0, 0, 1, 2) for _ in range(3)] + [(3, "ACGNNNTTTACGTACG"), (4, "A"), (None, "ACG"), (5, None)]
+    got = seq.common_frame(spark.createDataFrame(rows, "c long, s string").repartition(3), "c", "s").collect()
+    acids = {a + b + c: seq.GENETIC_CODES[11][16 * i + 4 * j + k] for i, a in enumerate(seq.BASES) for j, b in enumerate(seq.BASES) for k, c in enumerate(seq.BASES)}
+    read = lambda s: "".join(acids.get(s[i : i + 3], "X") for i in range(0, len(s) - 2, 3)).partition("*")[0]
+    want = []
+    for cluster in (1, 2, 3, 4):
+        own = [s for c, s in rows if c == cluster]
+        starts = Counter(s[:25] for s in own)
+        consensus = min(starts, key=lambda b: (-starts[b], b))
+        placed = []
+        for s in own:
+            score = lambda m: sum(x == y for x, y in zip(s[:25][-m:] if m < 0 else "-" * m + s[:25], consensus))  # noqa: B023, E731
+            m = max((-2, -1, 0, 1, 2), key=score)
+            t = re.sub("N+", "", s, count=1)
+            placed.append((s, m, t if m == 0 else t[-m : len(t) - (3 - -m % 3)] if m < 0 else t[3 - m % 3 : len(t) - m]))
+        sums = [sum(len(read(t[k:])) for _, _, t in placed) for k in range(3)]
+        frame = sums.index(max(sums))
+        want += [(cluster, s, m, frame + 1, read(t[frame:])) for s, m, t in placed]
+    assert sorted(tuple(r) for r in got) == sorted(want) and {r["shift"] for r in got} > {0, 1}
+
+
+def test_within_one_edit_against_brute_force(spark):
+    draw = random.Random(8)
+    words = sorted({"".join(draw.choice("ab") for _ in range(draw.randrange(0, 7))) for _ in range(60)})
+    mine, known = words[::2], words[1::3]
+    got = {r["v"] for r in graph.within_one_edit(column(spark, [*mine, None]), "v", column(spark, known).withColumnRenamed("v", "k"), "k").collect()}
+
+    def near(a, b):
+        if abs(len(a) - len(b)) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) <= 1
+        long, short = (a, b) if len(a) > len(b) else (b, a)
+        return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+    assert got == {w for w in mine if w and any(k and near(w, k) for k in known)}
+
+
+def test_edit_align_in_batches(spark):
+    frame = spark.createDataFrame([("ACGT", "AGT"), ("AT", "ACT"), (None, "A")], "a string, b string")
+    assert [r[0] for r in frame.select(seq.aligned_to(F.col("a"), F.col("b"))).collect()] == ["AGT", "A-T", None]
+
+
+def test_compactors_without_exact_support(spark):
+    rows = [("a", "ACGT", None, None, 7.0, 1), ("a", "ACGTA", 9, None, 8.0, 2), ("a", "", 9, 99.0, 9.0, 3), ("", "A", 1, 9.0, 9.0, 4), ("b", "AC", 0, None, None, 5), ("c", "AC", None, 3.0, 900.0, 6), ("c", "ACG", None, 3.0, None, 7)]
+    frame = spark.createDataFrame(rows, "anchor string, compactor string, total_length long, exact_support double, support double, row long")
+    got = {r["anchor"]: (r["row"], r["total_length"], r["exact_support"], r["threshold"], r["reason"]) for r in annotation.chosen_compactors(frame).collect()}
+    assert got == {"a": (2, 9, 8.0, 5, annotation.RISE), "c": (7, 3, 3.0, 5, annotation.BEST)}

@@ -34,9 +34,9 @@ def read(dna: str, frame: int) -> str:
 
 def test_translations(spark, texts):
     folder, dna = texts
-    got = {r["doc_id"]: r["protein"] for r in sequences.whole_translated(spark, folder).collect()}
+    got = {r["doc_id"]: r["protein"] for r in sequences.translated(spark, folder).collect()}
     assert got == {i: translate(d) for i, d in dna.items()}
-    got = {(r["doc_id"], r["frame"]): (r["protein"], r["usable"]) for r in sequences.whole_translate6(spark, folder).collect()}
+    got = {(r["doc_id"], r["frame"]): (r["protein"], r["usable"]) for r in sequences.translate6(spark, folder).collect()}
     expected = {}
     for i, d in dna.items():
         for f in (1, 2, 3, -1, -2, -3):
@@ -93,7 +93,10 @@ def test_elastic_net_reads_all_dimensions(spark, tmp_path):
     draw = random.Random(7)
     rows = [(i, i % 2, [draw.uniform(-0.1, 0.1) for _ in range(19)] + [float(i % 2)]) for i in range(120)]
     spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
-    assert {r["feature"] for r in models.elastic_net(spark, str(tmp_path)).collect()} == {"d19"}
+    size = {r["feature"]: abs(r["coefficient"]) for r in models.elastic_net(spark, str(tmp_path)).collect()}
+    # The penalty is cross-validated, so that noise may keep small coefficients.
+    spread = {f: v * (0.5 if f == "d19" else 0.2 / 12**0.5) for f, v in size.items()}
+    assert all(spread["d19"] > 10 * v for f, v in spread.items() if f != "d19")
 
 
 def test_lookup(spark, texts):
