@@ -105,8 +105,8 @@ def suffix_join(spark: SparkSession, folder: str) -> DataFrame:
 def cascade_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Titles looked up by accession and start, by accession, by species."""
     rows = _hits(spark, folder).select("hit_id", "sacc", "s_start", "sscinames")
-    known = _hits(spark, folder).filter("hit_id % 5 = 0 and stitle is not null")
-    steps = [(known.filter("hit_id % 10 = 0").select("sacc", "s_start", "stitle"), ["sacc", "s_start"], "stitle"), (known.filter("hit_id % 15 = 0").select("sacc", "stitle"), ["sacc"], "stitle"), (known.select("sscinames", "stitle"), ["sscinames"], "stitle")]
+    known = _hits(spark, folder).filter("blast_mode = 'blastp' and stitle is not null")
+    steps = [(known.filter("qcovs > 70").select("sacc", "s_start", "stitle"), ["sacc", "s_start"], "stitle"), (known.filter("qcovs > 90").select("sacc", "stitle"), ["sacc"], "stitle"), (known.select("sscinames", "stitle"), ["sscinames"], "stitle")]
     return annotation.cascade(rows, steps, "found").select("hit_id", "found")
 
 
@@ -139,7 +139,7 @@ def compactor_choice(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of a part as compactors: quantity as length, price as support."""
     lines = table(spark, folder, "lineitem")
     rows = lines.select((F.col("l_partkey") % 700).alias("anchor"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row"), F.col("l_orderkey").cast("string").alias("compactor"), F.col("l_quantity").cast("long").alias("total_length"), F.floor(F.col("l_extendedprice") / 100).cast("long").alias("exact_support"))
-    return annotation.chosen_compactors(rows, (930, 500, 100)).select("anchor", "row", "total_length", "exact_support", "reason")
+    return annotation.chosen_compactors(rows, (930, 500, 100), "per_anchor_").select("anchor", "row", "total_length", F.col("exact_support").cast("long").alias("exact_support"), F.col("threshold").cast("long").alias("threshold"), "reason")
 
 
 def counts_by_class(spark: SparkSession, folder: str) -> DataFrame:
@@ -259,9 +259,20 @@ def lineage(spark: SparkSession, folder: str) -> DataFrame:
     return distribution.with_lineage(rows, known, "sample", "cluster", 15).select("row_id", "lineage")
 
 
+def _coded_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of samples in the forms of the experiments, made of the keys of customers, and names of other forms."""
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    course = F.concat(F.lit("TC7-"), k.cast("string"), F.substring(F.lit("ABC"), (k % 3 + 1).cast("int"), F.lit(1)), F.lit("_"), seg)
+    control = F.concat(F.lit("0_C"), F.when(k % 2 == 0, "H").otherwise("T"), k.cast("string"))
+    stage = F.element_at(F.array(*[F.lit(x) for x in ("T25", "M", "DM", "Q9")]), (k % 4 + 1).cast("int"))
+    infected = F.concat((k % 3 + 1).cast("string"), F.lit("_"), F.when(k % 5 < 2, "BL").otherwise("O"), stage, F.when(k % 2 == 0, "T").otherwise("H"), k.cast("string"))
+    names = F.element_at(F.array(course, control, infected, F.col("c_name")), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    return table(spark, folder, "customer").select("c_custkey", names.alias("sample"))
+
+
 def sample_decode(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "metadata_prediction").select("sample_name", labels.sample_parts(F.col("sample_name")).alias("p")).distinct()
-    return rows.select("sample_name", "p.individual", "p.batch", F.col("p.x").cast("long").alias("x"), F.col("p.replicate").cast("long").alias("replicate"))
+    rows = _coded_samples(spark, folder).select("c_custkey", labels.sample_parts(F.col("sample")).alias("p"))
+    return rows.select("c_custkey", F.col("p.x").cast("long").alias("x"), "p.x_label", "p.line")
 
 
 def met_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -292,10 +303,32 @@ QUERIES = {
         natural_order, top_or_other, cluster_sizes, lineage, sample_decode, met_shares, running_prices, group_starts, coefficient_ratio,
     )
 }
-_LABEL = r"""case when stitle is null then null else (select case when regexp_matches(l, 'hypothetical|uncharacteri[sz]ed|unnamed protein', 'i') or l = '' then 'UNANNOTATED' else l end from (select trim(regexp_replace(
- regexp_replace(regexp_replace(regexp_replace(regexp_replace(stitle, '(?:RecName|SubName|AltName):\s*(?:Full=)?', '', 'g'), '\s*(?:Short=[^;]*|Flags:.*$|;.*$)', '', 'g'), '\s*\[[^\[\]]*\]\s*$', '', 'g'), ',?\s+(?:transcript variant|isoform|variant)\s+\S+\s*$', '', 'g'),
- '\bLOC[0-9]+\b', '', 'g'), ' ') as l)) end"""
-_H = f"with h as (select *, {_LABEL} as label from compactor_reannotation_lib)"
+def cleaned_sql(part: str) -> str:
+    """A part of a title as a label in SQL."""
+    for pattern in labels.TAKEN_OUT:
+        part = f"regexp_replace({part}, '{pattern}', '', 'g')"
+    return f"case when regexp_matches({part}, '{labels.VAGUE}', 'i') then 'UNANNOTATED' else trim(regexp_replace({part}, '\\s+', ' ', 'g'), ' ') end"
+
+
+def parts_sql(title: str, between: str = ";+") -> str:
+    """The cleaned parts of a title in SQL."""
+    kept = f"list_filter(regexp_split_to_array({title}, '{between}'), lambda x: not regexp_matches(x, '{labels.REMARKS}', 'i'))"
+    return f"list_filter(list_transform({kept}, lambda x: {cleaned_sql('x')}), lambda x: x <> '')"
+
+
+def resolved_sql(parts: str) -> str:
+    """The label of cleaned parts in SQL: real ones in their order, else the strongest placeholder."""
+    names = lambda *groups: ", ".join(f"'{n}'" for g in groups for n in g)
+    known = names(labels.PLACEHOLDERS, labels.NO_LABEL, labels.MEANS_UNANNOTATED, labels.MEANS_NO_MATCH)
+    real = f"list_filter({parts}, lambda x, i: upper(x) not in ({known}) and list_position({parts}, x) = i)"
+    upper = f"list_transform({parts}, lambda x: upper(x))"
+    return (
+        f"case when len({real}) > 0 then array_to_string({real}, ';') when list_has_any({upper}, ['NO TARGET']) then 'NO TARGET' "
+        f"when list_has_any({upper}, [{names(labels.MEANS_UNANNOTATED)}]) then 'UNANNOTATED' when list_has_any({upper}, [{names(labels.MEANS_NO_MATCH)}]) then 'NO MATCH' end"
+    )
+
+
+_H = f"with titled as (select *, {parts_sql('stitle')} as parts from compactor_reannotation_lib), h as (select * exclude (parts), {resolved_sql('parts')} as label from titled)"
 _CLUSTER = "try_cast(nullif(regexp_extract(query, 'cluster_([0-9]+)', 1), '') as bigint)"
 _PARTS = "select cast(user_id as varchar) as sample, 'M' || (user_id % 3) as major, 'm' || (user_id % 2) as minor from (select distinct user_id from events) where user_id % 13 <> 0"
 _ENTROPY = """with c as (select user_id, event_type, count(*) as n from events group by all), t as (select *, n / sum(n) over (partition by user_id) as p, sum(n) over (partition by user_id) as total from c)"""
@@ -304,11 +337,11 @@ _GRIDSQL = f"""with s as ({_SATC}), f as (select sample, target, sum(count) as c
 _CHOICE = """with r as (select l_partkey % 700 as anchor, l_orderkey * 10 + l_linenumber as row, cast(l_quantity as bigint) as total_length, cast(floor(l_extendedprice / 100) as bigint) as exact_support from lineitem),
  b as (select * from (select *, row_number() over (partition by anchor, total_length order by exact_support desc nulls last, row) as k from r) where k = 1),
  t as (select unnest([930, 500, 100]) as t, unnest([0, 1, 2]) as step),
- a as (select b.*, step, count(*) over (partition by anchor, step) as n, lag(exact_support) over (partition by anchor, step order by row) as before from b, t where exact_support > t),
- o as (select anchor, row, total_length, exact_support, step, 'only_representative_above_threshold' as reason from a where n = 1
-   union all select anchor, row, total_length, exact_support, step, 'first_support_increase' from (select *, row_number() over (partition by anchor, step order by row) as k from a where n > 1 and exact_support > before) where k = 1
-   union all select anchor, row, total_length, exact_support, 3, 'fallback_best_support' from (select *, row_number() over (partition by anchor order by exact_support desc nulls last, total_length desc, row) as kk from b) where kk = 1)
- select anchor, row, total_length, exact_support, reason from (select *, row_number() over (partition by anchor order by step, row) as z from o) where z = 1"""
+ a as (select b.*, step, t, count(*) over (partition by anchor, step) as n, lag(exact_support) over (partition by anchor, step order by row) as before from b, t where exact_support > t),
+ o as (select anchor, row, total_length, exact_support, step, t as threshold, 'per_anchor_only_representative_above_threshold' as reason from a where n = 1
+   union all select anchor, row, total_length, exact_support, step, t, 'per_anchor_support_increase_vs_previous_representative' from (select *, row_number() over (partition by anchor, step order by row) as k from a where n > 1 and exact_support > before) where k = 1
+   union all select anchor, row, total_length, exact_support, 3, 100, 'per_anchor_best_available_by_support_then_length_below_threshold' from (select *, row_number() over (partition by anchor order by exact_support desc nulls last, total_length desc, row) as kk from b) where kk = 1)
+ select anchor, row, total_length, exact_support, cast(threshold as bigint) as threshold, reason from (select *, row_number() over (partition by anchor order by step, row) as z from o) where z = 1"""
 _CLASSES = "with c as (select l_partkey % 50 as grp, l_returnflag as f, count(*) as n from lineitem group by all)"
 SQL = {
     "nonzero_coefficients": f"with c as ({_COEF}) select category, count(*) as n from c where coefficient <> 0 group by 1",
@@ -329,7 +362,7 @@ SQL = {
     "plotted_queries": f"""with h as (select {_CLUSTER} as cluster, hit_id, qcovs >= 60 as observed from compactor_reannotation_lib where query is not null)
       select cluster, hit_id from h where observed and cluster % 3 = 0 union all select cluster, hit_id from (select *, row_number() over (partition by cluster order by hit_id) as k from h where cluster % 3 <> 0 or cluster is null) where k <= 2""",
     "suffix_join": "with q as (select distinct query from compactor_reannotation_lib where query is not null), s as (select right(query, 4) as a, count(*) as seeds from q group by 1) select query, seeds from q left join s on length(query) >= 4 and right(query, 4) = a",
-    "cascade_lookup": """with k as (select * from compactor_reannotation_lib where hit_id % 5 = 0 and stitle is not null and trim(stitle, ' ') <> ''), a as (select sacc, s_start, min(stitle) as v from k where hit_id % 10 = 0 group by all), b as (select sacc, min(stitle) as v from k where hit_id % 15 = 0 group by all), c as (select sscinames, min(stitle) as v from k group by all)
+    "cascade_lookup": """with k as (select * from compactor_reannotation_lib where blast_mode = 'blastp' and stitle is not null and trim(stitle, ' ') <> ''), a as (select sacc, s_start, min(stitle) as v from k where qcovs > 70 group by all), b as (select sacc, min(stitle) as v from k where qcovs > 90 group by all), c as (select sscinames, min(stitle) as v from k group by all)
       select hit_id, coalesce(a.v, b.v, c.v) as found from compactor_reannotation_lib h left join a on a.sacc = h.sacc and a.s_start = h.s_start left join b on b.sacc = h.sacc left join c on c.sscinames = h.sscinames""",
     "backfill": """with a as (select sacc, s_start, min(slen) as v from compactor_reannotation_lib group by all), b as (select sacc, min(slen) as v from compactor_reannotation_lib group by all)
       select hit_id, coalesce(case when hit_id % 2 = 0 then slen end, a.v, b.v) as slen from compactor_reannotation_lib h left join a on a.sacc = h.sacc and a.s_start = h.s_start left join b on b.sacc = h.sacc""",
@@ -367,8 +400,13 @@ SQL = {
     "cluster_sizes": "with s as (select fine_cluster, count(*) as n from hdbscan_clusters group by 1) select count(*) as clusters, count(*) filter (n = 1) as singletons, count(*) filter (n < 3) as small, max(n) as largest from s",
     "lineage": """with k as (select sample, min(hdbscan_cluster) as cluster from hdbscan_clusters where sample is not null and hdbscan_cluster >= 0 group by 1), s as (select cluster, count(*) as n from k group by 1)
       select row_id, coalesce(case when n >= 15 then cast(k.cluster as varchar) end, 'sparse') as lineage from h5n1_example_metadata h left join k on k.sample = h.sample_name left join s on s.cluster = k.cluster""",
-    "sample_decode": r"""select distinct sample_name, nullif(regexp_extract(sample_name, '^(\w+?)-batch(\w+?)_T([0-9]+)_R([0-9]+)$', 1), '') as individual, nullif(regexp_extract(sample_name, '^(\w+?)-batch(\w+?)_T([0-9]+)_R([0-9]+)$', 2), '') as batch,
-      cast(nullif(regexp_extract(sample_name, '^(\w+?)-batch(\w+?)_T([0-9]+)_R([0-9]+)$', 3), '') as bigint) as x, cast(nullif(regexp_extract(sample_name, '^(\w+?)-batch(\w+?)_T([0-9]+)_R([0-9]+)$', 4), '') as bigint) as replicate from metadata_prediction""",
+    "sample_decode": """with r as (select c_custkey as k, c_nationkey % 4 as form, ['T25', 'M', 'DM', 'Q9'][c_custkey % 4 + 1] as stage, c_mktsegment from customer)
+      select k as c_custkey,
+        case when form = 0 then k when form = 1 then 0 when form = 2 then case stage when 'T25' then 1 when 'M' then 2 when 'DM' then 3 end end as x,
+        case when form = 0 then cast(k as varchar) when form = 1 then 'Control' when form = 2 then case stage when 'T25' then 'LT25' when 'M' then 'LM' when 'DM' then 'DM' end end as x_label,
+        case when form = 0 then substring('ABC', cast(k % 3 + 1 as int), 1) when form = 1 then 'Control ' || case when k % 2 = 0 then 'Head' else 'Thorax' end
+          when form = 2 and stage <> 'Q9' then case when k % 5 < 2 then 'B. bassiana' else 'Ophiocordyceps' end || ' ' || case when k % 2 = 0 then 'Thorax' else 'Head' end end as line
+      from r""",
     "met_shares": "select c_custkey, cast(count(*) filter (c_acctbal < 0) over w as bigint) as met, round(count(*) filter (c_acctbal < 0) over w / count(*) over w, 6) as met_share from customer window w as (partition by c_mktsegment)",
     "running_prices": "select l_orderkey, l_linenumber, cast(sum(cast(l_quantity as bigint)) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey rows unbounded preceding) as bigint) as running from lineitem",
     "group_starts": "with r as (select n_nationkey, n_regionkey, row_number() over (order by n_nationkey) - 1 as start, lag(n_regionkey) over (order by n_nationkey) as b from nation) select n_nationkey, start from r where b is null or b <> n_regionkey",

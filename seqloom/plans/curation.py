@@ -12,7 +12,7 @@ from seqloom.sources.tables import table
 
 def category_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = _coefficients(spark, folder).withColumn("category", F.when(F.col("cluster") % 2 == 0, F.concat("category", F.lit("_residual"))).otherwise(F.col("category")))
-    clusters = rows.filter("cluster < 40").select("cluster")
+    clusters = rows.filter("coefficient > 0.09").select("cluster")
     return curation.of_category(rows, "category", "A", clusters).groupBy("category", "cluster").agg(F.count("*").alias("n"))
 
 
@@ -37,8 +37,8 @@ def focus_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mapped_labels(spark: SparkSession, folder: str) -> DataFrame:
-    hits = _hits(spark, folder).select("hit_id", "sacc", "sscinames")
-    known = hits.filter("hit_id % 7 = 0").select(F.col("sacc").alias("key"), F.concat(F.lit("acc "), "sacc").alias("label")).union(hits.filter("hit_id % 3 = 0").select("sscinames", F.concat(F.lit("name "), "sscinames")))
+    hits = _hits(spark, folder).select("hit_id", "sacc", "sscinames", "features", "blast_mode")
+    known = hits.filter("features is not null").select(F.col("sacc").alias("key"), F.concat(F.lit("acc "), "sacc").alias("label")).union(hits.filter("blast_mode = 'blastn'").select("sscinames", F.concat(F.lit("name "), "sscinames")))
     return curation.mapped_labels(hits, known.filter("key is not null"), ["sacc", "sscinames"]).select("hit_id", "label")
 
 
@@ -72,12 +72,12 @@ def top_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def unqueried(spark: SparkSession, folder: str) -> DataFrame:
     hits = _hits(spark, folder).filter("query is not null and sacc is not null")
-    return curation.unqueried(hits.select("query", "sacc"), hits.filter("hit_id % 2 = 0").select("query", "sacc"), ["query", "sacc"])
+    return curation.unqueried(hits.select("query", "sacc"), hits.filter("blast_mode = 'blastp'").select("query", "sacc"), ["query", "sacc"])
 
 
 def cluster_sequences(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select((F.col("p_partkey") % 30).alias("cluster"), F.when(F.col("p_partkey") % 5 > 0, F.col("p_name")).alias("query"), "p_partkey")
-    sequences = table(spark, folder, "part").filter("p_partkey < 60").select((F.col("p_partkey") % 30).alias("cluster"), F.col("p_brand").alias("query"))
+    sequences = table(spark, folder, "part").select((F.col("p_partkey") % 30).alias("cluster"), F.col("p_brand").alias("query")).distinct()
     return curation.with_cluster_sequences(rows, sequences, "cluster", "query")
 
 
@@ -89,12 +89,12 @@ QUERIES = {
     )
 }
 SQL = {
-    "category_rows": f"with c as (select case when cluster % 2 = 0 then category || '_residual' else category end as category, cluster from ({_COEF})) select category, cluster, count(*) as n from c where (category = 'A' or starts_with(category, 'A_residual')) and cluster < 40 group by all",
+    "category_rows": f"with c as (select case when cluster % 2 = 0 then category || '_residual' else category end as category, cluster, coefficient from ({_COEF})) select category, cluster, count(*) as n from c where (category = 'A' or starts_with(category, 'A_residual')) and cluster in (select cluster from c where coefficient > 0.09) group by all",
     "rows_with_text": "select hit_id from compactor_reannotation_lib where coalesce(contains(stitle, 'opsin'), false) or coalesce(contains(sscinames, 'opsin'), false) or coalesce(contains(features, 'opsin'), false) or contains(cast(hit_id as varchar), 'opsin')",
     "usable_annotations": r"""select hit_id from compactor_reannotation_lib where (hit_id % 3 = 0 and coalesce(trim(stitle, ' ') <> '' and stitle not in ('NO TARGET', 'UNANNOTATED', 'NO MATCH'), false)) or coalesce(regexp_matches(features, '[''"](?:gene|product)[''"]\s*:\s*\[\s*[''"]|/(?:gene|product)='), false)""",
     "seeds": "with q as (select distinct query, regexp_replace(upper(regexp_replace(query, '^cluster_[0-9]+_', '')), '[^ACGTN]', '', 'g') as s from compactor_reannotation_lib where query is not null and qcovs < 70) select query, right(s, 20) as seed from q where length(s) >= 20 and not contains(right(s, 20), 'N')",
     "focus_classes": "select 'has_A' as category, 'yes' as focus",
-    "mapped_labels": """with h as (select hit_id, sacc, sscinames from compactor_reannotation_lib), k as (select key, min(label) as l from (select sacc as key, 'acc ' || sacc as label from h where hit_id % 7 = 0 union all select sscinames, 'name ' || sscinames from h where hit_id % 3 = 0) where key is not null group by 1)
+    "mapped_labels": """with h as (select * from compactor_reannotation_lib), k as (select key, min(label) as l from (select sacc as key, 'acc ' || sacc as label from h where features is not null union all select sscinames, 'name ' || sscinames from h where blast_mode = 'blastn') where key is not null group by 1)
       select hit_id, coalesce(a.l, b.l) as label from h left join k a on a.key = h.sacc left join k b on b.key = h.sscinames""",
     "value_columns": "with r as (select l_partkey % 90 as k, l_returnflag || l_linestatus as v from lineitem), f as (select * from r where k % 4 <> 0 or v <> 'NO') select k, coalesce(nullif(count(*) filter (v = 'AF'), 0), -1) as AF, coalesce(nullif(count(*) filter (v = 'NO'), 0), -1) as NO, coalesce(nullif(count(*) filter (v = 'RF'), 0), -1) as RF from f group by k",
     "joined_titles": "select sacc, string_agg(distinct blast_mode, ';' order by blast_mode) as blast_mode from compactor_reannotation_lib where sacc is not null and blast_mode is not null group by 1",
@@ -103,7 +103,7 @@ SQL = {
     "preferred_labels": """with r as (select sacc, case when hit_id % 4 = 0 then 'NO MATCH' else stitle end as label, blast_mode from compactor_reannotation_lib where sacc is not null and stitle is not null)
       select sacc, label, blast_mode from (select *, row_number() over (partition by sacc order by label not in ('NO TARGET', 'UNANNOTATED', 'NO MATCH') desc, case blast_mode when 'blastp' then 1 when 'blastn' then 2 else 3 end, length(label), label) as k from r) where k = 1""",
     "top_features": f"with c as ({_COEF}) select feature, max(abs(coefficient)) as size from c group by 1 order by size desc, feature limit 30",
-    "unqueried": "select distinct query, sacc from compactor_reannotation_lib where query is not null and sacc is not null except select query, sacc from compactor_reannotation_lib where hit_id % 2 = 0",
-    "cluster_sequences": """with p as (select p_partkey % 30 as cluster, case when p_partkey % 5 > 0 then p_name end as query, p_partkey from part), s as (select p_partkey % 30 as cluster, p_brand as query from part where p_partkey < 60)
+    "unqueried": "select distinct query, sacc from compactor_reannotation_lib where query is not null and sacc is not null except select query, sacc from compactor_reannotation_lib where blast_mode = 'blastp'",
+    "cluster_sequences": """with p as (select p_partkey % 30 as cluster, case when p_partkey % 5 > 0 then p_name end as query, p_partkey from part), s as (select distinct p_partkey % 30 as cluster, p_brand as query from part)
       select cluster, query, p_partkey from p where query is not null union all select p.cluster, s.query, p_partkey from p left join s using (cluster) where p.query is null""",
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.operators import evaluation, learning, targets
+from seqloom.functions import maths
+from seqloom.operators import evaluation, features, learning, targets
 from seqloom.sources.tables import table
 
 
@@ -53,7 +54,7 @@ def large_classes(spark: SparkSession, folder: str) -> DataFrame:
 
 def seen_classes(spark: SparkSession, folder: str) -> DataFrame:
     rows = _customers(spark, folder)
-    return targets.seen_classes(rows.filter("c_custkey % 2 = 0"), rows.filter("c_custkey % 2 = 1 and c_nationkey < 9"), "c_nationkey").select("c_custkey")
+    return targets.seen_classes(rows.filter("balance < 0"), rows.filter("balance > 9900"), "c_nationkey").select("c_custkey")
 
 
 def balanced_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,8 +90,8 @@ def residual_sequence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def eligibility_status(spark: SparkSession, folder: str) -> DataFrame:
-    long = _orders_long(spark, folder)
-    return targets.eligibility_status(long.filter("o_orderkey % 2 = 0"), long.filter("o_orderkey % 2 = 1 and category <> 'tier'"), 50)
+    long = _orders_long(spark, folder).join(table(spark, folder, "orders").select("o_orderkey", (F.col("o_totalprice") < 200_000).alias("early")), "o_orderkey")
+    return targets.eligibility_status(long.filter("early").drop("early"), long.filter("not early and category <> 'tier'").drop("early"), 50)
 
 
 def sample_overlap(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,8 +152,14 @@ def expanded_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def permutation_p(spark: SparkSession, folder: str) -> DataFrame:
     """Monte-Carlo p of the predicted labels."""
-    rows = table(spark, folder, "metadata_prediction").select(F.monotonically_increasing_id().alias("k"), F.lower(targets.cleaned(F.col("has_B"))).alias("t"), F.lower(targets.cleaned(F.col("has_D"))).alias("p"))
-    return evaluation.permutation_p(rows.filter("t is not null and p is not null"), "k", "t", "p", 100)
+    rows = table(spark, folder, "metadata_prediction").select(F.lower(targets.cleaned(F.col("has_B"))).alias("t"), F.lower(targets.cleaned(F.col("has_D"))).alias("p"))
+    return evaluation.permutation_p(rows, "t", "p", 100)
+
+
+def exact_permutation_p(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact p of two segments as truth, with a prediction from the balance."""
+    rows = table(spark, folder, "customer").filter("c_mktsegment in ('BUILDING', 'MACHINERY')").select(F.col("c_mktsegment").alias("t"), F.when(F.col("c_acctbal") > 3000, "BUILDING").otherwise("MACHINERY").alias("p"))
+    return evaluation.exact_permutation_p(rows, "t", "p")
 
 
 def attached_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,19 +168,50 @@ def attached_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.with_metadata(predictions, table(spark, folder, "metadata_prediction").select("sample_name", "has_A", "loaded_at"), "sample_name", "loaded_at").select("sample_name", "loaded_at")
 
 
-def grouped_lasso(spark: SparkSession, folder: str) -> DataFrame:
-    """A grouped fit per half of the vectors against the label."""
-    rows = table(spark, folder, "embeddings").select((F.col("vec_id") % 2).alias("category"), "vec_id", F.col("label").cast("double").alias("target"), F.posexplode("embedding").alias("dim", "value"))
-    long = rows.select("category", "vec_id", "target", (F.col("dim") / 8).cast("int").alias("grp"), F.concat(F.lit("d"), F.col("dim").cast("string")).alias("feature"), F.col("value").cast("double").alias("value"))
-    return learning.grouped_fits(long, "category", "vec_id", "grp", "feature", "value", "target", 0.05)
+def _net_rows(spark: SparkSession, folder: str, target) -> DataFrame:
+    """Dimensions of vectors in groups of eight, for a category of each half of the vectors."""
+    rows = table(spark, folder, "embeddings").select((F.col("vec_id") % 2).alias("category"), "vec_id", target.alias("target"), F.posexplode("embedding").alias("dim", "value"))
+    return rows.select("category", "vec_id", "target", (F.col("dim") / 8).cast("int").alias("grp"), F.concat(F.lit("d"), F.col("dim").cast("string")).alias("feature"), F.col("value").cast("double").alias("value"))
+
+
+def grouped_net_values(spark: SparkSession, folder: str) -> DataFrame:
+    """A grouped elastic net of the label as a number, with a cross-validated penalty."""
+    return learning.grouped_net(_net_rows(spark, folder, F.col("label").cast("double")), "category", "vec_id", "grp", "feature", "value", "target", "gaussian")
+
+
+def grouped_net_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """A grouped elastic net of three classes of labels, with a cross-validated penalty."""
+    return learning.grouped_net(_net_rows(spark, folder, (F.col("label") % 3).cast("string")), "category", "vec_id", "grp", "feature", "value", "target", "multinomial")
 
 
 def elastic_net(spark: SparkSession, folder: str) -> DataFrame:
-    """Non-zero coefficients of a multinomial elastic net of the labels."""
-    rows = table(spark, folder, "embeddings").select(F.col("label").cast("string").alias("label"), "embedding")
-    model, classes = learning.elastic_net_classes(rows, "embedding", "label", penalties=(0.05,), folds=2)
-    found = learning.coefficient_rows([f"d{i}" for i in range(model.numFeatures)], model.coefficientMatrix.toArray(), classes)
-    return spark.createDataFrame(found, "feature string, class string, coefficient double")
+    """Non-zero coefficients of a multinomial elastic net of the labels, every dimension on its own, with a cross-validated penalty."""
+    return learning.grouped_net(_net_rows(spark, folder, F.col("label").cast("string")).withColumn("category", F.lit("label")), "category", "vec_id", "grp", "feature", "value", "target", "multinomial")
+
+
+def tree_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of the mean vectors of labels at several heights, from their distances."""
+    means = features.exploded(table(spark, folder, "embeddings"), ["label"], "embedding").groupBy("label", "dim").agg(F.avg("value").alias("value"))
+    names = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda p: p["value"]).alias("v"))
+    other = names.select(F.col("label").alias("other"), F.col("v").alias("w"))
+    # Labels are the classes of a target: their pairs are the matrix that is asked for.
+    pairs = names.join(other, F.col("label") < F.col("other")).select("label", "other", maths.distance(F.col("v"), F.col("w")).alias("distance"))
+    return learning.tree_clusters(pairs, "label", "other", "distance", (0.5, 1.0, 2.0))
+
+
+def density_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Density clusters of every label's vectors."""
+    return learning.vector_clusters(table(spark, folder, "embeddings"), "label", "vec_id", "embedding")
+
+
+def component_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Density clusters of the first components of all vectors, label by label."""
+    return learning.vector_clusters(components(spark, folder), "label", "vec_id", "components")
+
+
+def tree_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of every label in the order of their tree, for the rows of a plot."""
+    return learning.tree_order(table(spark, folder, "embeddings"), "label", "vec_id", "embedding")
 
 
 def components(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +223,7 @@ QUERIES = {
     for f in (
         metadata_long, metadata_eligible, metadata_eligible_inclusive, numeric_columns, stratified_columns, large_classes, seen_classes, balanced_split, balanced_test, continuous_split, even_sample,
         residual_numeric, residual_categorical, residual_sequence, eligibility_status, sample_overlap, labelled_features, confusion, confusion_rates, confusion_shares, prediction_log, regression_log,
-        r_squared, rand_index, expanded_counts, permutation_p, attached_metadata, grouped_lasso, elastic_net, components,
+        r_squared, rand_index, expanded_counts, permutation_p, exact_permutation_p, attached_metadata, grouped_net_values, grouped_net_classes, elastic_net, components, tree_clusters, density_clusters, component_clusters, tree_order,
     )
 }
 _ELIGIBLE = _ORDERS + """, c as (select category, value, count(*) as n from long group by all)
@@ -199,7 +237,7 @@ SQL = {
     "numeric_columns": _ORDERS + " select category, count(*) as n, count(distinct try_cast(value as double)) as distinct_values from long group by category having count(*) = count(try_cast(value as double)) and count(*) >= 50 and count(distinct try_cast(value as double)) >= 2",
     "stratified_columns": _ORDERS + " select category, count(try_cast(value as double)) < count(*) or count(distinct value) <= 10 as stratify from long group by category",
     "large_classes": "with c as (select c_nationkey, count(*) as n from customer group by 1 having count(*) >= 60) select c_custkey, c_nationkey from customer where c_nationkey in (select c_nationkey from c) and (select count(*) from c) >= 2",
-    "seen_classes": "select c_custkey from customer where c_custkey % 2 = 0 and c_nationkey in (select c_nationkey from customer where c_custkey % 2 = 1 and c_nationkey < 9)",
+    "seen_classes": "select c_custkey from customer where round(c_acctbal, 0) < 0 and c_nationkey in (select c_nationkey from customer where round(c_acctbal, 0) > 9900)",
     "balanced_split": _SPLIT.format(key="o_orderkey", label="o_orderstatus", table="orders", seed=42) + " select o_orderkey, o_orderstatus, case when place <= floor(least * 0.8) then 'train' else 'test' end as split from r",
     "balanced_test": _SPLIT.format(key="o_orderkey", label="o_orderpriority", table="orders", seed=7) + " select o_orderkey, o_orderpriority, case when place <= floor(least * cast(0.7 as double)) then 'train' when place <= least then 'test' else 'unused' end as split from r",
     "continuous_split": "with r as (select c_custkey, row_number() over (partition by c_mktsegment order by md5(c_custkey || '|42'), c_custkey) as place, count(*) over (partition by c_mktsegment) as n from customer) select c_custkey, case when place <= floor(n * cast(0.8 as double)) then 'train' else 'test' end as split from r",
@@ -210,7 +248,7 @@ SQL = {
     "residual_categorical": "select c_custkey, round(c_acctbal - avg(c_acctbal) over (partition by c_mktsegment), 4) as residual from customer",
     "residual_sequence": """with r as (select c_custkey, c_nationkey as x, c_acctbal - avg(c_acctbal) over (partition by c_mktsegment) as y from customer), f as (select regr_slope(y, x) as b, avg(x) as mx, avg(y) as my from r)
       select c_custkey, round(y - my - b * (x - mx), 4) as residual from r, f""",
-    "eligibility_status": _ORDERS + """, a as (select category, value, count(*) filter (o_orderkey % 2 = 0) as in_train, count(*) filter (o_orderkey % 2 = 1 and category <> 'tier') as in_test from long group by all),
+    "eligibility_status": _ORDERS + """, a as (select category, value, count(*) filter (o_totalprice < 200000) as in_train, count(*) filter (o_totalprice >= 200000 and category <> 'tier') as in_test from long join orders using (o_orderkey) group by all),
       f as (select category, sum(in_test) as tested, count(*) filter (in_train > 50) as large, count(*) filter (in_train > 0 and in_test > 0) as shared, count(*) filter (in_train > 0 and in_test >= 50) as tc from a where in_train + in_test > 0 group by category)
       select category, case when tested = 0 then 'FAIL_NO_TEST' when large < 2 then 'FAIL_TRAIN_CLASSES' when shared = 0 then 'FAIL_NO_SHARED_CLASS' when tc < 2 then 'FAIL_TEST_CLASSES' else 'OK' end as status from f""",
     "sample_overlap": """with a as (select distinct upper(trim(sample_name, ' ')) as s from h5n1_example_metadata where sample_name is not null), b as (select distinct upper(trim(sample, ' ')) as s from hdbscan_clusters where sample is not null)
@@ -227,5 +265,10 @@ SQL = {
       x as (select sum(n * (n - 1) / 2) as shared, sum(n) * (sum(n) - 1) / 2 as every from c), y as (select sum(n * (n - 1) / 2) as a from (select sum(n) as n from c group by a)), z as (select sum(n * (n - 1) / 2) as b from (select sum(n) as n from c group by b))
       select round((every + 2 * shared - a - b) / every, 6) as rand_index from x, y, z""",
     "expanded_counts": _MATRIX + " select true_label, predicted_label, cast(unnest(generate_series(0, n - 1)) as bigint) as copy from m where n > 0",
+    "exact_permutation_p": """with r as (select c_mktsegment = 'BUILDING' as t, c_acctbal > 3000 as p from customer where c_mktsegment in ('BUILDING', 'MACHINERY')),
+      m as (select count(*) as n, count(*) filter (t) as a, count(*) filter (p) as b, count(*) filter (t and p) as x, count(*) filter (t = p) as good from r),
+      k as (select *, unnest(generate_series(x, least(a, b))) as k from m)
+      select good / n as accuracy, sum(exp(lgamma(b + 1) - lgamma(k + 1) - lgamma(b - k + 1) + lgamma(n - b + 1) - lgamma(a - k + 1) - lgamma(n - b - a + k + 1) - lgamma(n + 1) + lgamma(a + 1) + lgamma(n - a + 1))) as p
+      from k where n - b - a + k >= 0 group by accuracy""",
     "attached_metadata": "select sample_name, min(loaded_at) as loaded_at from metadata_prediction where sample_name is not null group by 1",
 }

@@ -170,21 +170,10 @@ def revcomp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def translated(spark: SparkSession, folder: str) -> DataFrame:
-    return dna(spark, folder).select("doc_id", seq.translate(F.substring("seq", 1, 90)).alias("protein"))
-
-
-def translate6(spark: SparkSession, folder: str) -> DataFrame:
-    rows = dna(spark, folder).withColumn("seq", F.substring("seq", 1, 90))
-    return seq.six_frames(rows, "seq").select("doc_id", F.col("frame").cast("long").alias("frame"), "protein", "usable")
-
-
-def whole_translated(spark: SparkSession, folder: str) -> DataFrame:
-    """``translated`` of whole texts; its own SQL holds their first 90 letters."""
     return dna(spark, folder).select("doc_id", seq.translate(F.col("seq")).alias("protein"))
 
 
-def whole_translate6(spark: SparkSession, folder: str) -> DataFrame:
-    """``translate6`` of whole texts; its own SQL holds their first 90 letters."""
+def translate6(spark: SparkSession, folder: str) -> DataFrame:
     return seq.six_frames(dna(spark, folder), "seq").select("doc_id", F.col("frame").cast("long").alias("frame"), "protein", "usable")
 
 
@@ -203,7 +192,8 @@ def words_of(spark: SparkSession, folder: str, k: int) -> DataFrame:
 
 
 def shift_edges(spark: SparkSession, folder: str) -> DataFrame:
-    words = dna(spark, folder).select(F.substring("seq", 1, 12).alias("a")).filter("length(a) = 12").distinct()
+    """Edges between the 27-mers that texts are cut to, one after another."""
+    words = seq.kmers(dna(spark, folder), "seq", 27).select(F.col("kmer").alias("a")).distinct()
     return graph.shift_edges(words, "a", 5).select("src", "dst", F.col("shift").cast("long").alias("shift"))
 
 
@@ -232,8 +222,10 @@ def radius_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hamming_filter(spark: SparkSession, folder: str) -> DataFrame:
-    members = dna(spark, folder).select((F.col("doc_id") % 20).alias("cluster"), F.substring("seq", 1, 20).alias("item"), F.col("doc_id").alias("rank")).filter("length(item) = 20")
-    return graph.within_radius(members, "cluster", "item", "rank", 14, "hamming").select("cluster", "rank", "distance")
+    """Pieces of 20 letters of all texts near the first one of their language."""
+    texts = table(spark, folder, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("cluster"), seq.dna_of(F.col("text")).alias("seq"))
+    members = seq.kmers(texts, "seq", 20).select("cluster", F.col("kmer").alias("item"), (F.col("doc_id") * 1_000_000 + F.col("start")).alias("rank"))
+    return graph.within_radius(members, "cluster", "item", "rank", 11, "hamming").select("cluster", "rank", "distance")
 
 
 def reads_to_satc(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,7 +306,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         anchor_select_quantile, anchor_select_disc, artifact_filter, hist_cutoff, reorder_clusters, top_clusters, satc_topk_target, satc_filter, sample_blocks, cluster_complete,
-        missing_clusters, sample_concat, fraction_missing, binary_target, dense_blocks, kmer_decompose, kmer_dictionary, block_slice, revcomp, translated, translate6, whole_translated, whole_translate6, longest_protein, shift_edges,
+        missing_clusters, sample_concat, fraction_missing, binary_target, dense_blocks, kmer_decompose, kmer_dictionary, block_slice, revcomp, translated, translate6, longest_protein, shift_edges,
         shift_components, masked_components, numbered, radius_filter, hamming_filter, reads_to_satc, lookup, embed_topvar, embed_zscore, embed_l2_mode, embed_norm, correlation_matrix, onehot_long,
         varying_groups, dummy_columns, encoded_target, cluster_pca, kmer_embedding,
     )
@@ -340,18 +332,21 @@ SQL = {
     "kmer_dictionary": _KMERS + ", f as (select kmer, min((doc_id, start)) as first from kmers group by kmer) select kmer, '27mer_' || (row_number() over (order by first, kmer) - 1) as kmer_id from f",
     "block_slice": f"with d as ({_DNA}) select doc_id, substring(seq, 41, 20) as block from d",
     "revcomp": f"with d as ({_DNA}) select doc_id, md5(translate(reverse(seq), 'ACGTNacgtn', 'TGCANtgcan')) as digest from d",
-    "translated": f"with d as (select doc_id, substring(seq, 1, 90) as s from ({_DNA})) select doc_id, case when length(s) >= 3 then {_TRANSLATE.format(s='s')} else '' end as protein from d",
-    "translate6": f"""with d as (select doc_id, substring(seq, 1, 90) as seq from ({_DNA})),
-      f as (select doc_id, length(seq) as n, frame, substring(case when frame > 0 then seq else translate(reverse(seq), 'ACGT', 'TGCA') end, cast(abs(frame) as int), 90) as s from d, (values (1), (2), (3), (-1), (-2), (-3)) v(frame)),
+    "translated": f"with d as (select doc_id, seq as s from ({_DNA})) select doc_id, case when length(s) >= 3 then {_TRANSLATE.format(s='s')} else '' end as protein from d",
+    "translate6": f"""with d as ({_DNA}),
+      f as (select doc_id, length(seq) as n, frame, substring(case when frame > 0 then seq else translate(reverse(seq), 'ACGT', 'TGCA') end, cast(abs(frame) as int)) as s from d, (values (1), (2), (3), (-1), (-2), (-3)) v(frame)),
       t as (select doc_id, n, cast(frame as bigint) as frame, regexp_extract(case when length(s) >= 3 then {_TRANSLATE.format(s='s')} else '' end, '^[^*]*') as protein from f)
       select doc_id, frame, protein, length(protein) >= floor((n // 3) * 0.8) as usable from t""",
-    "shift_edges": f"""with w as (select distinct substring(seq, 1, 12) as a from ({_DNA}) where length(seq) >= 12), s as (select unnest(generate_series(1, 5)) as shift)
-      select x.a as src, y.a as dst, cast(shift as bigint) as shift from w x join s on true join w y on substring(x.a, cast(shift + 1 as int), cast(12 - shift as int)) = substring(y.a, 1, cast(12 - shift as int))""",
+    "shift_edges": _KMERS + """, w as (select distinct kmer as a from kmers), s as (select unnest(generate_series(1, 5)) as shift),
+      x as (select a as src, shift, substring(a, cast(shift + 1 as int)) as part from w, s), y as (select a as dst, shift, substring(a, 1, cast(27 - shift as int)) as part from w, s)
+      select src, dst, cast(shift as bigint) as shift from x join y using (shift, part)""",
     "numbered": "select p_name, row_number() over (order by p_name) as cluster_id from (select distinct p_name from part)",
     "radius_filter": """with m as (select p_partkey % 20 as cluster, p_partkey as rank, p_name || ' ' || p_brand as item from part), s as (select cluster, arg_min(item, rank) as seed from m group by cluster)
       select cluster, rank, item, levenshtein(item, seed) as distance from m join s using (cluster) where levenshtein(item, seed) <= 8""",
-    "hamming_filter": f"""with m as (select doc_id % 20 as cluster, doc_id as rank, substring(seq, 1, 20) as item from ({_DNA}) where length(seq) >= 20), s as (select cluster, arg_min(item, rank) as seed from m group by cluster)
-      select cluster, rank, hamming(item, seed) as distance from m join s using (cluster) where hamming(item, seed) <= 14""",
+    "hamming_filter": f"""with d as (select doc_id, coalesce(lang, 'none') as cluster, seq from ({_DNA}) join documents using (doc_id)),
+      k as (select cluster, doc_id, seq, unnest(generate_series(0, length(seq) - 20, 20)) as start from d where length(seq) >= 20),
+      m as (select cluster, doc_id * 1000000 + start as rank, substring(seq, cast(start + 1 as int), 20) as item from k), s as (select cluster, arg_min(item, rank) as seed from m group by cluster)
+      select cluster, rank, hamming(item, seed) as distance from m join s using (cluster) where hamming(item, seed) <= 11""",
     "reads_to_satc": f"""with a as (select distinct substring(translate(lower(regexp_replace(r_name, '[^a-zA-Z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), 1, 4) as anchor from region),
       p as (select cast(doc_id % 10 as varchar) as sample, seq, unnest(generate_series(1, length(seq) - 6)) as i from ({_DNA}) where length(seq) >= 7)
       select sample, substring(seq, cast(i as int), 4) as anchor, substring(seq, cast(i + 4 as int), 3) as target, count(*) as count from p where substring(seq, cast(i as int), 4) in (select anchor from a) group by all""",
