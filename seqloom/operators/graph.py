@@ -2,27 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import random
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.session import cut
 
 
-def components(edges: DataFrame) -> DataFrame:
+#: Edges that one task may unite: a few bytes each.
+SMALL = 200_000
+
+
+def components(edges: DataFrame, small: int = 0) -> DataFrame:
     """``(v, root)`` for every vertex of the undirected edges ``(a, b)`` (longs): the smallest vertex it is tied to.
 
     Each round hooks every vertex to its smallest neighbour, follows pointers by doubling until they end in a
     root, and contracts the edges. Of the vertices with edges at most half are left after a round. Neighbours
     are reduced to a minimum before they are shuffled; self-loops and repeated edges are fine, and an empty
-    edge table gives no rows.
+    edge table gives no rows. As soon as at most ``small`` edges are left, one task unites them: rounds over little
+    data cost more than their work. The result is the same.
     """
     edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     found = edges.select(F.explode(F.array("a", "b")).alias("v")).distinct().select("v", F.col("v").alias("root"))
     left = edges.filter("a <> b")
     contracted = False
-    while not left.isEmpty():
+    while n := left.count():
+        if n <= small:
+            hooks = cut(united(left))
+            found = found.join(hooks.select(F.col("v").alias("root"), "p"), "root", "left").select("v", F.coalesce("p", "root").alias("root"))
+            break
         both = left.select(F.col("b").alias("v"), F.col("a").alias("p")).unionByName(left.select(F.col("a").alias("v"), F.col("b").alias("p")))
         hooks = both.groupBy("v").agg(F.min("p").alias("p")).filter("p < v")
         hooks = follow(cut(hooks))
@@ -34,6 +48,28 @@ def components(edges: DataFrame) -> DataFrame:
     return cut(found)
 
 
+def united(edges: DataFrame) -> DataFrame:
+    """``(v, p)``: every vertex of a few edges that is not the smallest it is tied to, and that smallest, in one task."""
+
+    def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict[int, int] = {}
+
+        def find(v: int) -> int:
+            parent.setdefault(v, v)
+            while parent[v] != v:
+                parent[v] = v = parent[parent[v]]
+            return v
+
+        for batch in batches:
+            for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        found = [(v, p) for v in parent if (p := find(v)) != v]
+        yield pd.DataFrame(found, columns=["v", "p"], dtype="int64")
+
+    return edges.coalesce(1).mapInPandas(unite, "v long, p long")
+
+
 def follow(hooks: DataFrame) -> DataFrame:
     """Pointer jumping: ``(v, p)`` with ``p < v`` until every ``p`` has no pointer of its own."""
     while True:
@@ -95,7 +131,7 @@ def label_components(nodes: DataFrame, node: str, edges: DataFrame, src: str, ds
     a = numbered.select(F.col("name").alias(src), F.col("id").alias("a"))
     b = numbered.select(F.col("name").alias(dst), F.col("id").alias("b"))
     pairs = edges.select(src, dst).distinct().join(a, src).join(b, dst).select("a", "b")
-    roots = components(pairs)
+    roots = components(pairs, SMALL)
     placed = numbered.join(roots.withColumnRenamed("v", "id"), "id", "left").select("name", F.coalesce("root", "id").alias("root"))
     sizes = placed.groupBy("root").agg(F.count("*").alias("size"), F.min("name").alias("first"))
     ranked = ordered_index(sizes.withColumn("order", -F.col("size")), ["order", "first"], "component")
@@ -117,39 +153,55 @@ def numbered_lines(frame: DataFrame, order: Sequence[str], out: str = "cluster_i
     return ordered_index(frame, order, out).withColumn(out, F.col(out) + 1)
 
 
-def mask_positions(length: int, masks: int, masked: int, seed: int) -> list[list[int]]:
-    """``masks`` sets of ``masked`` positions out of ``length``, the same for every run and every sequence."""
-    import random
-
+def mask_positions(length: int, masks: int, masked: int, seed: int) -> list[tuple[int, ...]]:
+    """``masks`` sets of ``masked`` positions out of ``length``, the same for every run and sequence; all sets where there are no more."""
+    masked = min(masked, length)
+    if math.comb(length, masked) <= masks:
+        return list(combinations(range(length), masked))
     draw = random.Random(seed)
-    return [sorted(draw.sample(range(length), min(masked, length))) for _ in range(masks)]
+    return [tuple(sorted(draw.sample(range(length), masked))) for _ in range(masks)]
+
+
+#: Cells of masked hashes that a task holds at once.
+MASK_CELLS = 2_000_000
 
 
-def masked_edges(sequences: DataFrame, column: str, length: int, masks: int = 40, masked: int = 5, trims: int = 5, seed: int = 17) -> DataFrame:
-    """``(src, dst)``: each sequence and the smallest one that shares a masked or trimmed form with it.
+def masked_edges(sequences: DataFrame, column: str, length: int, masks: int = 1_000, masked: int = 5, trims: int = 5, seed: int = 17) -> DataFrame:
+    """``(src, dst)``: each sequence of a length and the smallest one that shares a masked or trimmed form with it.
 
-    The same positions are masked in all sequences of the given length, so that two that differ within a mask fall
-    in one bucket. A bucket is reduced to its smallest member before anything is joined: no pairs inside it.
+    The same positions are masked in all sequences, so that two that differ within a mask fall in one bucket. A
+    masked form is a sum of a random number per place and letter, less those of the mask: a thousand masks cost a
+    few sums each. A bucket is reduced to its smallest member before anything is joined: no pairs inside it. Edges
+    are checked letter by letter at the end, so that equal sums of different forms do no harm.
     """
-    sets = mask_positions(length, masks, masked, seed)
-
-    def masked_form(positions: list[int]) -> Column:
-        parts, last = [], 0
-        for p in [*positions, length]:
-            if p > last:
-                parts.append(F.substring("s", last + 1, p - last))
-            if p < length:
-                parts.append(F.lit("N"))
-            last = p + 1
-        return F.concat(*parts)
-
-    forms = [F.concat(F.lit(f"{i}:"), masked_form(p)) for i, p in enumerate(sets)]
-    for t in range(1, trims + 1):
-        forms += [F.concat(F.lit("t:"), F.substring("s", t + 1, length - t)), F.concat(F.lit("t:"), F.substring("s", 1, length - t))]
     rows = sequences.select(F.col(column).alias("s")).filter(F.length("s") == length).distinct()
-    buckets = rows.select("s", F.explode(F.array_distinct(F.array(*forms))).alias("form"))
-    first = buckets.groupBy("form").agg(F.min("s").alias("dst"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return buckets.join(first, "form").filter("s <> dst").select(F.col("s").alias("src"), "dst").distinct()
+    numbered = cut(ordered_index(rows, ["s"], "id"))
+    sets = np.array(mask_positions(length, masks, masked, seed))
+    weight = np.random.default_rng(seed).integers(0, 2**63, size=(length, 256), dtype=np.uint64)
+    piece = max(1, MASK_CELLS // sets.size)
+
+    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            letters = np.frombuffer("".join(batch["s"]).encode("ascii", "replace"), dtype=np.uint8).reshape(-1, length)
+            for first in range(0, len(letters), piece):
+                own = weight[np.arange(length), letters[first : first + piece]]
+                sums = own.sum(axis=1)[:, None] - own[:, sets].sum(axis=2)
+                yield pd.DataFrame({"mask": np.tile(np.arange(len(sets), dtype=np.int32), len(own)), "form": sums.astype(np.int64).ravel(), "id": np.repeat(batch["id"].to_numpy()[first : first + piece], len(sets))})
+
+    buckets = numbered.mapInPandas(forms, "mask int, form long, id long")
+    first = cut(buckets.groupBy("mask", "form").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n")).filter("n > 1"))
+    # Most buckets with more than one sequence have two, which are known by now.
+    two = first.filter("n = 2").select(F.col("most").alias("a"), F.col("least").alias("b"))
+    more = buckets.join(first.filter("n > 2").select("mask", "form", "least"), ["mask", "form"]).filter("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    pairs = two.unionByName(more).distinct()
+    named = pairs.join(numbered.select(F.col("id").alias("a"), F.col("s").alias("src")), "a").join(numbered.select(F.col("id").alias("b"), F.col("s").alias("dst")), "b")
+    near = named.filter(hamming(F.col("src"), F.col("dst")) <= masked).select("src", "dst")
+    ends = [F.array(F.substring("s", t + 1, length - t), F.substring("s", 1, length - t)) for t in range(1, trims + 1) if t < length]
+    if not ends:
+        return near
+    trimmed = rows.select("s", F.explode(F.array_distinct(F.concat(*ends))).alias("form"))
+    least = trimmed.groupBy("form").agg(F.min("s").alias("dst"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return near.unionByName(trimmed.join(least, "form").filter("s <> dst").select(F.col("s").alias("src"), "dst")).distinct()
 
 
 def within_one_edit(frame: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:

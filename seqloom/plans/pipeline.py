@@ -17,6 +17,7 @@ from seqloom.functions.frames import digest_rank
 from seqloom.functions.sequence import kmers
 from seqloom.operators import annotation, features, graph, samples, selection, targets
 from seqloom.plans.registry import register, stage
+from seqloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ class Options:
     more_variants_than: int | None = None
     feature: str = "one_hot"
     features_per_cluster: int = 5
+    known_proteins: DataFrame | None = None
 
 
 def grid(selections: Sequence[str], clusterings: Sequence[str], clusters: Sequence[int], feature_kinds: Sequence[str]) -> Iterator[Options]:
@@ -79,12 +81,20 @@ def _masked(anchors: DataFrame, o: Options, length: int) -> DataFrame:
 
 @register("cluster", "masked_protein")
 def _protein(anchors: DataFrame, o: Options, length: int) -> DataFrame:
-    """Anchors that share a masked form of a usable translation; anchors without one are left out."""
+    """Anchors that share a masked form of a usable translation of one length; anchors without one are left out.
+
+    With ``known_proteins`` only translations within one edit of one of them are usable.
+    """
     from seqloom.functions.sequence import six_frames
 
-    frames = six_frames(anchors.select("anchor"), "anchor").filter("usable").withColumn("protein", F.substring("protein", 1, length // 3 * 4 // 5))
-    width = length // 3 * 4 // 5
-    edges = graph.masked_edges(frames, "protein", width, masks=20, masked=min(3, width), trims=2)
+    frames = six_frames(anchors.select("anchor"), "anchor").filter("usable")
+    if o.known_proteins is not None:
+        frames = graph.within_one_edit(frames, "protein", o.known_proteins, "protein")
+    frames = cut(frames)
+    edges = None
+    for width in range(max(1, length // 3 * 4 // 5), length // 3 + 1):
+        part = graph.masked_edges(frames, "protein", width, masks=300, masked=3, trims=2)
+        edges = part if edges is None else edges.unionByName(part)
     proteins = graph.label_components(frames, "protein", edges, "src", "dst")
     placed = frames.join(proteins, "protein").groupBy("anchor").agg(F.min("component").alias("cluster"))
     return placed.select("cluster", "anchor")

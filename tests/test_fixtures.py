@@ -297,3 +297,13 @@ def test_compactors_without_exact_support(spark):
     frame = spark.createDataFrame(rows, "anchor string, compactor string, total_length long, exact_support double, support double, row long")
     got = {r["anchor"]: (r["row"], r["total_length"], r["exact_support"], r["threshold"], r["reason"]) for r in annotation.chosen_compactors(frame).collect()}
     assert got == {"a": (2, 9, 8.0, 5, annotation.RISE), "c": (7, 3, 3.0, 5, annotation.BEST)}
+
+
+def test_thousand_masks_find_what_differs_in_a_few_letters(spark):
+    draw = random.Random(3)
+    base = ["".join(draw.choice("ACGT") for _ in range(27)) for _ in range(40)]
+    other = ["".join(draw.choice("ACGT".replace(x, "")) if i in at else x for i, x in enumerate(b)) for b in base for at in [set(draw.sample(range(27), 3))]]
+    edges = {frozenset(tuple(r)) for r in graph.masked_edges(column(spark, base + other), "v", 27).collect()}
+    assert sum(frozenset((a, b)) in edges for a, b in zip(base, other, strict=True)) >= 36
+    assert all(sum(x != y for x, y in zip(*e, strict=True)) <= 5 or any(a[t:] == b[:-t] or b[t:] == a[:-t] or a[t:] == b[t:] or a[:-t] == b[:-t] for a, b in [tuple(e)] for t in range(1, 6)) for e in edges)
+    assert len(graph.mask_positions(7, 300, 3, 17)) == 35

@@ -85,3 +85,22 @@ def test_written(spark):
     frame = spark.range(5).withColumn("x", F.array(F.col("id")))
     assert written(frame).dtypes == frame.dtypes and sorted(r["id"] for r in written(frame).collect()) == list(range(5))
     assert written(frame.filter("id < 0")).count() == 0
+
+
+@pytest.mark.parametrize("small", [0, 3, 40, 10_000])
+def test_components_with_and_without_a_last_task(spark, small):
+    draw = random.Random(small)
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
+    draw.shuffle(pairs)
+    root = {v: v for p in pairs for v in p}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["v"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long"), small).collect()}
+    assert got == {v: find(v) for v in root}
