@@ -12,6 +12,8 @@ from seqloom.session import written
 MAX_REQUESTS = 50_000
 #: Inclusion probabilities are summed in whole parts of a row, so that positions are exact at any size.
 PARTS = 1_000_000
+#: Places that are made of one row at once, and places that a task makes.
+STRETCH, TASK_PLACES = 50_000, 1_000_000
 
 
 def required_rows(share: Column, size: Column, least: Column) -> Column:
@@ -71,14 +73,16 @@ def _drawn(wanted: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
     for the same category draw different rows.
     """
     drawn = there = None
-    small = F.broadcast if len(wanted.limit(MAX_REQUESTS + 1).select("request_id").collect()) <= MAX_REQUESTS else (lambda frame: frame)
+    asked_rows, most = wanted.agg(F.count("*"), F.coalesce(F.sum(F.greatest("required", F.ceil(F.col("target_share") * F.col("sample_size")) + 1)), F.lit(0))).first()
+    small = F.broadcast if asked_rows <= MAX_REQUESTS else (lambda frame: frame)
+    tasks = 1 + most // TASK_PLACES
     for (name, field), (frame, free) in tables.items():
         asked = wanted.filter((F.col("table_name") == name) & (F.col("field_name") == field)).select("request_id", "category", "value_key", "required", (F.col("target_share") * F.col("sample_size")).alias("expected"))
         rows = distinct_rows(frame, free, field).select(agree(F.col("value")).alias("value_key"), "row")
         rows = written(rows.join(small(asked.select("value_key").distinct()), "value_key", "left_semi"))
         numbered = prefix_sum(rows.withColumn("one", F.lit(1)), "one", "row", ["value_key"], seed, "at").select("value_key", "row", "at")
         counts = rows.groupBy("value_key").agg(F.count("*").alias("n"))
-        found = places(asked.join(small(counts), "value_key"), seed)
+        found = places(asked.join(small(counts), "value_key"), seed, tasks)
         part = numbered.join(found, ["value_key", "at"]).select("request_id", "category", "row", "repair", F.lit(name).alias("table_name"))
         drawn = part if drawn is None else drawn.unionByName(part)
         found = counts.select(F.lit(name).alias("table_name"), F.lit(field).alias("field_name"), "value_key", "n")
@@ -86,13 +90,14 @@ def _drawn(wanted: DataFrame, tables: dict[tuple[str, str], tuple[DataFrame, str
     return drawn, there
 
 
-def places(asked: DataFrame, seed: int) -> DataFrame:
+def places(asked: DataFrame, seed: int, tasks: int = 1) -> DataFrame:
     """``(request_id, category, value_key, at, repair)``: places in the random order of a category that a request draws.
 
     asked: ``request_id, category, value_key, required, expected, n``. With the sum ``c`` of the categories before
     (less its whole part) and the probability ``q`` of every row, place ``p`` is drawn if a whole number lies in
     ``(c + q p, c + q (p + 1)]``. The j-th drawn place is thus ``ceil((j - c) / q) - 1`` and the r-th undrawn one, from
-    0, ``floor((r + c) / (1 - q))``; in whole parts both are exact.
+    0, ``floor((r + c) / (1 - q))``; in whole parts both are exact. A request of any size is cut to stretches that are
+    spread over ``tasks``.
     """
     parts = F.lit(PARTS).cast("decimal(20,0)")
     mass = F.least(F.round(F.col("expected") * PARTS, 0).cast("decimal(20,0)"), F.col("n") * parts).cast("decimal(28,0)")
@@ -105,8 +110,12 @@ def places(asked: DataFrame, seed: int) -> DataFrame:
     placed = placed.withColumn("total", F.expr(f"(c + mass) div {PARTS}"))
     short = F.greatest(F.least("required", "n") - F.col("total"), F.lit(0))
     turn = F.pmod(F.xxhash64(F.lit(seed), "request_id", "category"), F.col("n"))
-    numbers = F.when(F.col("total") + short > 0, F.sequence(F.lit(0).cast("long"), F.col("total") + short - 1))
-    each = placed.select("request_id", "category", "value_key", "n", "mass", "c", "total", turn.alias("turn"), F.explode(numbers).alias("j"))
+    end = F.col("total") + short
+    stretches = F.when(end > 0, F.sequence(F.lit(0).cast("long"), F.floor((end - 1) / STRETCH)))
+    cut_up = placed.select("request_id", "category", "value_key", "n", "mass", "c", "total", turn.alias("turn"), end.alias("end"), F.explode(stretches).alias("stretch"))
+    cut_up = cut_up.repartition(tasks, "request_id", "category", "stretch") if tasks > 1 else cut_up
+    first = F.col("stretch") * STRETCH
+    each = cut_up.withColumn("j", F.explode(F.sequence(first, F.least(first + STRETCH, F.col("end")) - 1)))
     exact = lambda e: F.expr(e.replace("S", f"cast({PARTS} as decimal(20,0))").replace("N", "cast(n as decimal(12,0))"))
     taken = exact("cast((cast(j + 1 as decimal(12,0)) * S - c) * N + mass - 1 as decimal(38,0)) div mass - 1")
     spare = exact("cast((cast(j - total as decimal(12,0)) * S + c) * N as decimal(38,0)) div (N * S - mass)")

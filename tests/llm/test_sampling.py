@@ -105,4 +105,6 @@ def test_more_requests_than_are_broadcast_draw_the_same(spark, monkeypatch):
     tables = {("t", "host"): (rows, "row_id")}
     one = sorted(map(tuple, draw(ask, tables, gap_key).collect()))
     monkeypatch.setattr(sampling, "MAX_REQUESTS", 2)
+    monkeypatch.setattr(sampling, "STRETCH", 2)
+    monkeypatch.setattr(sampling, "TASK_PLACES", 9)
     assert one == sorted(map(tuple, draw(ask, tables, gap_key).collect())) and len(one) == 60
