@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -129,33 +129,68 @@ def correlation(long: DataFrame, key: str, feature: str, value: str, features: i
     return found.join(names.withColumnRenamed("f", "a"), "i").join(names.select(F.col("f").alias("b"), F.col("i").alias("j")), "j").select("a", "b", "correlation")
 
 
+#: Tasks that may share the rows of one cluster.
+SHARED_BY = 32
+
+
+def _merged(parts: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number, mean and centred products of several pieces together."""
+    n, mean, products = 0, None, None
+    for m, own, more in parts:
+        if mean is None:
+            n, mean, products = m, own, more
+            continue
+        apart = own - mean
+        products = products + more + np.outer(apart, apart) * (n * m / (n + m))
+        mean, n = mean + apart * (m / (n + m)), n + m
+    return n, mean, products
+
+
 def cluster_components(frame: DataFrame, cluster: str, key: str, item: str, vector: str, missing: str, components: int = 5) -> DataFrame:
     """``(cluster, key, component, value, is_missing)``: principal components of every cluster's vectors.
 
     Rows that are missing take no part and get zeros; a cluster with fewer than two distinct items gets zeros.
     At most ``components``, rows less one and dimensions less one are found. A component points to where its
-    largest loading is positive. One cluster is one matrix of samples x dimensions, which is the unit of this
-    operator; its Gram matrix is what is factored.
+    largest loading is positive. Rows of a cluster are spread over tasks that add up products of their dimensions; only
+    these are brought together and factored, and the axes are joined back to the rows.
     """
-    kinds = dict(frame.dtypes)
-    schema = f"{cluster} {kinds[cluster]}, {key} {kinds[key]}, component int, value double, is_missing boolean"
-
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        gone = part[missing].to_numpy(dtype=bool)
-        held = part[~gone]
-        scores = np.zeros((len(part), components))
-        if held[item].nunique() >= 2:
-            x = np.array(held[vector].tolist(), dtype=float)
-            x = x - x.mean(axis=0)
-            n = min(components, len(x) - 1, x.shape[1] - 1)
-            _, _, axes = np.linalg.svd(x, full_matrices=False)
-            axes = axes[:n]
-            axes *= np.sign(axes[np.arange(n), np.abs(axes).argmax(axis=1)])[:, None]
-            scores[~gone, :n] = x @ axes.T
-        rows = [(part[cluster].iloc[0], k, c, float(scores[i, c]), bool(gone[i])) for i, k in enumerate(part[key]) for c in range(components)]
-        return pd.DataFrame(rows, columns=[cluster, key, "component", "value", "is_missing"])
-
-    return frame.select(cluster, key, item, vector, missing).groupBy(cluster).applyInPandas(fit, schema)
+    rows = frame.select(F.col(cluster).alias("c"), F.col(key).alias("k"), F.col(item).alias("i"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(F.col(missing), F.lit(True)).alias("gone"))
+    held = rows.filter("not gone and v is not null")
+    kind = dict(rows.dtypes)["c"]
+    varied = held.groupBy("c").agg(F.count_distinct("i").alias("items")).filter("items > 1").select("c")
+    spread = held.join(varied, "c").select("c", "v", F.pmod(F.xxhash64("k"), F.lit(SHARED_BY)).alias("salt")).repartition("c", "salt").sortWithinPartitions("c")
+
+    def piece(vectors: list) -> tuple[int, np.ndarray, np.ndarray]:
+        x = np.array(vectors, dtype=float)
+        mean = x.mean(axis=0)
+        return len(x), mean, (x - mean).T @ (x - mean)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, own = None, None
+        for batch in batches:
+            for c, part in batch.groupby("c", sort=False):
+                if own is not None and c != now:
+                    yield pd.DataFrame({"c": [now], "n": [own[0]], "mean": [own[1]], "products": [own[2].ravel()]})
+                    own = None
+                fresh = piece(part["v"].tolist())
+                now, own = c, fresh if own is None else _merged(iter([own, fresh]))
+        if own is not None:
+            yield pd.DataFrame({"c": [now], "n": [own[0]], "mean": [own[1]], "products": [own[2].ravel()]})
+
+    def factor(part: pd.DataFrame) -> pd.DataFrame:
+        n, mean, products = _merged((int(m), np.asarray(a), np.asarray(p).reshape(len(a), -1)) for m, a, p in zip(part["n"], part["mean"], part["products"], strict=True))
+        few = max(0, min(components, n - 1, len(mean) - 1))
+        _, axes = np.linalg.eigh(products)
+        axes = axes[:, ::-1].T[:few]
+        axes = axes * np.sign(axes[np.arange(few), np.abs(axes).argmax(axis=1)])[:, None] if few else axes
+        return pd.DataFrame({"c": [part["c"].iloc[0]], "mean": [mean], "axes": [[list(a) for a in axes]]})
+
+    axes = spread.select("c", "v").mapInPandas(sums, f"c {kind}, n long, mean array<double>, products array<double>").groupBy("c").applyInPandas(factor, f"c {kind}, mean array<double>, axes array<array<double>>")
+    met = rows.join(axes, "c", "left").withColumn("d", F.zip_with("v", "mean", lambda x, m: x - m))
+    scores = met.select("c", "k", "gone", "d", "axes", F.explode(F.sequence(F.lit(0), F.lit(components - 1))).alias("component"))
+    axis = F.try_element_at("axes", F.col("component") + 1)
+    value = F.when(~F.col("gone") & axis.isNotNull(), F.aggregate(F.zip_with("d", axis, lambda x, a: x * a), F.lit(0.0), lambda acc, x: acc + x)).otherwise(0.0)
+    return scores.select(F.col("c").alias(cluster), F.col("k").alias(key), "component", value.alias("value"), F.col("gone").alias("is_missing"))
 
 
 def hashed_embedding(frame: DataFrame, sequence: str, dimensions: int = 32, k: int = 4) -> DataFrame:

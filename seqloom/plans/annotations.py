@@ -91,7 +91,7 @@ def capped_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 def plotted_queries(spark: SparkSession, folder: str) -> DataFrame:
     rows = _hits(spark, folder).filter("query is not null").select(labels.feature_cluster(F.col("query")).alias("cluster"), "hit_id", (F.col("qcovs") >= 60).alias("observed"))
-    selected = rows.filter("cluster % 3 = 0").select("cluster")
+    selected = _hits(spark, folder).filter("qcovs > 95").select(labels.feature_cluster(F.col("query")).alias("cluster")).filter("cluster is not null")
     return annotation.selected_queries(rows, "plot_selected_and_top", "cluster", ["hit_id"], selected, 2).select("cluster", "hit_id")
 
 
@@ -199,7 +199,7 @@ def entropy_log2(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _partitions(spark: SparkSession, folder: str) -> DataFrame:
-    users = table(spark, folder, "events").select("user_id").distinct().filter("user_id % 13 <> 0")
+    users = table(spark, folder, "events").groupBy("user_id").agg(F.max("value").alias("most")).filter("most < 300")
     return users.select(F.col("user_id").cast("string").alias("sample"), F.concat(F.lit("M"), (F.col("user_id") % 3).cast("string")).alias("major"), F.concat(F.lit("m"), (F.col("user_id") % 2).cast("string")).alias("minor"))
 
 
@@ -330,7 +330,7 @@ def resolved_sql(parts: str) -> str:
 
 _H = f"with titled as (select *, {parts_sql('stitle')} as parts from compactor_reannotation_lib), h as (select * exclude (parts), {resolved_sql('parts')} as label from titled)"
 _CLUSTER = "try_cast(nullif(regexp_extract(query, 'cluster_([0-9]+)', 1), '') as bigint)"
-_PARTS = "select cast(user_id as varchar) as sample, 'M' || (user_id % 3) as major, 'm' || (user_id % 2) as minor from (select distinct user_id from events) where user_id % 13 <> 0"
+_PARTS = "select cast(user_id as varchar) as sample, 'M' || (user_id % 3) as major, 'm' || (user_id % 2) as minor from (select user_id, max(value) as most from events group by 1) where most < 300"
 _ENTROPY = """with c as (select user_id, event_type, count(*) as n from events group by all), t as (select *, n / sum(n) over (partition by user_id) as p, sum(n) over (partition by user_id) as total from c)"""
 _GRIDSQL = f"""with s as ({_SATC}), f as (select sample, target, sum(count) as count from s where anchor = 'click' and length(target) = 1 group by all), t as (select target, sum(count) as target_total from f group by target),
  g as (select e.sample, t.target, t.target_total, cast(coalesce(f.count, 0) as bigint) as count from (select distinct sample from s) e cross join t left join f on f.sample = e.sample and f.target = t.target)"""
@@ -359,8 +359,8 @@ SQL = {
     "label_sets": _H + """, g as (select sacc, list_sort(list_distinct(list(label) filter (label is not null and label not in ('NO TARGET', 'UNANNOTATED', 'NO MATCH')))) as real, max(case when label = 'UNANNOTATED' then 1 else 0 end) as u from h where sacc is not null group by sacc)
       select sacc, case when len(real) > 0 then array_to_string(real, ';') when u = 1 then 'UNANNOTATED' end as labels from g""",
     "capped_queries": f"with h as (select {_CLUSTER} as cluster, hit_id from compactor_reannotation_lib where query is not null) select cluster, hit_id from (select *, row_number() over (partition by cluster order by hit_id) as k from h) where k <= 3",
-    "plotted_queries": f"""with h as (select {_CLUSTER} as cluster, hit_id, qcovs >= 60 as observed from compactor_reannotation_lib where query is not null)
-      select cluster, hit_id from h where observed and cluster % 3 = 0 union all select cluster, hit_id from (select *, row_number() over (partition by cluster order by hit_id) as k from h where cluster % 3 <> 0 or cluster is null) where k <= 2""",
+    "plotted_queries": f"""with h as (select {_CLUSTER} as cluster, hit_id, qcovs, qcovs >= 60 as observed from compactor_reannotation_lib where query is not null), s as (select distinct cluster from h where qcovs > 95 and cluster is not null)
+      select cluster, hit_id from h where observed and cluster in (select cluster from s) union all select cluster, hit_id from (select *, row_number() over (partition by cluster order by hit_id) as k from h where cluster is null or cluster not in (select cluster from s)) where k <= 2""",
     "suffix_join": "with q as (select distinct query from compactor_reannotation_lib where query is not null), s as (select right(query, 4) as a, count(*) as seeds from q group by 1) select query, seeds from q left join s on length(query) >= 4 and right(query, 4) = a",
     "cascade_lookup": """with k as (select * from compactor_reannotation_lib where blast_mode = 'blastp' and stitle is not null and trim(stitle, ' ') <> ''), a as (select sacc, s_start, min(stitle) as v from k where qcovs > 70 group by all), b as (select sacc, min(stitle) as v from k where qcovs > 90 group by all), c as (select sscinames, min(stitle) as v from k group by all)
       select hit_id, coalesce(a.v, b.v, c.v) as found from compactor_reannotation_lib h left join a on a.sacc = h.sacc and a.s_start = h.s_start left join b on b.sacc = h.sacc left join c on c.sscinames = h.sscinames""",

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.operators import annotation, graph, samples
+from seqloom.operators import annotation, curation, graph, samples, selection
 from seqloom.plans.sequences import _SATC, _SCORES, satc, scores
 from seqloom.session import application_dir
 from seqloom.sources import readers, writers
@@ -153,11 +153,47 @@ def species_cache(spark: SparkSession, folder: str) -> DataFrame:
     return readers.species_of(taxa, known, other).select("c_custkey", "species")
 
 
+def cached_species(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of nations fetched into a cache by one run and met there by the next, which fetches what is new."""
+    cache = _folder(spark, "cache")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), "c_acctbal")
+    early = nations.filter("n_regionkey <> 4").select("n_nationkey", F.concat(F.lit("first "), "n_name").alias("species"))
+    late = nations.select("n_nationkey", F.concat(F.lit("second "), "n_name").alias("species"))
+    readers.with_cache(customers.filter("c_acctbal > 0").select("n_nationkey"), "n_nationkey", cache, lambda keys: keys.join(early, "n_nationkey"))
+    return readers.with_cache(customers.select("c_custkey", "n_nationkey"), "n_nationkey", cache, lambda keys: keys.join(late, "n_nationkey")).select("c_custkey", "species")
+
+
+def empty_result(spark: SparkSession, folder: str) -> DataFrame:
+    """A result without rows is written with its header, and read with its columns."""
+    path = _folder(spark, "empty")
+    writers.write_tsv(readers.empty(spark, "sample string, anchor string"), path)
+    return readers.read_table(spark, path, header="yes", schema="sample string, anchor string")
+
+
+def whole_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run from reads to features: counts, scores, anchors, clusters by shift, ranked members, blocks, one-hot features."""
+    from seqloom.functions import sequence as seq
+    from seqloom.plans import pipeline
+
+    reads = table(spark, folder, "documents").select(F.coalesce("source", F.lit("none")).alias("sample"), seq.dna_of(F.col("text")).alias("read"))
+    anchors = seq.kmers(reads, "read", 12).select(F.col("kmer").alias("anchor")).distinct()
+    counts = samples.count_targets(reads, anchors, "sample", "read", 12, 6)
+    effect = (F.count_distinct("target") / F.sum("count")).alias("effect_size_bin")
+    scored = counts.groupBy("anchor").agg(effect, F.count_distinct("sample").alias("number_nonzero_samples")).withColumn("effect_size_cts", F.col("effect_size_bin"))
+    options = pipeline.Options(anchors=200, clusters=20, target_length=6, effect=0.2)
+    chosen = pipeline.choose_anchors(scored, options, 12)
+    ranked = pipeline.reorder_clusters(pipeline.cluster_anchors(chosen, options, 12), scored, options, 12)
+    return pipeline.make_features(pipeline.prepare_blocks(counts, ranked, options), options)
+
+
 def table_forms(spark: SparkSession, folder: str) -> DataFrame:
     """What is told from names and first lines of tables."""
     forms = [(p, readers.delimiter_of(p)) for p in ("a.csv", "a.csv.gz", "a.tsv", "a.txt.bz2", "a")]
     forms += [(f"{a}|{b}", readers.sniff_delimiter([a, b])) for a, b in (("", "a,b\tc,d"), ("a\tb,c", "x,y,z"), ("a", ""))]
     forms += [("header " + "|".join(f), str(readers.looks_like_header(f, ["7", "Mine"])).lower()) for f in (["Sample", "x"], ["s1", "7"], ["mine", "x"], ["alpha", "beta"])]
+    forms.append(("names", "|".join(curation.unique_names(["a b", "a-b", "", "c"]))))
+    forms += [(f"rank {r}", selection.ranked_column(["anchor", "effect_target1", "effect_target2", "effect"], "effect", r)) for r in (1, 2, 9)]
     forms += [(f"column {w}", readers.column_of(["x", "y", "z"], w)) for w in ("y", "3", 1)]
     return spark.createDataFrame(forms, "form string, found string")
 
@@ -165,8 +201,8 @@ def table_forms(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        fastq_records, fasta_records, cluster_ranks, score_scan, count_files, cell_counts, hit_files, registry_rows, genome_list, text_tables, merged_chunks, sized_chunks, api_records, library_runs, species_cache,
-        table_forms,
+        fastq_records, fasta_records, cluster_ranks, score_scan, count_files, cell_counts, hit_files, registry_rows, genome_list, text_tables, merged_chunks, sized_chunks, api_records, library_runs, species_cache, cached_species,
+        empty_result, whole_run, table_forms,
     )
 }
 _LETTERS = "select doc_id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as seq from documents where regexp_matches(text, '[A-Za-z]')"
@@ -186,5 +222,8 @@ SQL = {
     "api_records": "select c_custkey, c_name as run, cast(c_nationkey as bigint) as n, cast(c_nationkey as bigint) as id from customer",
     "library_runs": "with a as (select l_partkey as library, min('R' || l_orderkey) as run from lineitem where l_returnflag = 'A' group by 1), b as (select l_partkey as library, min('R' || l_orderkey) as run from lineitem where l_returnflag = 'R' group by 1) select p_partkey as library, coalesce(a.run, b.run) as run from part left join a on a.library = p_partkey left join b on b.library = p_partkey",
     "species_cache": "select c_custkey, case when n_regionkey < 2 then n_name when n_regionkey in (1, 2, 3) then lower(n_name) end as species from customer left join nation on n_nationkey = c_nationkey",
-    "table_forms": """select * from (values ('a.csv', ','), ('a.csv.gz', ','), ('a.tsv', '\t'), ('a.txt.bz2', '\t'), ('a', '\t'), ('|a,b\tc,d', ','), ('a\tb,c|x,y,z', '\t'), ('a|', '\t'), ('header Sample|x', 'true'), ('header s1|7', 'false'), ('header mine|x', 'true'), ('header alpha|beta', 'false'), ('column y', 'y'), ('column 3', 'z'), ('column 1', 'x')) t(form, found)""",
+    "cached_species": """with e as (select distinct n_nationkey from customer join nation on n_nationkey = c_nationkey where c_acctbal > 0 and n_regionkey <> 4)
+      select c_custkey, case when n.n_nationkey in (select n_nationkey from e) then 'first ' else 'second ' end || n_name as species from customer left join nation n on n.n_nationkey = c_nationkey""",
+    "empty_result": "select '' as sample, '' as anchor where false",
+    "table_forms": """select * from (values ('a.csv', ','), ('a.csv.gz', ','), ('a.tsv', '\t'), ('a.txt.bz2', '\t'), ('a', '\t'), ('|a,b\tc,d', ','), ('a\tb,c|x,y,z', '\t'), ('a|', '\t'), ('header Sample|x', 'true'), ('header s1|7', 'false'), ('header mine|x', 'true'), ('header alpha|beta', 'false'), ('names', 'a_b|a_b_2|column|c'), ('rank 1', 'effect_target1'), ('rank 2', 'effect_target2'), ('rank 9', 'effect'), ('column y', 'y'), ('column 3', 'z'), ('column 1', 'x')) t(form, found)""",
 }

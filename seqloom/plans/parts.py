@@ -349,6 +349,12 @@ def artifact_shares(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.groupBy("cluster").agg(F.sum("n").alias("n"), F.min_by("anchor", "rank").alias("first"))
 
 
+def rescue_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Endings of long queries that have no feature to be annotated by."""
+    rows = _hits(spark, folder).filter("query is not null").select("query", "features", F.when(F.col("qcovs") > 90, F.col("sgi")).alias("sgi"))
+    return curation.long_seeds(rows, "query", ["features", "sgi"])
+
+
 def capped_parts(spark: SparkSession, folder: str) -> DataFrame:
     """At most four parts of every brand, the dearest first."""
     parts = table(spark, folder, "part").select("p_brand", "p_partkey", "p_retailprice")
@@ -361,7 +367,7 @@ QUERIES = {
         feature_qualifiers, shown_labels, combined_labels, label_forms, residual_names, interest_scores, focus_rows, coefficient_parts, eligible_runs, extendor_parts, framed_hits, cluster_frames, edited_pieces, near_brands,
         inferred_lengths, kmer_ids, outer_all, side_by_side, annotated_coefficients, protein_terms, template_fallback, external_accuracy, assembled_labels, numeric_merge, no_numeric_merge, shared_names, aligned_features,
         wide_counts, map_columns, stacked_counts, outside_labels, rescue_summary, selected_sequences, default_labels, unannotated_rows, kept_first, entropy_order, requested_order, scored_clusters, top_vectors,
-        score_candidates, unfiltered_short_anchors, residual_targets, circles, synthetic_features, artifact_shares, capped_parts,
+        score_candidates, unfiltered_short_anchors, residual_targets, circles, synthetic_features, artifact_shares, rescue_seeds, capped_parts,
     )
 }
 
@@ -468,6 +474,7 @@ SQL = {
     "circles": "select p_partkey, 0.1::double as shared from part",
     "synthetic_features": f"select hit_id, 'CDS' as type, coalesce(sacc, 'none') as product from {_HITS}",
     "artifact_shares": f"with c as ({_CLUSTERS}), s as ({_SATC}), a as (select anchor, sum(count) as n from s group by 1) select cluster, cast(sum(n) as bigint) as n, arg_min(c.anchor, rank) as first from c left join a using (anchor) group by 1",
+    "rescue_seeds": f"with s as (select regexp_replace(upper({_SEQ}), '[^ACGTN]', '', 'g') as s from {_ALL} and trim(coalesce(features, ''), ' ') = '' and not coalesce(qcovs > 90 and trim(sgi, ' ') <> '', false)) select distinct right(s, 27) as seed from s where length(s) >= 31",
     "capped_parts": "select p_brand, p_partkey from (select *, row_number() over (partition by p_brand order by p_retailprice desc, p_partkey) as k from part) where k <= 4",
 }
 SQL["map_columns"] = SQL["map_columns"].format(columns=", ".join(f"count(*) filter (f = '{f}') as {f}" for f in ("AF", "AO", "NF", "NO", "RF", "RO")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import sequence as seq
+from seqloom.functions.labels import ARTIFACTS
 from seqloom.functions.maths import norm
 from seqloom.operators import features, graph, samples, selection
 from seqloom.sources.readers import lookup_stats
@@ -314,7 +315,7 @@ QUERIES = {
 SQL = {
     "anchor_select_quantile": _select_sql("quantile_cont", ""),
     "anchor_select_disc": _select_sql("quantile_disc", "and cluster % 7 <> 0"),
-    "artifact_filter": "select hit_id from compactor_reannotation_lib where stitle is not null and not regexp_matches(stitle, 'plas|illum|syn|arp|RF|JUNK|Ral|purge|P,|Univec|cattle|chicken', 'i')",
+    "artifact_filter": f"select hit_id from compactor_reannotation_lib where stitle is not null and not regexp_matches(stitle, '{ARTIFACTS}', 'i')",
     "hist_cutoff": f"""with s as ({_SCORES}), c as (select prevalence as value, count(*) as n from s group by 1),
       r as (select value, sum(n) over (order by value desc) as above from c) select coalesce(max(case when above >= 300 then value end), min(value)) as cutoff from r""",
     "reorder_clusters": _REORDER + " select new_cluster, rank, anchor, score, cluster from ranked",

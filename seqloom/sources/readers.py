@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -239,6 +239,23 @@ def species_of(taxa: DataFrame, known: DataFrame, fallback: DataFrame | None = N
     return out
 
 
+def with_cache(keys: DataFrame, key: str, folder: str, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The keys with what is known of them: from the cache in ``folder``, and fetched for those it lacks, which are added to it.
+
+    fetch: a frame of distinct keys to one with the key and what was found; what it does not answer is asked again the
+    next time. Only one job may write to a cache at a time; versions follow each other, so that a lost job leaves the
+    cache as it was.
+    """
+    spark = keys.sparkSession
+    wanted = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+    there = matching_paths(spark, f"{folder}/version=*/_SUCCESS")
+    known = spark.read.parquet(*[p.removesuffix("/_SUCCESS") for p in there]) if there else None
+    missing = wanted if known is None else wanted.join(known.select(key), key, "left_anti")
+    fetch(missing).write.parquet(f"{folder}/version={len(there)}")
+    every = spark.read.parquet(*[p.removesuffix("/_SUCCESS") for p in there], f"{folder}/version={len(there)}")
+    return keys.join(every, key, "left")
+
+
 def lookup_stats(queries: DataFrame, query: str, reference: DataFrame, k: int) -> DataFrame:
     """``(query, stats)``: sets of a reference (``kmer, category``) that hold k-mers of the query, with their share.
 

@@ -122,3 +122,26 @@ def test_trees_and_clusters_of_vectors(spark):
     many = [("m", i, [float(v)]) for i, v in enumerate([*draw.normal(0, 0.1, 20), *draw.normal(8, 0.1, 20), 100.0])]
     got = {r["k"]: r["cluster"] for r in learning.vector_clusters(spark.createDataFrame(many, "g string, k long, v array<double>"), "g", "k", "v").collect()}
     assert Counter(got.values())[got[0]] == 20 and got[0] != got[20] and got[40] == -1
+
+
+def test_components_against_decomposition(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    rows = []
+    for c, n in ((1, 90), (2, 3), (3, 2), (4, 1)):
+        x = draw.normal(size=(n, 6)) * [5, 3, 1, 0.5, 0.2, 0.1] + 1e4
+        rows += [(c, i, f"b{i}", [float(v) for v in x[i]], False) for i in range(n)]
+    rows += [(1, 900, "b", [0.0] * 6, True), (1, 901, "b", [0.0] * 6, None)]
+    frame = spark.createDataFrame(rows, "c long, k long, b string, v array<double>, gone boolean").repartition(5)
+    got = {(r["c"], r["k"], r["component"]): r["value"] for r in features.cluster_components(frame, "c", "k", "b", "v", "gone", 4).collect()}
+    assert len(got) == 4 * len(rows)
+    for c in (1, 2, 3, 4):
+        own = [(k, v) for d, k, _, v, gone in rows if d == c and gone is False]
+        x = np.array([v for _, v in own])
+        x = x - x.mean(axis=0)
+        few = min(4, len(x) - 1, 5) if len(x) > 1 else 0
+        axes = np.linalg.svd(x, full_matrices=False)[2][:few]
+        axes = axes * np.sign(axes[np.arange(few), np.abs(axes).argmax(axis=1)])[:, None]
+        scores = np.hstack([x @ axes.T, np.zeros((len(x), 4 - few))])
+        for (k, _), row in zip(own, scores, strict=True):
+            assert [got[c, k, j] for j in range(4)] == pytest.approx(list(row), abs=1e-5)
+    assert all(got[1, k, j] == 0 for k in (900, 901) for j in range(4))

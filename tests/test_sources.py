@@ -149,3 +149,18 @@ def test_sinks(spark, tmp_path):
     assert sorted(r["count"] for r in parts.groupBy("chunk").count().collect()) == [3, 3, 4]
     assert sorted(r["count"] for r in writers.chunks_of(spark.range(10), ["id"], 4).groupBy("chunk").count().collect()) == [2, 4, 4]
     assert writers.merged([spark.range(2).toDF("id"), spark.range(1).withColumn("x", F.lit(1))]).count() == 3
+
+
+def test_cache_is_asked_first(spark, tmp_path):
+    asked = []
+
+    def fetch(keys):
+        asked.append(sorted(r[0] for r in keys.collect()))
+        return keys.filter("k <> 'unknown'").withColumn("name", F.concat(F.lit(f"run{len(asked)} "), "k"))
+
+    keys = lambda *names: spark.createDataFrame([(n,) for n in names], "k string")
+    one = rows(readers.with_cache(keys("a", "b", "a", "unknown"), "k", f"{tmp_path}/cache", fetch))
+    assert one == [("a", "run1 a"), ("a", "run1 a"), ("b", "run1 b"), ("unknown", None)]
+    assert {tuple(r) for r in readers.with_cache(keys("b", "c", "unknown", None), "k", f"{tmp_path}/cache", fetch).collect()} == {("b", "run1 b"), ("c", "run2 c"), ("unknown", None), (None, None)}
+    assert rows(readers.with_cache(keys("c"), "k", f"{tmp_path}/cache", fetch)) == [("c", "run2 c")]
+    assert asked == [["a", "b", "unknown"], ["c", "unknown"], []]
