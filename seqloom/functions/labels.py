@@ -42,6 +42,11 @@ TAKEN_OUT = (
 )
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def squished(text: Column) -> Column:
     """Trimmed, with single blanks."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))
@@ -75,13 +80,13 @@ def resolved_parts(parts: Column) -> Column:
 
 def clean_label(title: Column) -> Column:
     """A protein title as a label: its parts between semicolons, cleaned and resolved; null for none."""
-    return resolved_parts(clean_parts(title))
+    return once(clean_parts(title), resolved_parts)
 
 
 def collapsed_labels(labels: Column) -> Column:
     """An array of labels as one: parts between semicolons and commas, longer than a letter, cleaned and resolved."""
     parts = F.filter(clean_parts(F.array_join(F.array_compact(labels), ";"), "[;,]"), lambda x: F.length(x) > 1)
-    return resolved_parts(parts)
+    return once(parts, resolved_parts)
 
 
 def shown_labels(labels: Column, most: int = 6, separator: str = ", ") -> Column:
@@ -89,11 +94,14 @@ def shown_labels(labels: Column, most: int = 6, separator: str = ", ") -> Column
 
     Labels that differ only in case or marks are one. Without any label it is NO MATCH.
     """
-    cleaned = F.filter(F.transform(labels, clean_label), lambda x: F.length(x) > 1)
+    return once(F.filter(F.transform(labels, clean_label), lambda x: F.length(x) > 1), lambda cleaned: _shown(cleaned, most, separator))
+
+
+def _shown(cleaned: Column, most: int, separator: str) -> Column:
     special = F.filter(F.array(*[F.lit(p) for p in (NO_TARGET, NO_MATCH, UNANNOTATED)]), lambda x: F.array_contains(cleaned, x))
     real = F.filter(cleaned, lambda x: ~x.isin(*PLACEHOLDERS))
     keys = F.transform(real, lambda x: F.lower(squished(F.regexp_replace(x, "[^A-Za-z0-9]+", " "))))
-    first = F.filter(F.transform(real, lambda x, i: F.struct(x.alias("x"), (F.array_position(keys, keys[i]) == i + 1).alias("first"))), lambda p: p["first"])
+    first = once(keys, lambda own: F.filter(F.transform(real, lambda x, i: F.struct(x.alias("x"), (F.array_position(own, F.get(own, i)) == i + 1).alias("first"))), lambda p: p["first"]))
     vague = lambda x: x.rlike("(?i)hypothetical|uncharacterized|predicted protein|unnamed")
     ordered = F.array_sort(F.transform(first, lambda p: F.struct(vague(p["x"]).alias("v"), F.length(p["x"]).alias("n"), p["x"].alias("x"))))
     shown = F.slice(F.concat(F.transform(ordered, lambda p: p["x"]), special), 1, most)
@@ -106,7 +114,7 @@ def qualifiers(features: Column, name: str) -> Column:
     values = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit("""(?<=['"])([^'"]+)(?=['"])"""))))
     kept = F.filter(values, lambda x: ~x.isin("None", "NA", ""))
     cleaned = F.array_distinct(F.filter(F.transform(kept, clean_label), lambda x: F.length(x) > 1))
-    return F.when(F.size(cleaned) > 0, F.array_join(cleaned, ";"))
+    return once(cleaned, lambda own: F.when(F.size(own) > 0, F.array_join(own, ";")))
 
 
 def precedence(labels: Column) -> Column:
