@@ -10,26 +10,37 @@ from pyspark.sql import functions as F
 from seqloom.functions.frames import running_total as stacked
 from seqloom.functions.labels import is_artifact
 from seqloom.operators.graph import ordered_index
+from seqloom.session import cut
+
+
+#: Distinct values that are summed in order by one task; more are ordered across tasks.
+FEW_VALUES = 1_000_000
+
+
+def _summed(frame: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """``(v, n, before)``: the distinct values of a column, how many rows have them, and how many have one before it."""
+    counts = cut(frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n")))
+    if counts.count() <= FEW_VALUES:
+        order = Window.partitionBy(F.lit(0)).orderBy(F.desc("v") if descending else F.asc("v")).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = ordered_index(counts.withColumn("o", -F.col("v") if descending else F.col("v")), ["o"], "i")
+    return stacked(placed, "n", "i", [], "before").select("v", "n", "before")
 
 
 def cutoff(frame: DataFrame, column: str, share: float, interpolated: bool = True) -> DataFrame:
     """One row ``cutoff``: an exact quantile, interpolated (type 7) or the nearest rank; null for no values.
 
-    Values are counted, then numbered by a running total across tasks; the one or two that stand at the wanted rank
+    Rows are counted per value first; of the values, summed in order, the one or two that stand at the wanted rank
     are picked. No task holds all values, however many differ.
     """
-    counts = frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    placed = stacked(ordered_index(counts, ["v"], "i"), "n", "i", [], "before")
-    total = counts.agg(F.sum("n").alias("total"))
-    met = placed.crossJoin(F.broadcast(total))  # one row
+    placed = _summed(frame, column)
+    met = placed.crossJoin(F.broadcast(placed.agg(F.sum("n").alias("total"))))  # one row
+    at = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("v")))
     if interpolated:
         place = F.lit(share) * (F.col("total") - 1)
-        low, high = F.floor(place), F.ceil(place)
-        at = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("v").cast("double")))
-        both = met.agg(at(low).alias("low"), at(high).alias("high"), F.max(place - low).alias("part"))
+        both = met.agg(at(F.floor(place)).cast("double").alias("low"), at(F.ceil(place)).cast("double").alias("high"), F.max(place - F.floor(place)).alias("part"))
         return both.select((F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("cutoff"))
-    rank = F.greatest(F.ceil(F.lit(share) * F.col("total")), F.lit(1)) - 1
-    return met.agg(F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v"))).alias("cutoff"))
+    return met.agg(at(F.greatest(F.ceil(F.lit(share) * F.col("total")), F.lit(1)) - 1).alias("cutoff"))
 
 
 def at_least_quantile(frame: DataFrame, column: str, share: float = 0.1, interpolated: bool = True) -> DataFrame:
@@ -42,9 +53,7 @@ def histogram_cutoff(frame: DataFrame, column: str, wanted: int) -> DataFrame:
 
     Rows are counted per value first; values are summed in order across tasks.
     """
-    counted = frame.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    placed = stacked(ordered_index(counted.withColumn("down", -F.col("value")), ["down"], "i"), "n", "i", [], "before")
-    running = placed.withColumn("above", F.col("before") + F.col("n"))
+    running = _summed(frame, column, descending=True).select(F.col("v").alias("value"), (F.col("before") + F.col("n")).alias("above"))
     return running.agg(F.coalesce(F.max(F.when(F.col("above") >= wanted, F.col("value"))), F.min("value")).alias("cutoff"))
 
 

@@ -83,9 +83,13 @@ def test_permutation_p(spark):
 
 
 @pytest.mark.parametrize("values", [[1, 2, 2, 3, 5, 8, 9, 10, 12, 20], [7.5], [3, 3, 3], [], [0.1 * i * i for i in range(57)]])
-def test_quantiles_against_numpy(spark, values):
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_quantiles_against_numpy(spark, values, few, monkeypatch):
+    monkeypatch.setattr(selection, "FEW_VALUES", few)
     frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
-    for share in (0.0, 0.1, 0.5, 0.9, 1.0):
+    if values:
+        assert selection.histogram_cutoff(frame, "v", 3).first()[0] == (sorted(values)[-3] if len(values) >= 3 else min(values))
+    for share in (0.1, 0.5, 1.0):
         low, rank = selection.cutoff(frame, "v", share).first()[0], selection.cutoff(frame, "v", share, False).first()[0]
         if not values:
             assert low is None and rank is None
