@@ -102,39 +102,49 @@ def shift_edges(anchors: DataFrame, anchor: str, shifts: int = 5) -> DataFrame:
     return tails.join(heads, ["shift", "fragment"]).select("src", "dst", "shift")
 
 
-def shift_links(anchors: DataFrame, anchor: str, shifts: int = 5) -> DataFrame:
-    """``(src, dst)`` with the components of ``shift_edges``, of which a fragment can have many times more.
+def shift_clusters(anchors: DataFrame, anchor: str, shifts: int = 5) -> DataFrame:
+    """``(anchor, component)``: the components of ``shift_edges``, of which a fragment can have many times more.
 
     All tails and heads of a (shift, fragment) are in one component as soon as there is one of each: every one is
-    tied to the smallest. At most two rows per anchor and shift, whatever the number of pairs.
+    tied to the smallest. At most two edges per anchor and shift, whatever the number of pairs. Components are
+    numbered as by ``label_components``.
     """
-    distinct = anchors.select(F.col(anchor).alias("a")).filter("a is not null").distinct()
-    rows = distinct.select("a", F.explode(F.sequence(F.lit(1), F.lit(shifts))).alias("shift")).filter(F.length("a") > F.col("shift"))
+    numbered = _numbered(anchors, anchor)
+    rows = numbered.select("id", "name", F.explode(F.sequence(F.lit(1), F.lit(shifts))).alias("shift")).filter(F.length("name") > F.col("shift"))
     ends = F.array(
-        F.struct(F.lit(0).alias("head"), F.expr("substring(a, shift + 1, length(a) - shift)").alias("fragment")),
-        F.struct(F.lit(1).alias("head"), F.expr("substring(a, 1, length(a) - shift)").alias("fragment")),
+        F.struct(F.lit(0).alias("head"), F.expr("substring(name, shift + 1, length(name) - shift)").alias("fragment")),
+        F.struct(F.lit(1).alias("head"), F.expr("substring(name, 1, length(name) - shift)").alias("fragment")),
     )
-    rows = rows.select("a", "shift", F.explode(ends).alias("e")).select("a", "shift", "e.head", "e.fragment")
-    first = rows.groupBy("shift", "fragment").agg(F.min("a").alias("dst"), F.min("head").alias("least"), F.max("head").alias("most"))
-    first = first.filter("least < most").select("shift", "fragment", "dst")
-    return rows.join(first, ["shift", "fragment"]).filter("a <> dst").select(F.col("a").alias("src"), "dst").distinct()
+    rows = rows.select("id", "shift", F.explode(ends).alias("e")).select("id", "shift", "e.head", "e.fragment")
+    first = rows.groupBy("shift", "fragment").agg(F.min("id").alias("b"), F.min("head").alias("least"), F.max("head").alias("most"))
+    first = first.filter("least < most").select("shift", "fragment", "b")
+    edges = rows.join(first, ["shift", "fragment"]).filter("id <> b").select(F.col("id").alias("a"), "b")
+    return _labelled(numbered, components(edges, SMALL), anchor)
 
 
 def label_components(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst: str) -> DataFrame:
     """``(node, component)`` with string nodes; components are numbered from 0 by size, then smallest node.
 
-    Nodes get a number in the order of their text first (a range sort, no single task), so that the smallest
-    number of a component is its smallest node. Isolated nodes are components of one.
+    Isolated nodes are components of one.
     """
-    names = nodes.select(F.col(node).cast("string").alias("name")).filter("name is not null").distinct()
-    numbered = cut(ordered_index(names, ["name"], "id"))
+    numbered = _numbered(nodes, node)
     a = numbered.select(F.col("name").alias(src), F.col("id").alias("a"))
     b = numbered.select(F.col("name").alias(dst), F.col("id").alias("b"))
     pairs = edges.select(src, dst).distinct().join(a, src).join(b, dst).select("a", "b")
-    roots = components(pairs, SMALL)
+    return _labelled(numbered, components(pairs, SMALL), node)
+
+
+def _numbered(nodes: DataFrame, node: str) -> DataFrame:
+    """``(name, id)`` of distinct nodes in the order of their text, so that the smallest number of a component is its smallest node."""
+    names = nodes.select(F.col(node).cast("string").alias("name")).filter("name is not null").distinct()
+    return cut(ordered_index(names, ["name"], "id"))
+
+
+def _labelled(numbered: DataFrame, roots: DataFrame, node: str) -> DataFrame:
+    """Components numbered by size, then by their smallest node, which is their root; nodes without a root are their own."""
     placed = numbered.join(roots.withColumnRenamed("v", "id"), "id", "left").select("name", F.coalesce("root", "id").alias("root"))
-    sizes = placed.groupBy("root").agg(F.count("*").alias("size"), F.min("name").alias("first"))
-    ranked = ordered_index(sizes.withColumn("order", -F.col("size")), ["order", "first"], "component")
+    sizes = placed.groupBy("root").agg(F.count("*").alias("size"))
+    ranked = ordered_index(sizes.withColumn("order", -F.col("size")), ["order", "root"], "component")
     return placed.join(ranked.select("root", "component"), "root").select(F.col("name").alias(node), "component")
 
 

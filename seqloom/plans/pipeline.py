@@ -64,8 +64,7 @@ def _nearest(scores: DataFrame, o: Options, lookup: DataFrame | None, effect: fl
 
 @register("cluster", "shift")
 def _shift(anchors: DataFrame, o: Options, length: int) -> DataFrame:
-    edges = graph.shift_links(anchors, "anchor", min(5, length - 1))
-    return graph.label_components(anchors, "anchor", edges, "src", "dst").select(F.col("component").alias("cluster"), "anchor")
+    return graph.shift_clusters(anchors, "anchor", min(5, length - 1)).select(F.col("component").alias("cluster"), "anchor")
 
 
 @register("cluster", "none")

@@ -200,9 +200,7 @@ def shift_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 def shift_components(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all k-mers of documents under shifts."""
-    words = words_of(spark, folder, 12)
-    edges = graph.shift_links(words, "a", 5)
-    return graph.label_components(words, "a", edges, "src", "dst").select("a", "component")
+    return graph.shift_clusters(words_of(spark, folder, 12), "a", 5)
 
 
 def masked_components(spark: SparkSession, folder: str) -> DataFrame:
