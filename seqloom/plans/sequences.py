@@ -206,8 +206,7 @@ def shift_components(spark: SparkSession, folder: str) -> DataFrame:
 def masked_components(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of the 27-mers that texts are cut to, of which masked or trimmed forms agree."""
     words = seq.kmers(dna(spark, folder), "seq", 27).select(F.col("kmer").alias("a")).distinct()
-    edges = graph.masked_edges(words, "a", 27)
-    return graph.label_components(words, "a", edges, "src", "dst")
+    return graph.masked_clusters(words, "a", 27)
 
 
 def numbered(spark: SparkSession, folder: str) -> DataFrame:

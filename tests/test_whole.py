@@ -3,8 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from seqloom.functions import sequence as seq
 from seqloom.functions.sequence import BASES, GENETIC_CODES
+from seqloom.operators import graph
 from seqloom.plans import models, sequences
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -89,6 +92,33 @@ def test_masked_components_hold_all_words(spark, texts):
     assert {r["a"] for r in sequences.masked_components(spark, folder).collect()} == pieces and len(pieces) > 40
 
 
+def test_masked_components_shuffle_no_forms(spark, texts, monkeypatch):
+    """The same components as those of the edges, which are not made."""
+    folder, _ = texts
+    nodes = seq.kmers(sequences.dna(spark, folder), "seq", 27).select(F.col("kmer").alias("a")).distinct()
+    expected = graph.label_components(nodes, "a", graph.masked_edges(nodes, "a", 27), "src", "dst").collect()
+    monkeypatch.setattr(graph, "masked_edges", None)
+    assert sorted(sequences.masked_components(spark, folder).collect()) == sorted(expected)
+
+
+@pytest.mark.parametrize(("letters", "length"), [("AC", 1), ("ACGTN", 31), ("ACDEFGHIKLMNPQRSTVWYéß😀ж", 14)])
+def test_masked_clusters_against_edges(spark, letters, length, monkeypatch):
+    """Words of 64 bits that hold a sequence or a part of it, other lengths, nulls and repeats."""
+    draw = random.Random(length)
+    found = ["".join(draw.choice(letters) for _ in range(length)) for _ in range(30)]
+    for s in found[:20]:
+        places = draw.sample(range(length), min(length, 3))
+        found.append("".join(draw.choice(letters) if i in places else c for i, c in enumerate(s)))
+        found.append((s + draw.choice(letters) * 2)[-length:])
+    frame = spark.createDataFrame([(s,) for s in [*found, found[0], None, "", found[1] + "A"]], "v string")
+    got = graph.masked_clusters(frame, "v", length, masks=60, masked=3, trims=2).collect()
+    monkeypatch.setattr(graph, "PACKED", 0)
+    assert sorted(got) == sorted(graph.masked_clusters(frame, "v", length, masks=60, masked=3, trims=2).collect())
+    assert {r["v"] for r in got} == {*found, "", found[1] + "A"}
+    none = graph.masked_clusters(frame.filter("v = 'none'"), "v", length)
+    assert none.count() == 0
+
+
 def test_elastic_net_reads_all_dimensions(spark, tmp_path):
     """Only the last of 20 dimensions tells the labels apart."""
     draw = random.Random(7)
