@@ -82,6 +82,25 @@ def test_permutation_p(spark):
     assert evaluation.permutation_p(weak.filter("t = 'z'"), "t", "p").first()["p"] is None
 
 
+def test_exact_p_of_two_classes(spark):
+    draw = random.Random(2)
+    tables = [[[draw.randint(0, most) for _ in range(2)] for _ in range(2)] for most in (1, 3, 40) for _ in range(60)]
+    for table in [*tables, [[0, 0], [0, 9]], [[0, 5], [7, 0]], [[300, 0], [0, 300]]]:
+        if sum(map(sum, table)):
+            assert evaluation.exact_p_of_two(table) == pytest.approx(float(evaluation.exact_p(table)), rel=1e-11), table
+
+
+@pytest.mark.parametrize("times", [1, 3_000])
+def test_exact_p_of_many_rows(spark, times):
+    """Hundreds of thousands of rows, against the sum of their log gammas."""
+    a, b, c, d = 31 * times, 29 * times, 30 * times, 30 * times
+    cells = spark.createDataFrame([("a", "a", a), ("a", "b", b), ("b", "a", c), ("b", "b", d)], "t string, p string, n int")
+    got = evaluation.exact_permutation_p(cells.select("t", "p", F.explode(F.sequence(F.lit(1), "n"))), "t", "p").first()
+    comb = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    terms = [comb(a + c, k) + comb(b + d, a + b - k) - comb(a + b + c + d, a + b) for k in range(a, min(a + b, a + c) + 1)]
+    assert got["p"] == pytest.approx(math.fsum(map(math.exp, terms)), rel=1e-6) and got["accuracy"] == pytest.approx((a + d) / (a + b + c + d))
+
+
 @pytest.mark.parametrize("values", [[1, 2, 2, 3, 5, 8, 9, 10, 12, 20], [7.5], [3, 3, 3], [], [0.1 * i * i for i in range(57)]])
 @pytest.mark.parametrize("few", [0, 1_000])
 def test_quantiles_against_numpy(spark, values, few, monkeypatch):
