@@ -1,14 +1,15 @@
 """Queries over whole texts, against brute force."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from seqloom.functions import sequence as seq
 from seqloom.functions.sequence import BASES, GENETIC_CODES
-from seqloom.operators import graph
-from seqloom.plans import models, sequences
+from seqloom.operators import graph, samples
+from seqloom.plans import files, models, sequences
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _DNA = str.maketrans(LETTERS, "ACGTACGTACGTACGTACGTACGTAC")
@@ -119,6 +120,36 @@ def test_masked_clusters_against_edges(spark, letters, length, monkeypatch):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize(("anchor_length", "target_length"), [(3, 2), (12, 6), (27, 27), (33, 2)])
+def test_count_targets(spark, anchor_length, target_length, monkeypatch):
+    """Against brute force: other letters, nulls, short and long reads, one word or more, anchors held by tasks or not."""
+    draw = random.Random(anchor_length)
+    k = anchor_length + target_length
+    base = "".join(draw.choice("ACGT") for _ in range(300))
+    reads = [base, base[40:] + "N" + base[:90], base[: k - 1], base[:k], "", None, "ACGTéß" * 20, base.lower(), "A" * 200, base * 400]
+    rows = [(draw.choice(["x", "y", None]), r) for r in reads for _ in range(3)]
+    places = [(s, r[i : i + anchor_length], r[i + anchor_length : i + k]) for s, r in rows if r for i in range(len(r) - k + 1)]
+    seen = sorted({a for _, a, _ in places})
+    anchors = [*draw.sample(seen, len(seen) // 2), "A" * anchor_length, "ACGT", "", None]
+    expected = Counter(p for p in places if p[1] in anchors)
+    frame, wanted = spark.createDataFrame(rows, "who string, text string"), spark.createDataFrame([(a,) for a in anchors], "anchor string")
+    for held in (samples.HELD_ANCHORS, 0):
+        monkeypatch.setattr(samples, "HELD_ANCHORS", held)
+        got = samples.count_targets(frame, wanted, "who", "text", anchor_length, target_length)
+        assert got.columns == ["sample", "anchor", "target", "count"]
+        assert {tuple(r)[:3]: r["count"] for r in got.collect()} == expected
+
+
+def test_whole_run_counts_once(spark, tmp_path):
+    """What several stages read is not counted again by each."""
+    draw = random.Random(4)
+    rows = [(i, " ".join(draw.choice(["gene", "allele", "locus", "marker", "variant"]) for _ in range(30)), f"s{i % 3}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = files.whole_run(spark, str(tmp_path))
+    assert "documents.parquet" not in found._jdf.queryExecution().toString()
+    assert found.columns == ["sample", "cluster", "feature", "value"]
+
+
 def test_elastic_net_reads_all_dimensions(spark, tmp_path):
     """Only the last of 20 dimensions tells the labels apart."""
     draw = random.Random(7)
